@@ -31,29 +31,37 @@ def hash_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
     return df.withColumn("is_test", uniform(id_col, "split", seed) < F.lit(float(test_size)))
 
 
-def exact_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
-                label: str = TARGET, id_col: str = ID_COL) -> DataFrame:
-    """Adds ``is_test`` with exactly round(n_class * test_size) test rows per class."""
-    h = hash_bits(id_col, "split", seed)
-    keyed = df.withColumn("__h", h).withColumn("__b", F.shiftright(F.col("__h"), BUCKET_SHIFT))
-    counts = keyed.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+def mark_smallest(df: DataFrame, hash_col: str, want: DataFrame, group_col: str,
+                  id_col: str = ID_COL, out: str = "is_test") -> DataFrame:
+    """Flag exactly ``want.__want`` rows per group: those with the smallest
+    (hash, id). ``hash_col`` holds a 32-bit unsigned hash; ``want`` has one
+    row per group (group_col, __want)."""
+    keyed = df.withColumn("__b", F.shiftright(F.col(hash_col), BUCKET_SHIFT))
+    counts = keyed.groupBy(group_col, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(group_col).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     cum = counts.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    totals = counts.groupBy(label).agg(F.sum("__n").alias("__tot"))
-    cum = cum.join(F.broadcast(totals), on=label).withColumn(
-        "__want", F.round(F.col("__tot") * F.lit(float(test_size))).cast("bigint"))
-    # The boundary bucket per class: it holds the last wanted row.
+    cum = cum.join(F.broadcast(want), on=group_col)
+    # The boundary bucket per group: it holds the last wanted row.
     boundary = cum.where((F.col("__before") < F.col("__want"))
                          & (F.col("__before") + F.col("__n") >= F.col("__want"))).select(
-        label, F.col("__b").alias("__bb"), (F.col("__want") - F.col("__before")).alias("__need"))
-    marked = keyed.join(F.broadcast(boundary), on=label, how="left")
+        group_col, F.col("__b").alias("__bb"), (F.col("__want") - F.col("__before")).alias("__need"))
+    marked = keyed.join(F.broadcast(boundary), on=group_col, how="left")
     in_boundary = F.col("__b") == F.col("__bb")
-    wr = Window.partitionBy(label, "__b").orderBy("__h", id_col)
+    wr = Window.partitionBy(group_col, "__b").orderBy(hash_col, id_col)
     ranked = marked.where(in_boundary).withColumn("__rk", F.row_number().over(wr)).withColumn(
-        "is_test", F.col("__rk") <= F.col("__need")).drop("__rk")
+        out, F.col("__rk") <= F.col("__need")).drop("__rk")
     rest = marked.where(~in_boundary | F.col("__bb").isNull()).withColumn(
-        "is_test", F.coalesce(F.col("__b") < F.col("__bb"), F.lit(False)))
-    return ranked.unionByName(rest).drop("__h", "__b", "__bb", "__need")
+        out, F.coalesce(F.col("__b") < F.col("__bb"), F.lit(False)))
+    return ranked.unionByName(rest).drop("__b", "__bb", "__need")
+
+
+def exact_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
+                label: str = TARGET, id_col: str = ID_COL) -> DataFrame:
+    """Adds ``is_test`` with exactly round(n_class * test_size) test rows per class."""
+    keyed = df.withColumn("__h", hash_bits(id_col, "split", seed))
+    want = keyed.groupBy(label).agg(
+        F.round(F.count(F.lit(1)) * F.lit(float(test_size))).cast("bigint").alias("__want"))
+    return mark_smallest(keyed, "__h", want, label, id_col).drop("__h")
 
 
 def fold_ids(df: DataFrame, k: int = 5, seed: int = 42, id_col: str = ID_COL,

@@ -381,3 +381,36 @@ def q_soft_vote(spark, sf):
     return r6(c.select("customer_id", soft_vote_columns(["s_rule", "s_tenure", "s_charges"])
                        .alias("soft_vote")), ["soft_vote"])
 
+
+
+# --- D10: k-NN ---------------------------------------------------------------
+
+@query("knn_minority")
+def q_knn_minority(spark, sf):
+    """5 nearest neighbours of every embedding among those of its label."""
+    from ..operators.knn import knn
+    emb = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return knn(emb, "vec_id", "embedding", k=5, group_col="label").select("vec_id", "neighbor_id", "rank")
+
+
+# --- D9: SMOTE on the prepared train side -------------------------------------
+
+def _prepared(spark, sf):
+    from .models import prepare
+    return prepare(raw(spark, sf), resample="none")
+
+
+@query("smote_counts")
+def q_smote_counts(spark, sf):
+    from ..operators.resample import smote_vectors
+    res = smote_vectors(_prepared(spark, sf).train, k=5)
+    return res.groupBy("churn", "is_synthetic").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("smote_rows")
+def q_smote_rows(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    from ..operators.resample import smote_vectors
+    res = smote_vectors(_prepared(spark, sf).train, k=5)
+    return res.where(F.col("is_synthetic")).select(
+        "customer_id", "churn", vector_to_array("features").alias("features"))

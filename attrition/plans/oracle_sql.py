@@ -330,6 +330,18 @@ join t on t.model = s.model join ap on ap.model = s.model""", MODELS + "," + _au
     q["soft_vote"] = with_cust(
         f"select customer_id, round(({SCORE} + (1 - cast(tenure as double) / 72) + monthly_charges / 120) / 3, 6) "
         "as soft_vote from cust")
+    q["knn_minority"] = """
+select vec_id, neighbor_id, rank from (
+ select a.vec_id, b.vec_id as neighbor_id,
+  cast(row_number() over (partition by a.vec_id order by
+   list_distance(cast(a.embedding as double[]), cast(b.embedding as double[])), b.vec_id) as integer) as rank
+ from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id) where rank <= 5"""
+    q["smote_counts"] = with_cust("""
+select churn, false as is_synthetic, n as count from c
+union all
+select churn, true, (select max(n) from c) - n from c
+where n < (select max(n) from c) and (select count(*) from c) = 2""",
+        f"c as (select churn, count(*) as n from cust where not ({u_id('split')} < {d(0.2)}) group by churn)")
     return q
 
 
