@@ -414,3 +414,157 @@ def q_smote_rows(spark, sf):
     res = smote_vectors(_prepared(spark, sf).train, k=5)
     return res.where(F.col("is_synthetic")).select(
         "customer_id", "churn", vector_to_array("features").alias("features"))
+
+
+# --- F/G/H: model-backed queries (rows-only checks) ---------------------------
+# Prepared data and fitted models are memoised per (session, data dir): the
+# catalog reuses one checkpointed preparation instead of refitting it for
+# every query.
+
+_MEMO: dict = {}
+PARALLELISM = 8
+
+
+def _memo(key, fn):
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
+def training(spark, sf):
+    from .models import prepare
+    return _memo(("prep", id(spark), sf), lambda: prepare(raw(spark, sf)))
+
+
+def base_model(spark, sf, name):
+    from .ensemble import MLScoreModel
+    from .models import fit_base
+    td = training(spark, sf)
+    return _memo(("model", id(spark), sf, name), lambda: MLScoreModel(name, fit_base(name, td.train_fit)))
+
+
+def _test_scores(spark, sf, model):
+    td = training(spark, sf)
+    return model.score(td.test, "score").select("customer_id", "churn", "score")
+
+
+def _model_query(name):
+    def fn(spark, sf):
+        return _test_scores(spark, sf, base_model(spark, sf, name))
+    return fn
+
+
+for _key, _name in [("model_random_forest", "random_forest"), ("model_logistic", "logistic_regression"),
+                    ("model_gbt_a", "gbt_a"), ("model_gbt_fallback", "gbt_fallback"),
+                    ("model_gbt_b", "gbt_b")]:
+    QUERIES[_key] = _model_query(_name)
+
+
+def _bases(spark, sf):
+    """All base models; those not fitted yet are fitted concurrently."""
+    from .ensemble import MLScoreModel, fit_many
+    from .models import BASE_MODELS, fit_base
+    td = training(spark, sf)
+    todo = [n for n in BASE_MODELS if ("model", id(spark), sf, n) not in _MEMO]
+    for n, m in zip(todo, fit_many([lambda n=n: fit_base(n, td.train_fit) for n in todo], PARALLELISM)):
+        _MEMO[("model", id(spark), sf, n)] = MLScoreModel(n, m)
+    return {n: base_model(spark, sf, n) for n in BASE_MODELS}
+
+
+@query("base_model_scores")
+def q_base_model_scores(spark, sf):
+    td = training(spark, sf)
+    parts = [m.score(td.test, "score").select(F.lit(n).alias("model"), "churn", "score")
+             for n, m in _bases(spark, sf).items()]
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    return metrics.model_comparison(long)
+
+
+@query("soft_vote_model")
+def q_soft_vote_model(spark, sf):
+    from .ensemble import soft_vote
+    return _test_scores(spark, sf, soft_vote(_bases(spark, sf)))
+
+
+def stacking(spark, sf):
+    from .ensemble import fit_stacking, non_logistic
+    from .models import BASE_MODELS
+    td = training(spark, sf)
+    names = non_logistic(BASE_MODELS)
+    bases = _bases(spark, sf)
+    return _memo(("stack", id(spark), sf), lambda: fit_stacking(
+        td.train_fit, names, parallelism=PARALLELISM, bases={n: bases[n] for n in names}))
+
+
+@query("stacking_scores")
+def q_stacking_scores(spark, sf):
+    """Out-of-fold base probabilities (each row once per base, by a model
+    fitted without its fold)."""
+    return stacking(spark, sf)[1].select("customer_id", "fold", "model", "score")
+
+
+@query("stacking_model")
+def q_stacking_model(spark, sf):
+    return _test_scores(spark, sf, stacking(spark, sf)[0])
+
+
+@query("cv_scores")
+def q_cv_scores(spark, sf):
+    from .models import BASE_MODELS
+    from .tune import cross_validate
+    td = training(spark, sf)
+    return _memo(("cv", id(spark), sf), lambda: cross_validate(
+        td.train, BASE_MODELS, parallelism=PARALLELISM)[1])
+
+
+def trials(spark, sf):
+    from .tune import random_search
+    td = training(spark, sf)
+    return _memo(("tune", id(spark), sf), lambda: random_search(td.train_fit, parallelism=PARALLELISM))
+
+
+@query("tuning_trials")
+def q_tuning_trials(spark, sf):
+    return trials(spark, sf)[0]
+
+
+@query("best_so_far")
+def q_best_so_far(spark, sf):
+    from .tune import best_so_far
+    return best_so_far(trials(spark, sf)[0])
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    from .explain import feature_importance
+    td = training(spark, sf)
+    return feature_importance(base_model(spark, sf, "random_forest"), td.prep.feature_names)
+
+
+@query("attribution_mc")
+def q_attribution_mc(spark, sf):
+    """Monte-Carlo Shapley of the logistic model on ~2,000 hash-sampled test rows."""
+    from .explain import sample_rows, shapley_mc, shapley_summary
+    td = training(spark, sf)
+    rows = sample_rows(td.test, 2000)
+    background = [0.0] * len(td.prep.feature_names)  # the training mean after scaling
+    vals = shapley_mc(base_model(spark, sf, "logistic_regression"), rows, background,
+                      td.prep.feature_names, n_perm=8)
+    return shapley_summary(vals)
+
+
+@query("score_batch_model")
+def q_score_batch_model(spark, sf):
+    """Save the logistic model and preparation, load them back, score the
+    test customers from raw columns."""
+    from ..sources.registry import load_production, save_models
+    from .score import score_customers
+    td = training(spark, sf)
+    path = shared_dir(spark, f"registry_{abs(hash(sf))}")
+    save_models(spark, {"logistic_regression": base_model(spark, sf, "logistic_regression")}, td.prep, path)
+    model, prep = load_production(spark, path, "logistic_regression")
+    test_ids = td.test.select("customer_id")
+    batch = raw(spark, sf).join(test_ids, "customer_id", "left_semi").drop("churn")
+    return score_customers(batch, model, prep)

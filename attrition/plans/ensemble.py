@@ -1,13 +1,160 @@
-"""Ensembles: soft voting and stacking over fitted MLlib models."""
+"""Score models and ensembles (soft voting, stacking).
+
+A *score model* turns a frame with a ``features`` vector into the same frame
+plus a class-1 probability column. MLlib models are wrapped as
+:class:`MLScoreModel`; :class:`SoftVoteModel` averages several of them and
+:class:`StackingModel` feeds their probabilities to a logistic meta model.
+All of them are plain chains of ``transform`` calls (no join: every base
+writes its own column on the same rows).
+
+Stacking fits the bases fold-wise on the training rows: a row's meta
+feature comes from a base fitted without that row's fold (out-of-fold), the
+out-of-fold table is pivoted to one row per id (one shuffle), and the meta
+logistic regression is fitted on it; then every base is refit on all rows.
+Fits of independent (model, fold) pairs run concurrently from a driver
+thread pool; each fit is itself a distributed MLlib job.
+"""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.random import uniform
+from ..params import Params
+from ..schema import ID_COL, TARGET
+from .models import LABEL, fit_base, prob1
+
 
 def soft_vote_columns(cols: list[str]) -> Column:
     """Mean of class-1 probability columns (one per base model)."""
     return reduce(lambda a, b: a + b, [F.col(c) for c in cols]) / F.lit(float(len(cols)))
+
+
+@dataclass
+class MLScoreModel:
+    name: str
+    model: object  # fitted MLlib classification model
+
+    def score(self, df: DataFrame, out: str = "score") -> DataFrame:
+        cols = df.columns
+        pred = self.model.transform(df)
+        return pred.select(*cols, prob1(F.col(self.model.getProbabilityCol())).alias(out))
+
+    @property
+    def has_importance(self) -> bool:
+        return hasattr(self.model, "featureImportances")
+
+
+@dataclass
+class SoftVoteModel:
+    name: str
+    bases: list[MLScoreModel]
+
+    def score(self, df: DataFrame, out: str = "score") -> DataFrame:
+        cur = df
+        cols = []
+        for i, b in enumerate(self.bases):
+            c = f"__sv{i}"
+            cur = b.score(cur, c)
+            cols.append(c)
+        return cur.withColumn(out, soft_vote_columns(cols)).drop(*cols)
+
+
+@dataclass
+class StackingModel:
+    name: str
+    bases: list[MLScoreModel]
+    meta: object  # fitted LogisticRegressionModel on the base probabilities
+    meta_inputs: list[str] = field(default_factory=list)
+
+    def base_columns(self, df: DataFrame) -> DataFrame:
+        cur = df
+        for b, c in zip(self.bases, self.meta_inputs):
+            cur = b.score(cur, c)
+        return cur
+
+    def score(self, df: DataFrame, out: str = "score") -> DataFrame:
+        cols = df.columns
+        cur = self.base_columns(df)
+        cur = VectorAssembler(inputCols=self.meta_inputs, outputCol="__meta").transform(cur)
+        pred = self.meta.transform(cur)
+        return pred.select(*cols, prob1(F.col("probability")).alias(out))
+
+
+def base_id(col: str = ID_COL) -> Column:
+    """Id of the original row (synthetic SMOTE rows share their base row's fold)."""
+    return F.split(F.col(col), "#s").getItem(0)
+
+
+def with_folds(df: DataFrame, k: int, seed: int, name: str = "fold", stream: str = "fold") -> DataFrame:
+    return df.withColumn(name, F.least(F.floor(uniform(base_id(), stream, seed) * F.lit(k)),
+                                       F.lit(k - 1)).cast("int"))
+
+
+def fit_many(tasks, parallelism: int = 4):
+    """Run independent fit callables concurrently (each is a Spark job)."""
+    if parallelism <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        futures = [ex.submit(t) for t in tasks]
+        return [f.result() for f in futures]
+
+
+def fit_bases(train_fit: DataFrame, names: list[str], params: Params = Params(),
+              parallelism: int = 4) -> dict[str, MLScoreModel]:
+    fitted = fit_many([lambda n=n: fit_base(n, train_fit, params) for n in names], parallelism)
+    return {n: MLScoreModel(n, m) for n, m in zip(names, fitted)}
+
+
+def soft_vote(bases: dict[str, MLScoreModel], name: str = "soft_voting") -> SoftVoteModel:
+    """Soft voting over already fitted bases (refitting clones gives the same models)."""
+    return SoftVoteModel(name, list(bases.values()))
+
+
+def out_of_fold(train_fit: DataFrame, names: list[str], params: Params = Params(),
+                folds: int = 5, parallelism: int = 4) -> DataFrame:
+    """Long table (id, churn, label, fold, model, score): each row scored once
+    per base, by the base fitted on the other folds."""
+    folded = with_folds(train_fit, folds, params.data.seed, "fold", "stack_fold").checkpoint()
+    jobs = [(n, f) for n in names for f in range(folds)]
+    fitted = fit_many([lambda n=n, f=f: fit_base(n, folded.where(F.col("fold") != f), params)
+                       for n, f in jobs], parallelism)
+    parts = []
+    for (n, f), m in zip(jobs, fitted):
+        held = folded.where(F.col("fold") == f)
+        parts.append(MLScoreModel(n, m).score(held).select(
+            ID_COL, TARGET, LABEL, "fold", F.lit(n).alias("model"), "score"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def fit_stacking(train_fit: DataFrame, names: list[str], params: Params = Params(),
+                 folds: int | None = None, parallelism: int = 4,
+                 bases: dict[str, MLScoreModel] | None = None,
+                 name: str = "stacking_ensemble") -> tuple[StackingModel, DataFrame]:
+    """Fit the stacking ensemble; also returns the out-of-fold table."""
+    k = folds or params.stacking_folds
+    oof = out_of_fold(train_fit, names, params, k, parallelism).checkpoint()
+    inputs = [f"p_{n}" for n in names]
+    wide = (oof.groupBy(ID_COL, LABEL).pivot("model", names).agg(F.first("score"))
+            .select(ID_COL, LABEL, *[F.col(n).alias(f"p_{n}") for n in names]))
+    wide = VectorAssembler(inputCols=inputs, outputCol="__meta").transform(wide)
+    n_rows = wide.count()
+    meta = LogisticRegression(featuresCol="__meta", labelCol=LABEL, maxIter=1000,
+                              regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0,
+                              standardization=False, tol=1e-8).fit(wide)
+    if bases is None:
+        bases = fit_bases(train_fit, names, params, parallelism)
+    model = StackingModel(name, [bases[n] for n in names], meta, inputs)
+    return model, oof
+
+
+def non_logistic(names: list[str]) -> list[str]:
+    return [n for n in names if "logistic" not in n]
+

@@ -157,17 +157,24 @@ BASE_MODELS = ["random_forest", "logistic_regression", "gbt_a", "gbt_b"]
 
 
 def fit_base(name: str, train_fit: DataFrame, params: Params = Params()):
-    """Fit one base model by name on the (resampled) training frame."""
+    """Fit one base model by name on the (resampled) training frame.
+
+    Class weighting is the imbalance correction only when SMOTE is off
+    (one correction, not several stacked).
+    """
+    weighted = params.imbalance.method != "smote"
     if name == "random_forest":
-        df, w = _weights_needed(train_fit, params.forest.balanced and params.imbalance.method != "smote")
+        df, w = _weights_needed(train_fit, params.forest.balanced and weighted)
         return random_forest(params.forest, w).fit(df)
     if name == "logistic_regression":
-        df, w = _weights_needed(train_fit, params.logistic.balanced and params.imbalance.method != "smote")
+        df, w = _weights_needed(train_fit, params.logistic.balanced and weighted)
         wsum = (df.agg(F.sum(w)).first()[0] if w else df.count())
         return logistic(params.logistic, float(wsum), w).fit(df)
     if name in ("gbt_a", "gbt_fallback", "gbt_b"):
         bp = {"gbt_a": params.boost_a, "gbt_fallback": params.boost_fallback, "gbt_b": params.boost_b}[name]
-        if bp.pos_weight is None:
+        if not weighted:
+            df, w = train_fit, None
+        elif bp.pos_weight is None:
             df, w = _weights_needed(train_fit, True)
         else:
             df, w = _weights_needed(train_fit, False, bp.pos_weight)
