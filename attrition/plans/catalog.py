@@ -568,3 +568,32 @@ def q_score_batch_model(spark, sf):
     test_ids = td.test.select("customer_id")
     batch = raw(spark, sf).join(test_ids, "customer_id", "left_semi").drop("churn")
     return score_customers(batch, model, prep)
+
+
+# --- G13 (a): exact linear attribution of the rule score card -----------------
+
+def scorecard_terms():
+    """(feature, condition, coefficient) of the propensity score card."""
+    from ..sources import customers as c
+    return [
+        ("month_to_month", "contract = 'Month-to-month'", c.CONTRACT_UPLIFT["Month-to-month"]),
+        ("one_year", "contract = 'One year'", c.CONTRACT_UPLIFT["One year"]),
+        ("tenure_le_6", "tenure <= 6", c.SHORT_TENURE_6),
+        ("tenure_le_12", "tenure <= 12", c.SHORT_TENURE_12),
+        ("tenure_ge_48", "tenure >= 48", c.LONG_TENURE_48),
+        ("charges_gt_80", "monthly_charges > 80", c.HIGH_CHARGE_80),
+        ("no_tech_support", "tech_support = 'No'", c.NO_TECH_SUPPORT),
+        ("no_online_security", "online_security = 'No'", c.NO_ONLINE_SECURITY),
+        ("fiber", "internet_service = 'Fiber optic'", c.FIBER),
+        ("electronic_check", "payment_method = 'Electronic check'", c.ELECTRONIC_CHECK),
+        ("senior", "senior_citizen = 1", c.SENIOR),
+    ]
+
+
+@query("linear_attribution")
+def q_linear_attribution(spark, sf):
+    from .explain import linear_attribution
+    terms = scorecard_terms()
+    ind = raw(spark, sf).select(*[F.expr(cond).cast("double").alias(name) for name, cond, _ in terms])
+    out = linear_attribution(ind, {name: w for name, _, w in terms})
+    return r6(out, ["mean_abs_attribution"])

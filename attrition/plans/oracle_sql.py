@@ -342,6 +342,12 @@ union all
 select churn, true, (select max(n) from c) - n from c
 where n < (select max(n) from c) and (select count(*) from c) = 2""",
         f"c as (select churn, count(*) as n from cust where not ({u_id('split')} < {d(0.2)}) group by churn)")
+    from .catalog import scorecard_terms
+    terms = scorecard_terms()
+    ind = "ind as (select " + ", ".join(f"cast({cond} as double) as {n}" for n, cond, _ in terms) + " from cust)"
+    q["linear_attribution"] = with_cust(" union all ".join(
+        f"select '{n}' as feature, round(avg(abs({d(w)} * ({n} - (select avg({n}) from ind)))), 6) "
+        f"as mean_abs_attribution from ind" for n, _, w in terms), ind)
     return q
 
 

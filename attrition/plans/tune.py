@@ -54,9 +54,12 @@ def cross_validate(train: DataFrame, names: list[str], params: Params = Params()
         data = smote_vectors(train, params.imbalance.k_neighbors, params.data.seed)
     folded = with_folds(data, k, params.data.seed).checkpoint()
     inside = smote and not resample_before_cv
-    fold_trains = {f: _fold_train(folded, f, inside, params) for f in range(k)}
-    if inside:
-        fold_trains = {f: df.checkpoint() for f, df in fold_trains.items()}
+    if inside:  # resampled fold trains, built concurrently and materialised once each
+        built = fit_many([lambda f=f: _fold_train(folded, f, True, params).checkpoint() for f in range(k)],
+                         parallelism)
+        fold_trains = dict(zip(range(k), built))
+    else:
+        fold_trains = {f: _fold_train(folded, f, False, params) for f in range(k)}
     jobs = [(n, f) for n in names for f in range(k)]
     models = fit_many([lambda n=n, f=f: fit_base(n, fold_trains[f], params) for n, f in jobs], parallelism)
     parts = [MLScoreModel(n, m).score(folded.where(F.col("fold") == f)).select(
