@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.random import uniform
+from ..session import ship_package
 
 MAX_PIVOTS = 256
 
@@ -66,7 +67,7 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5,
     Returns (id, neighbor_id, rank 1..k, distance[, neighbor_vec]); a point
     is never its own neighbour; groups smaller than k+1 give fewer rows.
     """
-    grp = group_col or "__g"
+    ship_package(points.sparkSession)
     pts = points.select(F.col(id_col).alias("id"),
                         (F.col(group_col) if group_col else F.lit(0)).alias("grp"),
                         F.col(vec_col).alias("vec"))
