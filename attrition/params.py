@@ -57,6 +57,7 @@ class TuneParams:
     n_trials: int = 30
     folds: int = 3
     seed: int = 42
+    rounds_range: tuple[int, int] = (100, 600)
 
 
 @dataclass(frozen=True)
@@ -84,3 +85,20 @@ class Params:
     tune: TuneParams = field(default_factory=TuneParams)
     segments: SegmentParams = field(default_factory=SegmentParams)
     attribution_rows: int = 2000
+
+
+def check_profile() -> Params:
+    """Small-model profile for the registered multi-fit checks (CV, stacking,
+    tuning), like the original test-suite's 20-tree forest: forests of 20
+    trees, boosted models of 20 rounds, a 10-trial search whose round range
+    is scaled by 1/10. Every other setting is the production one."""
+    from dataclasses import replace
+    p = Params()
+    return replace(
+        p,
+        forest=replace(p.forest, num_trees=20),
+        boost_a=replace(p.boost_a, max_iter=20),
+        boost_fallback=replace(p.boost_fallback, max_iter=20),
+        boost_b=replace(p.boost_b, max_iter=20),
+        tune=replace(p.tune, n_trials=10, rounds_range=(10, 60)),
+    )

@@ -489,13 +489,14 @@ def q_soft_vote_model(spark, sf):
 
 
 def stacking(spark, sf):
+    """Stacking with the check profile (small forests / few rounds)."""
+    from ..params import check_profile
     from .ensemble import fit_stacking, non_logistic
     from .models import BASE_MODELS
     td = training(spark, sf)
     names = non_logistic(BASE_MODELS)
-    bases = _bases(spark, sf)
     return _memo(("stack", id(spark), sf), lambda: fit_stacking(
-        td.train_fit, names, parallelism=PARALLELISM, bases={n: bases[n] for n in names}))
+        td.train_fit, names, check_profile(), parallelism=PARALLELISM))
 
 
 @query("stacking_scores")
@@ -515,14 +516,17 @@ def q_cv_scores(spark, sf):
     from .models import BASE_MODELS
     from .tune import cross_validate
     td = training(spark, sf)
+    from ..params import check_profile
     return _memo(("cv", id(spark), sf), lambda: cross_validate(
-        td.train, BASE_MODELS, parallelism=PARALLELISM)[1])
+        td.train, BASE_MODELS, check_profile(), parallelism=PARALLELISM)[1])
 
 
 def trials(spark, sf):
     from .tune import random_search
     td = training(spark, sf)
-    return _memo(("tune", id(spark), sf), lambda: random_search(td.train_fit, parallelism=PARALLELISM))
+    from ..params import check_profile
+    return _memo(("tune", id(spark), sf), lambda: random_search(
+        td.train_fit, check_profile(), parallelism=PARALLELISM))
 
 
 @query("tuning_trials")

@@ -87,12 +87,16 @@ SEARCH_SPACE = {
 }
 
 
-def sample_trials(n_trials: int, seed: int = 42) -> list[dict[str, float]]:
+def sample_trials(n_trials: int, seed: int = 42,
+                  rounds_range: tuple[int, int] | None = None) -> list[dict[str, float]]:
     rng = random.Random(seed)
+    space = dict(SEARCH_SPACE)
+    if rounds_range:
+        space["max_iter"] = (rounds_range[0], rounds_range[1], "int")
     out = []
     for _ in range(n_trials):
         t = {}
-        for name, (lo, hi, kind) in SEARCH_SPACE.items():
+        for name, (lo, hi, kind) in space.items():
             if kind == "int":
                 t[name] = float(rng.randint(int(lo), int(hi)))
             elif kind == "log":
@@ -130,7 +134,7 @@ def random_search(train_fit: DataFrame, params: Params = Params(), n_trials: int
                            T.StructField("auc_mean", T.DoubleType()), T.StructField("auc_std", T.DoubleType())])
     if n_trials <= 0:
         return spark.createDataFrame([], schema), None
-    trials = sample_trials(n_trials, params.tune.seed)
+    trials = sample_trials(n_trials, params.tune.seed, params.tune.rounds_range)
     folded = with_folds(train_fit, k, params.tune.seed, "fold", "tune_fold").checkpoint()
     jobs = [(i, f) for i in range(n_trials) for f in range(k)]
     models = fit_many([lambda i=i, f=f: _fit_trial(folded.where(F.col("fold") != f), trials[i], params.data.seed)
