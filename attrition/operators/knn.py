@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.random import uniform
-from ..session import ship_package
+from ..session import checkpointed, ship_package
 
 MAX_PIVOTS = 256
 
@@ -117,7 +117,7 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5,
             yield pdf.assign(cell=cells, dpiv=dists)
 
     # Materialised once (reliable checkpoint): read by the stats pass and both sides.
-    celled = pts.mapInPandas(assign, cell_schema).checkpoint()
+    celled = checkpointed(pts.mapInPandas(assign, cell_schema))
     stats = celled.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("n"),
                                               F.max("dpiv").alias("R")).collect()
 

@@ -450,7 +450,9 @@ def _test_scores(spark, sf, model):
 
 def _model_query(name):
     def fn(spark, sf):
-        return _test_scores(spark, sf, base_model(spark, sf, name))
+        from .models import BASE_MODELS
+        model = _bases(spark, sf)[name] if name in BASE_MODELS else base_model(spark, sf, name)
+        return _test_scores(spark, sf, model)
     return fn
 
 

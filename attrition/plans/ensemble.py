@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.random import uniform
 from ..params import Params
 from ..schema import ID_COL, TARGET
+from ..session import checkpointed
 from .models import LABEL, fit_base, prob1
 
 
@@ -122,7 +123,7 @@ def out_of_fold(train_fit: DataFrame, names: list[str], params: Params = Params(
                 folds: int = 5, parallelism: int = 4) -> DataFrame:
     """Long table (id, churn, label, fold, model, score): each row scored once
     per base, by the base fitted on the other folds."""
-    folded = with_folds(train_fit, folds, params.data.seed, "fold", "stack_fold").checkpoint()
+    folded = checkpointed(with_folds(train_fit, folds, params.data.seed, "fold", "stack_fold"))
     jobs = [(n, f) for n in names for f in range(folds)]
     fitted = fit_many([lambda n=n, f=f: fit_base(n, folded.where(F.col("fold") != f), params)
                        for n, f in jobs], parallelism)
@@ -140,7 +141,7 @@ def fit_stacking(train_fit: DataFrame, names: list[str], params: Params = Params
                  name: str = "stacking_ensemble") -> tuple[StackingModel, DataFrame]:
     """Fit the stacking ensemble; also returns the out-of-fold table."""
     k = folds or params.stacking_folds
-    oof = out_of_fold(train_fit, names, params, k, parallelism).checkpoint()
+    oof = checkpointed(out_of_fold(train_fit, names, params, k, parallelism))
     inputs = [f"p_{n}" for n in names]
     wide = (oof.groupBy(ID_COL, LABEL).pivot("model", names).agg(F.first("score"))
             .select(ID_COL, LABEL, *[F.col(n).alias(f"p_{n}") for n in names]))

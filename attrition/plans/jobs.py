@@ -19,7 +19,7 @@ from ..operators import eda
 from ..operators.metrics import metrics_table, model_comparison, pr_curve, roc_curve
 from ..params import ImbalanceParams, Params
 from ..schema import TARGET
-from ..session import get_spark
+from ..session import checkpointed, get_spark
 from ..sources.customers import customers_from_tables, read_customers, write_table
 from ..sources.registry import load_production, save_models
 from .ensemble import fit_bases, fit_stacking, non_logistic, soft_vote
@@ -73,7 +73,7 @@ def evaluate(result: TrainingResult, params: Params = Params(),
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    long = long.checkpoint()
+    long = checkpointed(long)
     out = {
         "model_comparison": model_comparison(long),
         "roc_curves": roc_curve(long, TARGET, "score", ["model"]),

@@ -42,6 +42,7 @@ from ..operators.scale import ScalerModel, fit_scaler
 from ..operators.split import hash_split
 from ..params import BoostParams, ForestParams, LogisticParams, Params
 from ..schema import ID_COL, TARGET
+from ..session import checkpointed
 
 LABEL = "label"
 FEATURES = "features"
@@ -96,18 +97,18 @@ def prepare(raw: DataFrame, params: Params = Params(), checkpoint: bool = True,
     train_raw = data.where(~F.col("is_test")).drop("is_test")
     test_raw = data.where(F.col("is_test")).drop("is_test")
     if checkpoint:
-        train_raw = train_raw.checkpoint()
+        train_raw = checkpointed(train_raw)
     prep = fit_preparation(train_raw, params)
     train = prep.transform(train_raw, clean=False)
     test = prep.transform(test_raw, clean=False)
     if checkpoint:
-        train, test = train.checkpoint(), test.checkpoint()
+        train, test = checkpointed(train), checkpointed(test)
     method = resample or params.imbalance.method
     if method == "smote":
         from ..operators.resample import smote_vectors
         train_fit = smote_vectors(train, k=params.imbalance.k_neighbors, seed=params.data.seed)
         if checkpoint:
-            train_fit = train_fit.checkpoint()
+            train_fit = checkpointed(train_fit)
     elif method == "class_weight":
         train_fit = with_class_weights(train, TARGET, WEIGHT)
     else:

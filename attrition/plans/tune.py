@@ -28,6 +28,7 @@ from ..operators.metrics import auc_avg_precision
 from ..operators.resample import smote_vectors
 from ..params import BoostParams, Params
 from ..schema import TARGET
+from ..session import checkpointed
 from .ensemble import MLScoreModel, fit_many, with_folds
 from .models import _weights_needed, fit_base, gbt
 
@@ -52,10 +53,10 @@ def cross_validate(train: DataFrame, names: list[str], params: Params = Params()
     data = train
     if smote and resample_before_cv:
         data = smote_vectors(train, params.imbalance.k_neighbors, params.data.seed)
-    folded = with_folds(data, k, params.data.seed).checkpoint()
+    folded = checkpointed(with_folds(data, k, params.data.seed))
     inside = smote and not resample_before_cv
     if inside:  # resampled fold trains, built concurrently and materialised once each
-        built = fit_many([lambda f=f: _fold_train(folded, f, True, params).checkpoint() for f in range(k)],
+        built = fit_many([lambda f=f: checkpointed(_fold_train(folded, f, True, params)) for f in range(k)],
                          parallelism)
         fold_trains = dict(zip(range(k), built))
     else:
@@ -68,7 +69,7 @@ def cross_validate(train: DataFrame, names: list[str], params: Params = Params()
     scores = reduce(lambda a, b: a.unionByName(b), parts)
     per_fold = auc_avg_precision(scores, TARGET, "score", ["model", "fold"]).select(
         "model", "fold", F.col("auc_roc").alias("auc"))
-    per_fold = per_fold.checkpoint()
+    per_fold = checkpointed(per_fold)
     summary = per_fold.groupBy("model").agg(F.avg("auc").alias("auc_mean"),
                                            F.stddev_pop("auc").alias("auc_std"))
     return per_fold, summary
@@ -135,7 +136,7 @@ def random_search(train_fit: DataFrame, params: Params = Params(), n_trials: int
     if n_trials <= 0:
         return spark.createDataFrame([], schema), None
     trials = sample_trials(n_trials, params.tune.seed, params.tune.rounds_range)
-    folded = with_folds(train_fit, k, params.tune.seed, "fold", "tune_fold").checkpoint()
+    folded = checkpointed(with_folds(train_fit, k, params.tune.seed, "fold", "tune_fold"))
     jobs = [(i, f) for i in range(n_trials) for f in range(k)]
     models = fit_many([lambda i=i, f=f: _fit_trial(folded.where(F.col("fold") != f), trials[i], params.data.seed)
                        for i, f in jobs], parallelism)

@@ -95,3 +95,10 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
     _SHIPPED.add(sc.applicationId)
+
+
+def checkpointed(df):
+    """Reliable checkpoint (eager) into the shared checkpoint folder; sets the
+    folder first when the session has none (tests, ad-hoc sessions)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
