@@ -167,7 +167,17 @@ def customers_from_tables(spark: SparkSession, sf_dir: str, seed: int = 42,
                           keep_propensity: bool = False) -> DataFrame:
     """The fixture customer table derived from ``customer``'s keys."""
     keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
-    return generate_customers(keys, "c_custkey", seed, keep_propensity)
+    return generate_customers(spread(keys), "c_custkey", seed, keep_propensity)
+
+
+def spread(keys: DataFrame) -> DataFrame:
+    """Round-robin the key column over the cores when the scan yields fewer
+    splits than cores (a small file is one split; each key costs ~27 hash
+    draws). A large table already has enough splits and is left alone."""
+    target = keys.sparkSession.sparkContext.defaultParallelism
+    if keys.rdd.getNumPartitions() < target:
+        return keys.repartition(target)
+    return keys
 
 
 def generate_range(spark: SparkSession, n: int, seed: int = 42,
