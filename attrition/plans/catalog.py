@@ -433,14 +433,14 @@ def _memo(key, fn):
 
 def training(spark, sf):
     from .models import prepare
-    return _memo(("prep", id(spark), sf), lambda: prepare(raw(spark, sf)))
+    return _memo(("prep", spark.sparkContext.applicationId, sf), lambda: prepare(raw(spark, sf)))
 
 
 def base_model(spark, sf, name):
     from .ensemble import MLScoreModel
     from .models import fit_base
     td = training(spark, sf)
-    return _memo(("model", id(spark), sf, name), lambda: MLScoreModel(name, fit_base(name, td.train_fit)))
+    return _memo(("model", spark.sparkContext.applicationId, sf, name), lambda: MLScoreModel(name, fit_base(name, td.train_fit)))
 
 
 def _test_scores(spark, sf, model):
@@ -467,9 +467,9 @@ def _bases(spark, sf):
     from .ensemble import MLScoreModel, fit_many
     from .models import BASE_MODELS, fit_base
     td = training(spark, sf)
-    todo = [n for n in BASE_MODELS if ("model", id(spark), sf, n) not in _MEMO]
+    todo = [n for n in BASE_MODELS if ("model", spark.sparkContext.applicationId, sf, n) not in _MEMO]
     for n, m in zip(todo, fit_many([lambda n=n: fit_base(n, td.train_fit) for n in todo], PARALLELISM)):
-        _MEMO[("model", id(spark), sf, n)] = MLScoreModel(n, m)
+        _MEMO[("model", spark.sparkContext.applicationId, sf, n)] = MLScoreModel(n, m)
     return {n: base_model(spark, sf, n) for n in BASE_MODELS}
 
 
@@ -497,7 +497,7 @@ def stacking(spark, sf):
     from .models import BASE_MODELS
     td = training(spark, sf)
     names = non_logistic(BASE_MODELS)
-    return _memo(("stack", id(spark), sf), lambda: fit_stacking(
+    return _memo(("stack", spark.sparkContext.applicationId, sf), lambda: fit_stacking(
         td.train_fit, names, check_profile(), parallelism=PARALLELISM))
 
 
@@ -519,7 +519,7 @@ def q_cv_scores(spark, sf):
     from .tune import cross_validate
     td = training(spark, sf)
     from ..params import check_profile
-    return _memo(("cv", id(spark), sf), lambda: cross_validate(
+    return _memo(("cv", spark.sparkContext.applicationId, sf), lambda: cross_validate(
         td.train, BASE_MODELS, check_profile(), parallelism=PARALLELISM)[1])
 
 
@@ -527,7 +527,7 @@ def trials(spark, sf):
     from .tune import random_search
     td = training(spark, sf)
     from ..params import check_profile
-    return _memo(("tune", id(spark), sf), lambda: random_search(
+    return _memo(("tune", spark.sparkContext.applicationId, sf), lambda: random_search(
         td.train_fit, check_profile(), parallelism=PARALLELISM))
 
 

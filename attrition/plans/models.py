@@ -94,10 +94,10 @@ def prepare(raw: DataFrame, params: Params = Params(), checkpoint: bool = True,
             resample: str | None = None) -> TrainingData:
     """Split, fit preparation on train, transform both sides, resample train."""
     data = hash_split(clean_data(raw), params.data.test_size, params.data.seed)
+    if checkpoint:  # cleaned + tagged once; every later pass reads this table
+        data = checkpointed(data)
     train_raw = data.where(~F.col("is_test")).drop("is_test")
     test_raw = data.where(F.col("is_test")).drop("is_test")
-    if checkpoint:
-        train_raw = checkpointed(train_raw)
     prep = fit_preparation(train_raw, params)
     train = prep.transform(train_raw, clean=False)
     test = prep.transform(test_raw, clean=False)
