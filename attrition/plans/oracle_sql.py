@@ -100,7 +100,7 @@ def _hist(value: str, n: int) -> str:
     return with_cust(f"""
 select r.churn, g.bin, r.lo + g.bin * ((r.hi - r.lo) / {n}) as bin_lo,
  r.lo + (g.bin + 1) * ((r.hi - r.lo) / {n}) as bin_hi, coalesce(c.cnt, 0)::bigint as count
-from r cross join (select unnest(range(0, {n})) as bin) g
+from r cross join (select cast(unnest(range(0, {n})) as integer) as bin) g
 left join c on c.churn = r.churn and c.bin = g.bin""",
         f"""r as (select churn, min(cast({value} as double)) lo, max(cast({value} as double)) hi from cust where {value} is not null group by churn),
 b as (select cust.churn, case when r.hi = r.lo then 0 else cast(least(floor((cast({value} as double) - r.lo) / (r.hi - r.lo) * {n}), {n - 1}) as integer) end as bin
