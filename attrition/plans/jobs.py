@@ -2,7 +2,7 @@
 
 Command line (``spark-submit``-able)::
 
-    python -m attrition.plans.jobs pipeline --sf-dir DIR --out DIR [--skip-tuning]
+    python -m attrition.plans.jobs pipeline --sf-dir DIR --out DIR [--skip-data] [--skip-train] [--no-tuning]
     python -m attrition.plans.jobs score --input PATH --output PATH --models DIR
 """
 
@@ -16,6 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import eda
+from ..operators.clean import clean_data
+from ..operators.encode import encode_features
+from ..operators.features import engineer_features
+from ..operators.segments import segment_counts
+from ..operators.split import hash_split
 from ..operators.metrics import metrics_table, model_comparison, pr_curve, roc_curve
 from ..params import ImbalanceParams, Params
 from ..schema import TARGET
@@ -26,7 +31,7 @@ from .ensemble import fit_bases, fit_stacking, non_logistic, soft_vote
 from .explain import feature_importance
 from .models import BASE_MODELS, TrainingData, prepare
 from .score import evaluate_segments, score_customers
-from .tune import cross_validate, random_search
+from .tune import best_so_far, cross_validate, random_search
 
 
 def params_for(method: str, base: Params | None = None) -> Params:
@@ -88,28 +93,70 @@ def evaluate(result: TrainingResult, params: Params = Params(),
     return out
 
 
+def eda_tables(raw: DataFrame) -> dict[str, DataFrame]:
+    """The data behind every exploratory chart."""
+    return {
+        "churn_share": eda.churn_share(raw),
+        "hist_tenure": eda.histogram(raw, "tenure", 30),
+        "hist_monthly_charges": eda.histogram(raw, "monthly_charges", 40),
+        "rate_by_contract": eda.rate_by(raw, "contract"),
+        "rate_by_internet": eda.rate_by(raw, "internet_service"),
+        "rate_by_payment": eda.rate_by(raw, "payment_method", ascending=True),
+        "correlation_pairs": eda.correlation_pairs(
+            raw, ["senior_citizen", "tenure", "monthly_charges", "total_charges", "churn"]),
+    }
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, params: Params = Params(),
-                 skip_train: bool = False, tune: bool = True, parallelism: int = 4) -> dict[str, DataFrame]:
+                 skip_data: bool = False, skip_train: bool = False, tune: bool = True,
+                 parallelism: int = 4) -> dict[str, DataFrame]:
+    """Whole pipeline: raw table -> processed table -> EDA tables -> train,
+    save and evaluate (or, with ``skip_train``, load and evaluate)."""
     start = time.time()
-    raw = customers_from_tables(spark, sf_dir, params.data.seed)
-    write_table(raw, f"{out_dir}/raw")
-    tables = {"rate_by_contract": eda.rate_by(raw, "contract"),
-              "hist_tenure": eda.histogram(raw, "tenure", 30)}
+    raw_path = f"{out_dir}/raw"
+    if skip_data:
+        raw = read_customers(spark, raw_path)
+    else:
+        write_table(customers_from_tables(spark, sf_dir, params.data.seed), raw_path)
+        raw = read_customers(spark, raw_path)
+    clean = clean_data(raw)
+    processed = encode_features(engineer_features(clean, params.features), declared=True, keep_id=False)
+    write_table(processed, f"{out_dir}/processed")
+    tables = eda_tables(clean)
     if not skip_train:
-        result = train(raw, params, tune=tune, parallelism=parallelism)
+        result = train(raw, params, tune=tune and params.tune.n_trials > 0, parallelism=parallelism)
         save_models(spark, result.models, result.data.prep, f"{out_dir}/models")
         tables.update(evaluate(result, params))
+        if result.cv is not None:
+            tables["cv_scores"] = result.cv
+        if result.trials is not None:
+            tables["tuning_trials"] = result.trials
+            tables["best_so_far"] = best_so_far(result.trials)
+    else:
+        model, prep = load_production(spark, f"{out_dir}/models")
+        test = hash_split(clean, params.data.test_size, params.data.seed).where(F.col("is_test")).drop("is_test")
+        tables.update(evaluate_segments(prep.transform(test, clean=False), model, params.segments))
     tables["elapsed_sec"] = spark.createDataFrame([(time.time() - start,)], "elapsed_sec double")
     return tables
 
 
 def score_job(spark: SparkSession, input_path: str, output_path: str, model_dir: str,
               fmt: str = "parquet", params: Params = Params()) -> DataFrame:
+    """Score a batch with the production model; write predictions; return the
+    per-segment counts of the written batch."""
     model, prep = load_production(spark, model_dir)
     batch = read_customers(spark, input_path, fmt)
     scored = score_customers(batch, model, prep, params.segments)
     write_table(scored, output_path, fmt)
-    return scored
+    return segment_counts(read_customers_scored(spark, output_path, fmt))
+
+
+def read_customers_scored(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.schema("customer_id string, churn_probability double, churn_prediction int, "
+                               "risk_segment string").option("header", True)
+    return reader.load(path)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -118,8 +165,9 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("pipeline")
     p.add_argument("--sf-dir", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--skip-data", action="store_true")
     p.add_argument("--skip-train", action="store_true")
-    p.add_argument("--skip-tuning", action="store_true")
+    p.add_argument("--no-tuning", action="store_true")
     s = sub.add_parser("score")
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
@@ -128,13 +176,13 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = get_spark()
     if args.cmd == "pipeline":
-        tables = run_pipeline(spark, args.sf_dir, args.out, skip_train=args.skip_train,
-                              tune=not args.skip_tuning)
+        tables = run_pipeline(spark, args.sf_dir, args.out, skip_data=args.skip_data,
+                              skip_train=args.skip_train, tune=not args.no_tuning)
         for name, df in tables.items():
             if df is not None:
                 write_table(df, f"{args.out}/tables/{name}")
     else:
-        score_job(spark, args.input, args.output, args.models, args.format)
+        score_job(spark, args.input, args.output, args.models, args.format).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -47,7 +47,16 @@ def test_score_job(spark, pipeline, tmp_path):
     out, _ = pipeline
     src = str(tmp_path / "batch")
     write_table(customers_from_tables(spark, SF0001).drop("churn"), src)
-    scored = score_job(spark, src, str(tmp_path / "scored"), f"{out}/models")
+    counts = score_job(spark, src, str(tmp_path / "scored"), f"{out}/models")
     back = spark.read.parquet(str(tmp_path / "scored"))
-    assert back.count() == 150 == scored.count()
+    assert back.count() == 150
+    assert sum(r["count"] for r in counts.collect()) == back.where("risk_segment is not null").count()
     assert back.where((F.col("churn_probability") < 0) | (F.col("churn_probability") > 1)).count() == 0
+
+
+def test_pipeline_skip_data_and_train(spark, pipeline):
+    out, _ = pipeline
+    tables = run_pipeline(spark, SF0001, out, check_profile(), skip_data=True, skip_train=True)
+    assert [r.risk_segment for r in tables["segment_summary"].collect()] == ["Low Risk", "Medium Risk", "High Risk"]
+    assert tables["hist_tenure"].count() == 60
+    assert spark.read.parquet(f"{out}/processed").count() == 150
