@@ -394,25 +394,18 @@ def q_knn_minority(spark, sf):
 
 
 # --- D9: SMOTE on the prepared train side -------------------------------------
-
-def _prepared(spark, sf):
-    from .models import prepare
-    return prepare(raw(spark, sf), resample="none")
-
+# The resampled train side that the models are fitted on (memoised below).
 
 @query("smote_counts")
 def q_smote_counts(spark, sf):
-    from ..operators.resample import smote_vectors
-    res = smote_vectors(_prepared(spark, sf).train, k=5)
-    return res.groupBy("churn", "is_synthetic").agg(F.count(F.lit(1)).alias("count"))
+    return training(spark, sf).train_fit.groupBy("churn", "is_synthetic").agg(
+        F.count(F.lit(1)).alias("count"))
 
 
 @query("smote_rows")
 def q_smote_rows(spark, sf):
     from pyspark.ml.functions import vector_to_array
-    from ..operators.resample import smote_vectors
-    res = smote_vectors(_prepared(spark, sf).train, k=5)
-    return res.where(F.col("is_synthetic")).select(
+    return training(spark, sf).train_fit.where(F.col("is_synthetic")).select(
         "customer_id", "churn", vector_to_array("features").alias("features"))
 
 
