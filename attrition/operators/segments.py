@@ -81,12 +81,23 @@ def segment_summary(df: DataFrame, prob_col: str = "score", label: str = "churn"
 
 def segment_counts(scored: DataFrame, segment_col: str = "risk_segment",
                    dropna: bool = True) -> DataFrame:
-    """Rows per segment of a scored batch, largest first (null segment left
-    out unless ``dropna=False``)."""
-    if dropna:
-        scored = scored.where(F.col(segment_col).isNotNull())
-    return (scored.groupBy(segment_col).agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.col("count").desc(), F.col(segment_col)))
+    """Rows per segment of a scored batch, largest first (ties in segment
+    order). Like a count over a categorical column, every segment appears,
+    also with count 0; the null segment is added only when ``dropna=False``.
+
+    One conditional aggregate (map-side partial counts, one tiny exchange)
+    and ``stack`` into rows: no shuffle on the two- or three-valued key.
+    """
+    seg = F.col(segment_col)
+    aggs = [F.count_if(seg == lab).alias(f"n{i}") for i, lab in enumerate(RISK_LABELS)]
+    parts = [f"'{lab}', {i + 1}, n{i}" for i, lab in enumerate(RISK_LABELS)]
+    if not dropna:
+        aggs.append(F.count_if(seg.isNull()).alias("n_null"))
+        parts.append(f"cast(null as string), {len(RISK_LABELS) + 1}, n_null")
+    rows = scored.agg(*aggs).selectExpr(
+        f"stack({len(parts)}, {', '.join(parts)}) as (risk_segment, __rank, count)")
+    return (rows.orderBy(F.col("count").desc(), F.col("__rank")).drop("__rank")
+            .withColumnRenamed("risk_segment", segment_col))
 
 
 def retention_impact(df: DataFrame, prob_col: str = "score", label: str = "churn",

@@ -256,8 +256,10 @@ select dim.risk_segment, dim.segment_rank, coalesce(s.cnt, 0)::bigint as count,
 from (values ('Low Risk', 1), ('Medium Risk', 2), ('High Risk', 3)) dim(risk_segment, segment_rank)
 left join (select {_seg('p')} as seg, count(*) cnt, avg(cast(churn as double)) rate, avg(p) prob
            from cust group by 1) s on s.seg = dim.risk_segment""")
-    q["segment_counts"] = with_cust(
-        f"select {_seg('p')} as risk_segment, count(*) as count from cust where ({_seg('p')}) is not null group by 1")
+    q["segment_counts"] = with_cust(f"""
+select dim.risk_segment, coalesce(s.cnt, 0)::bigint as count
+from (values ('Low Risk'), ('Medium Risk'), ('High Risk')) dim(risk_segment)
+left join (select {_seg('p')} as seg, count(*) cnt from cust group by 1) s on s.seg = dim.risk_segment""")
     q["retention_impact"] = with_cust(f"""
 select total_churners, churners_caught,
  case when total_churners > 0 then churners_caught / total_churners else 0.0 end as coverage, saved,

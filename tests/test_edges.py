@@ -116,3 +116,12 @@ def test_tied_scores_auc(spark):
 def test_average_precision_step_sum(spark):
     df = spark.createDataFrame([(0, 0.1), (0, 0.4), (1, 0.35), (1, 0.8)], "churn int, score double")
     assert metrics.auc_avg_precision(df).first().avg_precision == pytest.approx(0.8333333333)
+
+
+def test_segment_counts_keep_empty_segments(spark):
+    df = spark.createDataFrame([(0.9,), (0.95,), (0.1,), (0.0,)], "p double")
+    scored = segments.score_table(df, "p", id_col=None)
+    got = [tuple(r) for r in segments.segment_counts(scored).collect()]
+    assert got == [("High Risk", 2), ("Low Risk", 1), ("Medium Risk", 0)]
+    with_null = [tuple(r) for r in segments.segment_counts(scored, dropna=False).collect()]
+    assert with_null == [("High Risk", 2), ("Low Risk", 1), (None, 1), ("Medium Risk", 0)]
