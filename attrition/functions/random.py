@@ -22,19 +22,42 @@ def _key(key: Column | str) -> Column:
     return (F.col(key) if isinstance(key, str) else key).cast("string")
 
 
+def _bits_sql(key: str, stream: str, seed: int) -> str:
+    return f"cast(conv(substring(md5(concat(cast(`{key}` as string), ':{stream}:{seed}')), 1, 8), 16, 10) as bigint)"
+
+
+def _uniform_sql(key: str, stream: str, seed: int) -> str:
+    return f"(({_bits_sql(key, stream, seed)} + 0.5D) / {TWO_POW_32}D)"
+
+
+def _normal_sql(key: str, stream: str, seed: int) -> str:
+    return (f"(sqrt(-2 * ln({_uniform_sql(key, stream + '_a', seed)}))"
+            f" * cos({2.0 * math.pi!r}D * {_uniform_sql(key, stream + '_b', seed)}))")
+
+
+# A key given by column name is drawn through one SQL expression (one call to
+# the JVM instead of one per function); a key expression uses the Column API.
+# Both build the same expression tree.
+
 def hash_bits(key: Column | str, stream: str, seed: int = 42) -> Column:
     """Unsigned 32-bit integer from md5 of ``key:stream:seed`` (as bigint)."""
+    if isinstance(key, str):
+        return F.expr(_bits_sql(key, stream, seed))
     digest = F.md5(F.concat(_key(key), F.lit(f":{stream}:{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def uniform(key: Column | str, stream: str, seed: int = 42) -> Column:
     """U(0,1) draw, never exactly 0 or 1."""
+    if isinstance(key, str):
+        return F.expr(_uniform_sql(key, stream, seed))
     return (hash_bits(key, stream, seed) + F.lit(0.5)) / F.lit(TWO_POW_32)
 
 
 def normal(key: Column | str, stream: str, seed: int = 42) -> Column:
     """N(0,1) draw by Box-Muller on two independent uniforms."""
+    if isinstance(key, str):
+        return F.expr(_normal_sql(key, stream, seed))
     u1 = uniform(key, f"{stream}_a", seed)
     u2 = uniform(key, f"{stream}_b", seed)
     return F.sqrt(F.lit(-2) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
@@ -42,6 +65,10 @@ def normal(key: Column | str, stream: str, seed: int = 42) -> Column:
 
 def gamma_2_5(key: Column | str, stream: str, seed: int = 42) -> Column:
     """Gamma(shape 2.5, scale 1): sum of two Exp(1) and half a chi-square(1)."""
+    if isinstance(key, str):
+        e1, e2 = _uniform_sql(key, f"{stream}1", seed), _uniform_sql(key, f"{stream}2", seed)
+        z = _normal_sql(key, f"{stream}3", seed)
+        return F.expr(f"(-ln({e1}) - ln({e2}) + power({z}, 2) / 2)")
     e1 = -F.log(uniform(key, f"{stream}1", seed))
     e2 = F.log(uniform(key, f"{stream}2", seed))
     z = normal(key, f"{stream}3", seed)

@@ -101,7 +101,7 @@ def generate_customers(keys: DataFrame, key_col: str = "c_custkey", seed: int =
     k = F.col(key_col)
 
     def u(stream: str) -> Column:
-        return uniform(k, stream, seed)
+        return uniform(key_col, stream, seed)
 
     inet = _pick(u("inet"), [(0.34, "DSL"), (0.78, "Fiber optic")], "No")
     base = keys.select(
@@ -110,7 +110,7 @@ def generate_customers(keys: DataFrame, key_col: str = "c_custkey", seed: int =
         F.when(u("senior") < _d(0.84), F.lit(0)).otherwise(F.lit(1)).alias("senior_citizen"),
         F.when(u("partner") < _d(0.48), F.lit("Yes")).otherwise(F.lit("No")).alias("partner"),
         F.when(u("dependents") < _d(0.3), F.lit("Yes")).otherwise(F.lit("No")).alias("dependents"),
-        F.floor(F.least(_d(72.0), F.greatest(_d(1.0), F.lit(14) * gamma_2_5(k, "t", seed))))
+        F.floor(F.least(_d(72.0), F.greatest(_d(1.0), F.lit(14) * gamma_2_5(key_col, "t", seed))))
         .cast("int").alias("tenure"),
         _pick(u("contract"), [(0.55, "Month-to-month"), (0.79, "One year")], "Two year").alias("contract"),
         inet.alias("internet_service"),
@@ -121,7 +121,7 @@ def generate_customers(keys: DataFrame, key_col: str = "c_custkey", seed: int =
         _pick(u("pay"), [(0.34, "Electronic check"), (0.57, "Mailed check"),
                          (0.79, "Bank transfer (automatic)")], "Credit card (automatic)")
         .alias("payment_method"),
-        normal(k, "charge", seed).alias("z_charge"),
+        normal(key_col, "charge", seed).alias("z_charge"),
         u("total").alias("u_total"),
         u("churn").alias("u_churn"),
     )
