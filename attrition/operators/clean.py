@@ -22,8 +22,9 @@ from ..schema import ID_COL, RAW_SCHEMA
 
 def cast_raw(df: DataFrame) -> DataFrame:
     exprs = {}
+    present = set(df.columns)  # one schema fetch, not one per field
     for f in RAW_SCHEMA.fields:
-        if f.name not in df.columns:
+        if f.name not in present:
             continue
         c = F.col(f.name)
         if isinstance(f.dataType, T.StringType):

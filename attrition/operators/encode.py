@@ -32,11 +32,13 @@ def map_expr(col: str, mapping: dict[str, int]) -> Column:
 
 
 def encode_binary(df: DataFrame, cols: list[str] = BINARY_TEXT_COLS) -> DataFrame:
-    return df.withColumns({c: map_expr(c, BINARY_MAP).cast("int") for c in cols if c in df.columns})
+    present = set(df.columns)
+    return df.withColumns({c: map_expr(c, BINARY_MAP).cast("int") for c in cols if c in present})
 
 
 def encode_ordinal(df: DataFrame, maps: dict[str, dict[str, int]] = ORDINAL_MAPS) -> DataFrame:
-    return df.withColumns({c: map_expr(c, m).cast("int") for c, m in maps.items() if c in df.columns})
+    present = set(df.columns)
+    return df.withColumns({c: map_expr(c, m).cast("int") for c, m in maps.items() if c in present})
 
 
 def onehot_name(col: str, value: str) -> str:
@@ -56,7 +58,8 @@ def fit_onehot_levels(df: DataFrame, cols: list[str] = OHE_COLS,
     not something to one-hot encode).
     """
     declared = declared or {}
-    todo = [c for c in cols if c in df.columns and c not in declared and c != "tenure_bucket"]
+    present = set(df.columns)
+    todo = [c for c in cols if c in present and c not in declared and c != "tenure_bucket"]
     levels: dict[str, list[str]] = {}
     if todo:
         row = df.agg(*[F.slice(F.array_sort(F.collect_set(F.col(c).cast("string"))), 1, MAX_LEVELS + 1)
@@ -76,11 +79,12 @@ def fit_onehot_levels(df: DataFrame, cols: list[str] = OHE_COLS,
 
 def onehot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     """Replace each source column with its int indicators (appended at the end)."""
-    keep = [c for c in df.columns if c not in levels]
+    present = df.columns
+    keep = [c for c in present if c not in levels]
     ind = [F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(onehot_name(c, v))
-           for c, vals in levels.items() if c in df.columns for v in vals]
+           for c, vals in levels.items() if c in present for v in vals]
     missing = [F.lit(0).alias(onehot_name(c, v))
-               for c, vals in levels.items() if c not in df.columns for v in vals]
+               for c, vals in levels.items() if c not in present for v in vals]
     return df.select(*[F.col(c) for c in keep], *ind, *missing)
 
 
@@ -125,6 +129,7 @@ def align_columns(df: DataFrame, columns: list[str], fill: float = 0.0,
 
     Columns named in ``keep`` (the row id) ride along in front.
     """
-    passthrough = [F.col(c) for c in keep if c in df.columns and c not in columns]
-    body = [F.col(c) if c in df.columns else F.lit(fill).alias(c) for c in columns]
+    present = set(df.columns)
+    passthrough = [F.col(c) for c in keep if c in present and c not in columns]
+    body = [F.col(c) if c in present else F.lit(fill).alias(c) for c in columns]
     return df.select(*passthrough, *body)

@@ -23,10 +23,13 @@ class ScalerModel:
     scales: list[float]
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
+        # SQL text per column: one JVM call per expression (a wide feature
+        # list otherwise costs thousands of driver round-trips to build).
         exprs = {}
+        present = set(df.columns)
         for c, m, s in zip(self.columns, self.means, self.scales):
-            src = F.col(c) if c in df.columns else F.lit(0.0)
-            exprs[c + suffix] = (src.cast("double") - F.lit(m)) / F.lit(s)
+            src = f"cast(`{c}` as double)" if c in present else "0.0D"
+            exprs[c + suffix] = F.expr(f"({src} - {m!r}D) / {s!r}D")
         return df.withColumns(exprs)
 
     def to_vector(self, df: DataFrame, output: str = "features") -> DataFrame:
@@ -39,8 +42,8 @@ class ScalerModel:
 def fit_scaler(df: DataFrame, columns: list[str]) -> ScalerModel:
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
+        x = f"cast(`{c}` as double)"
+        aggs += [F.expr(f"avg({x}) as m{i}"), F.expr(f"stddev_pop({x}) as s{i}")]
     row = df.agg(*aggs).first()
     means, scales = [], []
     for i in range(len(columns)):

@@ -192,8 +192,9 @@ def read_customers(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     if fmt == "csv":
         return spark.read.schema(RAW_SCHEMA).option("header", True).csv(path)
     df = spark.read.format(fmt).load(path)
+    present = set(df.columns)
     return df.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields
-                       if f.name in df.columns])
+                       if f.name in present])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
