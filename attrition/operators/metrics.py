@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prefix import prefix_sums_desc
+from ..session import checkpointed
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -62,6 +63,11 @@ def score_counts(df: DataFrame, label: str = "churn", score: str = "score",
     per = df.groupBy(*groups, F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("tp"),
         F.sum((1 - F.col(label)).cast("long")).alias("fp"))
+    # The prefix sums read this table five times (edges, buckets, bucket
+    # totals, offsets, P/N) and curves once more: cut the lineage here, so the
+    # scored input is scanned once. The table has one row per distinct score,
+    # at most the input's row count and three columns wide.
+    per = checkpointed(per)
     cum = prefix_sums_desc(per, "threshold", ["tp", "fp"], groups)
     tot_aggs = [F.sum("tp").alias("P"), F.sum("fp").alias("N")]
     if groups:
