@@ -14,19 +14,20 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binning import equal_width_bin
+from ..session import checkpointed
 
 MAX_CLASSES = 1000
 
 
 def churn_share(df: DataFrame, label: str = "churn") -> DataFrame:
-    """count and share per class."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    """count and share per class (one pass; the total is summed over the
+    per-class rows, not over the input)."""
     return (df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("share", F.col("count") / total))
+            .withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy())))
 
 
 def histogram(df: DataFrame, value: str, n_bins: int, class_col: str = "churn",
@@ -36,7 +37,9 @@ def histogram(df: DataFrame, value: str, n_bins: int, class_col: str = "churn",
     rng = df.where(F.col(value).isNotNull()).groupBy(class_col).agg(
         F.min(F.col(value).cast("double")).alias("lo"),
         F.max(F.col(value).cast("double")).alias("hi"))
-    rng = _bounded(rng, MAX_CLASSES)
+    # Checked, then read twice (binning and the bin grid): checkpointed so
+    # neither re-derives it from the input.
+    rng = _bounded(checkpointed(rng), MAX_CLASSES)
     binned = (df.where(F.col(value).isNotNull()).join(F.broadcast(rng), on=class_col)
               .withColumn("bin", equal_width_bin(value, F.col("lo"), F.col("hi"), n_bins)))
     counts = binned.groupBy(class_col, "bin").agg(F.count(F.lit(1)).alias("count"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,9 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def class_distribution(df: DataFrame, label: str = "churn") -> DataFrame:
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    """count and rate per class in one pass (total summed over the class rows)."""
     return (df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("rate", F.col("count") / total))
+            .withColumn("rate", F.col("count") / F.sum("count").over(Window.partitionBy())))
 
 
 def imbalance_ratio(df: DataFrame, label: str = "churn") -> DataFrame:

@@ -6,7 +6,7 @@ column is attached with a literal map (two entries), no join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import ID_COL, TARGET
@@ -15,8 +15,9 @@ from ..schema import ID_COL, TARGET
 def class_weight_table(df: DataFrame, label: str = TARGET) -> DataFrame:
     """(label, count, weight) with weight = n / (n_classes * n_class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    n_classes = counts.agg(F.count(F.lit(1))).scalar()
+    over_classes = Window.partitionBy()  # over the per-class rows only
+    total = F.sum("count").over(over_classes)
+    n_classes = F.count(F.lit(1)).over(over_classes)
     return counts.withColumn("weight", total / (n_classes * F.col("count")))
 
 
@@ -71,7 +72,9 @@ def smote_vectors(train: DataFrame, k: int = 5, seed: int = 42, label: str = TAR
     nbrs = nn.groupBy(id_col).agg(  # exactly k_eff rows per id
         F.array_sort(F.collect_list(F.struct("rank", "neighbor_vec"))).alias("__nbrs"))
     keyed = mino.withColumn("__h", hash_bits(id_col, "smote_extra", seed))
-    want = keyed.groupBy(label).agg(F.lit(r).cast("bigint").alias("__want"))
+    def want(counts):
+        return counts.groupBy(label).agg(F.lit(r).cast("bigint").alias("__want"))
+
     marked = mark_smallest(keyed, "__h", want, label, id_col, out="__extra").drop("__h")
     seeds = (marked.join(nbrs, on=id_col, how="inner")
              .withColumn("__copies", F.lit(q) + F.col("__extra").cast("int"))

@@ -16,11 +16,14 @@ boundary bucket's rows are ranked.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.random import hash_bits, uniform
 from ..schema import ID_COL, TARGET
+from ..session import checkpointed
 
 BUCKET_SHIFT = 12  # 32-bit hash >> 12 = 2^20 buckets per class
 
@@ -31,13 +34,18 @@ def hash_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
     return df.withColumn("is_test", uniform(id_col, "split", seed) < F.lit(float(test_size)))
 
 
-def mark_smallest(df: DataFrame, hash_col: str, want: DataFrame, group_col: str,
-                  id_col: str = ID_COL, out: str = "is_test") -> DataFrame:
+def mark_smallest(df: DataFrame, hash_col: str, want: DataFrame | Callable[[DataFrame], DataFrame],
+                  group_col: str, id_col: str = ID_COL, out: str = "is_test") -> DataFrame:
     """Flag exactly ``want.__want`` rows per group: those with the smallest
     (hash, id). ``hash_col`` holds a 32-bit unsigned hash; ``want`` has one
-    row per group (group_col, __want)."""
+    row per group (group_col, __want), or is a function of the bucket-count
+    table (group_col, __b, __n) that returns it."""
     keyed = df.withColumn("__b", F.shiftright(F.col(hash_col), BUCKET_SHIFT))
-    counts = keyed.groupBy(group_col, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    # At most groups x 2^20 rows whatever the input size; checkpointed so the
+    # wanted counts and the boundary read it instead of the input.
+    counts = checkpointed(keyed.groupBy(group_col, "__b").agg(F.count(F.lit(1)).alias("__n")))
+    if callable(want):
+        want = want(counts)
     w = Window.partitionBy(group_col).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     cum = counts.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     cum = cum.join(F.broadcast(want), on=group_col)
@@ -59,8 +67,11 @@ def exact_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
                 label: str = TARGET, id_col: str = ID_COL) -> DataFrame:
     """Adds ``is_test`` with exactly round(n_class * test_size) test rows per class."""
     keyed = df.withColumn("__h", hash_bits(id_col, "split", seed))
-    want = keyed.groupBy(label).agg(
-        F.round(F.count(F.lit(1)) * F.lit(float(test_size))).cast("bigint").alias("__want"))
+
+    def want(counts: DataFrame) -> DataFrame:
+        return counts.groupBy(label).agg(
+            F.round(F.sum("__n") * F.lit(float(test_size))).cast("bigint").alias("__want"))
+
     return mark_smallest(keyed, "__h", want, label, id_col).drop("__h")
 
 
