@@ -52,3 +52,17 @@ def test_knn_partial_top_k_before_shuffle(spark):
 def test_dedupe_is_partial_aggregate(spark):
     text = _formatted(QUERIES["clean_customers"](spark, SF0001))
     assert "partial_min" in text
+
+
+# Queries whose helper tables (per-score counts, hash-bucket counts, class
+# ranges, class totals) are read several times: the source table is scanned
+# at most this often in the final plan, not once per reader.
+@pytest.mark.parametrize("name,max_scans", [
+    ("metric_auc", 0), ("roc_curve", 0), ("pr_curve", 0), ("metric_avg_precision", 0),
+    ("metrics_row", 1), ("model_comparison", 1),
+    ("stratified_split_exact", 2), ("hist_tenure", 1), ("hist_monthly_charges", 1),
+    ("churn_share", 1), ("class_distribution", 1), ("class_weights", 1),
+])
+def test_source_scanned_once(spark, name, max_scans):
+    text = _formatted(QUERIES[name](spark, SF0001))
+    assert len(re.findall(r"\(\d+\) Scan parquet", text)) <= max_scans
