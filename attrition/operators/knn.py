@@ -181,24 +181,28 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5,
         xid = xs["id"].values
         d2 = _dist_block(q, x)
         d2[qid[:, None] == xid[None, :]] = np.inf  # never its own neighbour
-        m = min(x.shape[0], 2 * k + 2)
-        cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < x.shape[0] else \
-            np.tile(np.arange(x.shape[0]), (q.shape[0], 1))
-        rows_q, rows_n, rows_d, rows_v = [], [], [], []
-        for r in range(q.shape[0]):
-            c = cand[r]
-            c = c[np.isfinite(d2[r, c])]
-            exact = np.sqrt(((x[c] - q[r]) ** 2).sum(axis=1))
-            order = np.lexsort((xid[c], exact))[:k]
-            for o in order:
-                rows_q.append(qid[r])
-                rows_n.append(xid[c[o]])
-                rows_d.append(float(exact[o]))
-                if with_vectors:
-                    rows_v.append(x[c[o]].tolist())
-        data = {"id": rows_q, "neighbor_id": rows_n, "distance": rows_d}
+        nq, nx = d2.shape
+        m = min(nx, 2 * k + 2)
+        cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < nx else \
+            np.broadcast_to(np.arange(nx), (nq, nx))
+        # Tie-break on the neighbour id: its rank among this task's ids.
+        xrank = np.empty(nx, dtype=np.int64)
+        xrank[np.argsort(xid, kind="stable")] = np.arange(nx)
+        sel = np.empty((nq, min(k, m)), dtype=np.int64)
+        dist = np.empty(sel.shape, dtype=np.float64)
+        step = max(1, (1 << 22) // max(1, m * x.shape[1]))  # bounded (rows x m x dim) block
+        for lo in range(0, nq, step):
+            c = cand[lo:lo + step]
+            exact = np.sqrt(((x[c] - q[lo:lo + step, None, :]) ** 2).sum(axis=2))
+            exact[~np.isfinite(np.take_along_axis(d2[lo:lo + step], c, axis=1))] = np.inf
+            order = np.lexsort((xrank[c], exact), axis=1)[:, :sel.shape[1]]
+            sel[lo:lo + step] = np.take_along_axis(c, order, axis=1)
+            dist[lo:lo + step] = np.take_along_axis(exact, order, axis=1)
+        keep = np.isfinite(dist)
+        data = {"id": np.repeat(qid, keep.sum(axis=1)), "neighbor_id": xid[sel[keep]],
+                "distance": dist[keep]}
         if with_vectors:
-            data["neighbor_vec"] = rows_v
+            data["neighbor_vec"] = list(x[sel[keep]])
         return pd.DataFrame(data)
 
     local = both.groupBy("grp", "qcell", "qchunk", "xcell", "xchunk").applyInPandas(local_topk, out_schema)
