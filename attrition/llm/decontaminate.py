@@ -32,25 +32,25 @@ _HALF = 2.0 ** 63
 
 
 def word_list(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: F.char_length(w) > 0)
+    trimmed = F.btrim(F.lower(text), F.lit(common.SPACE))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
+        F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
-def _shingles(words: Column, width: int, join) -> Column:
-    """Distinct shingles of ``width`` items; the array is bound once a row."""
-    one = F.array(F.struct(words.alias("w")))
-    return F.array_distinct(F.transform(one, lambda s: F.when(
-        F.size(s["w"]) >= width,
-        F.transform(F.sequence(F.lit(0), F.size(s["w"]) - width),
-                    lambda i: join([F.get(s["w"], i + k) for k in range(width)]))
-    ).otherwise(F.array().cast("array<bigint>" if join is _hashed else "array<string>")))[0])
+def _shingles(df: DataFrame, width: int, keep: list[str]) -> DataFrame:
+    """A row (keep, w0, w1, ...) per run of ``width`` words of the array ``w``:
+    the array zipped with its own tails, which stays in generated code."""
+    runs = F.arrays_zip(*[F.slice("w", k + 1, F.size("w")).alias(f"w{k}") for k in range(width)])
+    return df.select(*keep, F.inline(runs).alias(*[f"w{k}" for k in range(width)])) \
+        .filter(F.col(f"w{width - 1}").isNotNull())
 
 
-def _hashed(parts: list[Column]) -> Column:
-    return F.xxhash64(*parts)
+def _hashed(width: int) -> Column:
+    return F.xxhash64(*[f"w{k}" for k in range(width)]).alias("h")
 
 
-def _joined(parts: list[Column]) -> Column:
-    return F.concat_ws(" ", *parts)
+def _joined(width: int) -> Column:
+    return F.concat_ws(" ", *[f"w{k}" for k in range(width)]).alias("s")
 
 
 def _below(h: Column, share: Column) -> Column:
@@ -79,32 +79,32 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_c
 
 
 def _find(docs, items, id_col, text, width, containment, sketch) -> DataFrame:
-    own = items.select("item_id", _shingles(F.transform("w", lambda w: F.xxhash64(w)), width, _hashed).alias("s")) \
-        .withColumn("n", F.size("s"))
+    own = _shingles(items, width, ["item_id"]).select("item_id", _hashed(width)).distinct()
+    sizes = own.groupBy("item_id").agg(F.count("*").alias("n"))
     share = F.lit(float(sketch)) / F.pow(F.lit(2.0), F.floor(F.log2(F.col("n").cast("double"))))
-    sketches = (own.select("item_id", share.alias("share"), F.explode("s").alias("h"))
-                .filter(_below(F.col("h"), F.col("share"))).select("h", "item_id"))
+    sketches = own.join(sizes, "item_id").filter(_below(F.col("h"), share)).select("h", "item_id")
     keys = common.sized(sketches.select("h").distinct())
     k1, k2 = common.row_key(F.col(f"`{id_col}`"), text)
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"),
                       k1.alias("k1"), k2.alias("k2"))
-    hashes = _shingles(F.transform(word_list(F.col("text")), lambda w: F.xxhash64(w)), width, _hashed)
-    hits = src.select("k1", "k2", F.explode(hashes).alias("h")).join(keys, "h", "left_semi")
+    words = src.withColumn("w", word_list(F.col("text")))
+    hits = (_shingles(words, width, ["k1", "k2"]).select("k1", "k2", _hashed(width))
+            .join(keys, "h", "left_semi"))
     # written: candidates are read for the documents and for the pairs
     candidates = common.stored(hits.join(sketches, "h").select("k1", "k2", "item_id").distinct(),
                                "leak-candidates")
     suspects = common.sized(candidates.select("k1", "k2").distinct())
-    strings = (src.join(suspects, ["k1", "k2"], "left_semi")
-               # numbered before the explode: repeated rows are counted apart
-               .withColumn("row", F.monotonically_increasing_id())
-               .select("doc_id", "k1", "k2", "row",
-                       F.explode(_shingles(word_list(F.col("text")), width, _joined)).alias("s")))
-    wanted = items.select("item_id", _shingles(F.col("w"), width, _joined).alias("all")) \
-        .select("item_id", F.size("all").cast("long").alias("n_shingles"), "all")
-    exact = wanted.select("item_id", "n_shingles", F.explode("all").alias("s"))
+    # numbered before the shingles: repeated rows are counted apart
+    read = words.join(suspects, ["k1", "k2"], "left_semi") \
+        .withColumn("row", F.monotonically_increasing_id())
+    strings = _shingles(read, width, ["doc_id", "k1", "k2", "row"]) \
+        .select("doc_id", "k1", "k2", "row", _joined(width))
+    wanted = _shingles(items, width, ["item_id"]).select("item_id", _joined(width)).distinct()
+    exact = wanted.join(wanted.groupBy("item_id").agg(F.count("*").alias("n_shingles")), "item_id")
     need = F.ceil(F.lit(containment) * F.col("n_shingles") - 1e-9)
     return (strings.join(exact, "s").join(candidates, ["k1", "k2", "item_id"], "left_semi")
-            .groupBy("row", "doc_id", "item_id", "n_shingles").agg(F.count("*").alias("n_shared"))
+            .groupBy("row", "doc_id", "item_id", "n_shingles")
+            .agg(F.count_distinct("s").alias("n_shared"))
             .filter(F.col("n_shared") >= need)
             .select("doc_id", "item_id", "n_shingles", "n_shared",
                     (F.col("n_shared") / F.col("n_shingles")).alias("containment")))
