@@ -2,14 +2,13 @@
 
 Lines (split at LF) are normalised to keys: white space stripped at both ends,
 A-Z lower-cased. Keys are hashed to 128 bits, the documents of each hash are
-counted (a document once, aggregated before the shuffle), and the lines of
+counted (a document once; partly aggregated before each shuffle), and the lines of
 hashes found in at least ``min_docs`` documents are dropped everywhere. Texts
 are never shuffled by line: only (row key, position) of dropped lines is, and
 the kept lines are put together by position within their row.
 
 Null or empty text is one empty line. Keys shorter than ``min_chars`` code
-points are never dropped. A table row is a document, so a repeated row counts
-again. Null ids are allowed: rows meet by a hash of id and text, and equal rows
+points are never dropped. Rows equal in id and text count as one document. Null ids are allowed: rows meet by a hash of id and text, and equal rows
 get equal results. An empty table gives an empty result. Input columns named
 like an output column are replaced.
 """
@@ -30,13 +29,10 @@ def _hash(key: str = "key") -> list[Column]:
     return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("line"), F.col(key)).alias("h2")]
 
 
-def frequent_lines(lines: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
-    """Hashes of the keys found in at least ``min_docs`` rows of ``lines`` (array column)."""
-    keys = F.array_distinct(F.transform("lines", line_key))
-    return (lines.select(F.explode(keys).alias("key"))
-            .filter(F.char_length("key") >= min_chars)
-            .select(*_hash()).groupBy("h1", "h2").agg(F.count("*").alias("n"))
-            .filter(F.col("n") >= min_docs).drop("n"))
+def frequent_lines(lines: DataFrame, min_docs: int) -> DataFrame:
+    """Hashes found in at least ``min_docs`` documents of (k1, k2, pos, h1, h2)."""
+    return (lines.groupBy("h1", "h2").agg(F.count_distinct("k1", "k2").alias("n"))
+            .filter(F.col("n") >= min_docs).select("h1", "h2"))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -45,13 +41,14 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     line is kept), n_lines (before) and n_dropped."""
     text = common.text_of(f"`{text_col}`")
     k1, k2 = common.row_key(F.col(f"`{id_col}`"), text)
-    own = df.select(k1.alias("k1"), k2.alias("k2"), F.split(text, "\n", -1).alias("lines"))
-    frequent = frequent_lines(own, min_docs, min_chars)
-    dropped = (own.select("k1", "k2", F.posexplode("lines").alias("pos", "line"))
-               .select("k1", "k2", "pos", line_key(F.col("line")).alias("key"))
-               .filter(F.char_length("key") >= min_chars)
-               .select("k1", "k2", "pos", *_hash())
-               .join(frequent, ["h1", "h2"], "left_semi")
+    # each line is normalised once; counting and dropping read this narrow table
+    lines = common.stored(
+        df.select(k1.alias("k1"), k2.alias("k2"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+        .select("k1", "k2", "pos", line_key(F.col("line")).alias("key"))
+        .filter(F.char_length("key") >= min_chars)
+        .select("k1", "k2", "pos", *_hash()), "line-hashes")
+    frequent = common.sized(common.stored(frequent_lines(lines, min_docs), "frequent-lines"))
+    dropped = (lines.join(frequent, ["h1", "h2"], "left_semi")
                .groupBy("k1", "k2").agg(F.collect_set("pos").alias("__drop"))
                .withColumnsRenamed({"k1": "__k1", "k2": "__k2"}))
     joined = df.withColumns({"__k1": k1, "__k2": k2}).join(dropped, ["__k1", "__k2"], "left")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import common, decontaminate, line_dedup, packing, token_counts
+from attrition.llm import common, decontaminate, line_dedup, ngram_join, packing, token_counts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -53,3 +53,8 @@ def op3_packing(spark, sf_dir):
 def op7_decontamination(spark, sf_dir):
     return decontaminate.find_items(documents(spark, sf_dir).select("doc_id", "text"),
                                     common.table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
