@@ -417,10 +417,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``df`` with one row per component: the first row (by text) of its smallest
-    id. Rows of a null id in a component of null ids only are kept as one."""
-    found = near_duplicates(df, id_col, text_col, **options)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__gone")).distinct()
-    kept = df.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("__gone")), "left_anti")
+    """``df`` with one row of each component, that of its smallest id. An id is
+    a document: of rows that share an id, one stays."""
+    found = common.stored(near_duplicates(df, id_col, text_col, **options), "near")
+    key = F.col(f"`{id_col}`")
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .select(F.col("doc_id").alias("__id")).distinct()
+    kept = df.join(gone, key.eqNullSafe(F.col("__id")), "left_anti")
+    repeated = found.groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id")
+    if repeated.take(1):
+        many = kept.join(repeated, key.eqNullSafe(F.col("__id")), "left_semi").dropDuplicates([id_col])
+        kept = kept.join(repeated, key.eqNullSafe(F.col("__id")), "left_anti").union(many)
     return kept

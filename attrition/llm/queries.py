@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import common, decontaminate, line_dedup, ngram_join, packing, token_counts
+from attrition.llm import common, decontaminate, line_dedup, ngram_join, packing, token_counts, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -58,3 +58,11 @@ def op7_decontamination(spark, sf_dir):
 @query()
 def op10_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query()
+def op8_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.train_on_labels(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
