@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import common, decontaminate, line_dedup, ngram_join, packing, token_counts, toxicity
+from attrition.llm import (
+    common, decontaminate, fingerprints, line_dedup, ngram_join, packing, secrets, token_counts,
+    toxicity, warc,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -66,3 +69,37 @@ def op8_toxicity(spark, sf_dir):
     model = toxicity.train_on_labels(docs, common.table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model).select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query()
+def op4_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+#: DuckDB SQL of the round trip's result.
+WARC_ORACLE = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n::BIGINT AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d
+"""
+
+
+@query(WARC_ORACLE)
+def op6_warc(spark, sf_dir):
+    captures = warc.round_trip(common.table(spark, sf_dir, "pages"))
+    own = F.col("response.type") == "response"
+    return captures.select(
+        "page_id",
+        F.when(own, F.octet_length("response.payload")).otherwise(F.col("response.payload_bytes"))
+        .cast("long").alias("payload_bytes"),
+        F.when(own, F.sha2("response.payload", 256)).otherwise(F.col("response.digest")).alias("payload_digest"),
+        F.col("response.type").alias("record_type"), "refers_to")
+
+
+@query()
+def op9_secrets(spark, sf_dir):
+    return secrets.scan(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
