@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.llm import (
-    common, decontaminate, fingerprints, line_dedup, ngram_join, packing, secrets, token_counts,
+    common, decontaminate, fingerprints, licenses, line_dedup, ngram_join, packing, secrets, token_counts,
     toxicity, warc,
 )
 
@@ -103,3 +103,14 @@ def op6_warc(spark, sf_dir):
 def op9_secrets(spark, sf_dir):
     return secrets.scan(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query()
+def op5_licenses(spark, sf_dir):
+    """Documents as files source/lang/doc_id."""
+    docs = documents(spark, sf_dir).select(
+        "doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
+    found = common.stored(licenses.headers(docs).drop("text"), "license-headers")
+    return licenses.inherit(found).select(
+        "doc_id", "path", "header_license", F.round("header_score", 6).alias("header_score"),
+        "license", "license_from", "license_distance")
