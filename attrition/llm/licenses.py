@@ -130,9 +130,13 @@ def headers(df: DataFrame, text_col: str = "text", threshold: float = 0.6) -> Da
     """``df`` with header_license, header_score, header_line and header_first (null: none)."""
     common.python_ready(df)
     text = common.text_of(f"`{text_col}`")
-    vocabulary = F.array(*map(F.lit, template_terms()))
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+(?:[-.]\w+)*"), F.lit(0))
-    counted = (df.select(F.explode(F.array_intersect(words, vocabulary)).alias("t"))
+
+    @F.pandas_udf("array<string>")
+    def known(texts):
+        vocabulary = set(template_terms())
+        return texts.map(lambda t: sorted(vocabulary.intersection(terms(t))))
+
+    counted = (df.select(F.explode(known(text)).alias("t"))
                .groupBy("t").count().collect())  # at most a row per template term
     frequency, n = {r[0]: r[1] for r in counted}, df.count()
 
