@@ -7,7 +7,8 @@
    and only groups are posted under their prefix items.
 3. Within a posting list, group pairs pass the size and the position filter.
    A short list gives all its pairs. A long one gives pairs with a few leaders
-   only and is kept as open.
+   only and is kept as open. Pairs are counted over the lists, and those whose
+   count bounds the overlap below the similarity go.
 4. Group pairs are expanded to their members, and members are verified on the
    whole sets. Links make components.
 5. An open list whose members have all met in one component holds no further
@@ -47,37 +48,50 @@ BLOCK = 2_000_000
 SALTS = 64
 
 
+class _WordHashes(dict):
+    """Hashes of words, remembered; a missing one is made."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 @functools.lru_cache(maxsize=1)
 def _hasher(width: int):
-    import re
-
     import numpy as np
     import xxhash
 
-    cut = re.compile("[^ \t\n\x0b\x0c\r]+").findall
-    lower = {ord(c): c.lower() for c in common.UPPER}
-    seen: dict[str, int] = {}
+    seen = _WordHashes()
     mult = [np.uint64(xxhash.xxh64_intdigest(bytes([k])) | 1) for k in range(width)]
+    down, half = np.uint64(29), np.uint64(32)
 
     def shingles(text: str):
         """The sorted distinct shingle hashes of a text."""
-        words = cut(text.lower() if text.isascii() else text.translate(lower))
+        # of bytes, lower() is A-Z only and split() cuts at the contract's six characters
+        words = text.encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.zeros(0, np.uint64)
         if len(words) < width:
-            return np.array([xxhash.xxh64_intdigest(" ".join(words), seed=7)], np.uint64)
+            return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=7)], np.uint64)
         if len(seen) > 500_000:
             seen.clear()
-        for w in words:
-            if w not in seen:
-                seen[w] = xxhash.xxh64_intdigest(w)
         h = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
         n = len(words) - width + 1
-        s = np.zeros(n, np.uint64)
-        for k in range(width):
-            s = (s ^ (s >> np.uint64(29))) * mult[k] + h[k:k + n]
-        s = (s ^ (s >> np.uint64(32))) * mult[0]
-        return np.unique(s ^ (s >> np.uint64(29)))
+        s = h[:n] * mult[0]
+        for k in range(1, width):
+            s ^= s >> down
+            s += h[k:k + n]
+            s *= mult[k]
+        s ^= s >> half
+        s *= mult[0]
+        s ^= s >> down
+        s.sort()
+        keep = np.empty(n, bool)
+        keep[0] = True
+        np.not_equal(s[1:], s[:-1], out=keep[1:])
+        return s[keep]
 
     return shingles
 
@@ -214,11 +228,15 @@ def _may_link_sql(similarity: float) -> str:
 
 
 def group_pairs(posted: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of groups that share a prefix item and pass the filters, and
-    the members (a, null, item, n, pos) of open lists. Each task streams its
-    sorted lists and holds one batch and one short list at most."""
-    spread = (posted.repartition(F.col("item"), F.col("salt"))
-              .sortWithinPartitions("item", "salt", "grp").select("item", "salt", "grp", "n", "pos"))
+    """From rows (list, item, grp, size_pos) of one kind of posting list: pairs
+    (a, b, n) of groups that share an item and pass the filters, n = 1 for each
+    short list they share and 0 from a leader; and the members (a, null, item, n,
+    pos) of open lists. ``list`` is the item itself, or for salted lists a hash
+    with ``item`` beside it. Each task streams its sorted lists and holds one
+    batch and one short list at most."""
+    salted = "item" in posted.columns
+    cols = ["list", "grp", "size_pos"] + ["item"] * salted
+    spread = posted.repartition(F.col("list")).sortWithinPartitions("list", "grp").select(*cols)
     names = ["a", "b", "item", "n", "pos"]
     kinds = ("int64", "int64", "int64", "int32", "int32")
 
@@ -231,59 +249,60 @@ def group_pairs(posted: DataFrame, similarity: float) -> DataFrame:
                 [pa.nulls(len(a), t) if c is None else pa.array(c, t)
                  for c, t in zip((a, b, item, n, pos), map(pa.type_for_alias, kinds), strict=True)], names)
 
-        def part_of_long(item, salt, g, n, p, lead):
+        def part_of_long(key, g, n, p, item, lead):
             """Rows of one long list against its leaders, which its first rows become."""
             lead += list(zip(g.tolist(), n.tolist(), p.tolist(), strict=True))[:LEADERS - len(lead)]
             for lg, ln, lp in lead:
                 ok = (g != lg) & _may_link(n, p, ln, lp, similarity)
                 if ok.any():
-                    yield rows(np.full(int(ok.sum()), lg), g[ok])
+                    yield rows(np.full(int(ok.sum()), lg), g[ok], n=np.zeros(int(ok.sum()), np.int32))
             yield rows(g, None, item, n, p)
 
-        def lists(item, salt, g, n, p):
+        def lists(key, g, n, p, item):
             """Whole lists: short ones give all pairs."""
-            new = np.r_[True, (item[1:] != item[:-1]) | (salt[1:] != salt[:-1])]
-            first = np.flatnonzero(new)
-            size = np.diff(np.r_[first, len(item)])
-            long = (size > SHORT) | (salt[first] >= 0)
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(np.r_[first, len(key)])
+            long = (size > SHORT) | salted
             room = np.repeat(np.where(long, 0, size), size)
-            rank = np.arange(len(item)) - np.repeat(first, size)
+            rank = np.arange(len(key)) - np.repeat(first, size)
             for d in range(1, int(room.max(initial=0))):
                 x = np.flatnonzero(rank + d < room)
-                x = x[_may_link(n[x], p[x], n[x + d], p[x + d], similarity)]
+                # by size only: a pair is counted in every short list that it shares
+                x = x[_may_link(n[x], 0, n[x + d], 0, similarity)]
                 if len(x):
-                    yield rows(g[x], g[x + d])
+                    yield rows(g[x], g[x + d], n=np.ones(len(x), np.int32))
             for k in np.flatnonzero(long):
                 s = slice(first[k], first[k] + size[k])
-                yield from part_of_long(item[s], salt[s], g[s], n[s], p[s], [])
+                yield from part_of_long(key[s], g[s], n[s], p[s], item[s], [])
 
-        held, key, lead = None, None, []
+        held, open_key, lead = None, None, []
         for batch in batches:
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            key, g, both = cols[:3]
+            cols = [key, g, both >> 32, both & 0xFFFFFFFF, cols[3] if salted else key]
             if held is not None:
                 cols = [np.concatenate(c) for c in zip(held, cols, strict=True)]
-            if not len(cols[0]):
+            key, g = cols[:2]
+            if not len(key):
                 continue
-            item, salt, g = cols[:3]
-            once = np.r_[True, (item[1:] != item[:-1]) | (g[1:] != g[:-1])]  # a group once a list
+            once = np.r_[True, (key[1:] != key[:-1]) | (g[1:] != g[:-1])]  # a group once a list
             cols, held = [c[once] for c in cols], None
-            if key is not None:  # a long list that earlier batches began
-                other = np.flatnonzero((cols[0] != key[0]) | (cols[1] != key[1]))
+            if open_key is not None:  # a long list that earlier batches began
+                other = np.flatnonzero(cols[0] != open_key)
                 m = int(other[0]) if len(other) else len(cols[0])
                 if m:
                     yield from part_of_long(*(c[:m] for c in cols), lead)
                 cols = [c[m:] for c in cols]
                 if not len(cols[0]):
                     continue
-                key = None
-            item, salt = cols[:2]
-            change = np.flatnonzero((item[1:] != item[:-1]) | (salt[1:] != salt[:-1]))
+                open_key = None
+            change = np.flatnonzero(cols[0][1:] != cols[0][:-1])
             at = int(change[-1]) + 1 if len(change) else 0
             if at:
                 yield from lists(*(c[:at] for c in cols))
             held = [c[at:] for c in cols]
             if len(held[0]) > SHORT:
-                key, lead = (held[0][0], held[1][0]), []
+                open_key, lead = held[0][0], []
                 yield from part_of_long(*held, lead)
                 held = None
         if held is not None and len(held[0]):
@@ -292,6 +311,26 @@ def group_pairs(posted: DataFrame, similarity: float) -> DataFrame:
     return spread.mapInArrow(run, "a long, b long, item long, n int, pos int")
 
 
+def likely_pairs(raw: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+    """The distinct group pairs that can still reach the similarity.
+
+    Up to the end of the shorter prefix (in the global order) the two share at
+    most the counted short lists plus as many long ones as either is in, and
+    beyond it at most what is left of that group's items."""
+    counted = (raw.filter("b IS NOT NULL")
+               .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("c")))
+    long = raw.filter("b IS NULL").groupBy(F.col("a").alias("grp")).agg(F.count_distinct("item").alias("l"))
+    size = (members.groupBy("grp").agg(F.max("n").alias("n")).join(long, "grp", "left")
+            .select("grp", "n", F.coalesce("l", F.lit(0)).alias("l"),
+                    (F.ceil(F.lit(similarity) * F.col("n") - 1e-9) - 1).alias("rest")))
+    x, y = (size.select(F.col("grp").alias(g), *[F.col(c).alias(c + g) for c in ("n", "l", "rest")])
+            for g in ("a", "b"))
+    share = similarity / (1 + similarity)
+    return (counted.join(x, "a").join(y, "b")
+            .filter(F.col("c") + F.least("la", "lb") + F.greatest("resta", "restb")
+                    >= F.ceil(F.lit(share) * (F.col("na") + F.col("nb")) - 1e-9)).select("a", "b"))
+
+
 def _expanded(pairs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Member pairs (a, b) of group pairs, and open lists (list, node, n, pos).
     Large products are compared by leaders first and stay open."""
@@ -317,21 +356,29 @@ def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
     """The pairs (a, b, shared, union) of nodes whose whole sets reach the similarity."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = common.stored(rows.join(nodes, "node").groupBy("node").agg(F.min("id").alias("rid")), "wanted")
-    few = common.sized(wanted.select("rid").distinct())
+    few = common.sized(wanted)
     src = docs.join(few, docs["id"].eqNullSafe(few["rid"]), "left_semi")
 
     def sets(batches):
         import pyarrow as pa
 
-        shingles = _hasher(width)
+        shingles, seen = _hasher(width), set()
         for batch in batches:
-            found = [shingles(t.as_py()) for t in batch.column(1)]
+            found = [(i, _set_id(s), s) for i, s in ((i, shingles(t)) for i, t in _texts([batch]))]
+            new = []
+            for x in found:  # repeated rows once a task
+                if x[1] not in seen:
+                    seen.add(x[1])
+                    new.append(x)
+            if len(seen) > 1_000_000:
+                seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(map(_set_id, found), pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())],
-                ["node", "items"])
+                [pa.array([x[0] for x in new], pa.int64()), pa.array([x[1] for x in new], pa.int64()),
+                 pa.array([x[2].tobytes() for x in new], pa.binary())], ["id", "set", "items"])
 
-    own = common.stored(src.mapInArrow(sets, "node long, items binary")
-                        .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    made = src.mapInArrow(sets, "id long, set long, items binary")
+    own = common.stored(made.join(few, made["id"].eqNullSafe(few["rid"]) & (made["set"] == few["node"]),
+                                  "left_semi").select(F.col("set").alias("node"), "items"), "sets")
 
     def check(batches):
         import numpy as np
@@ -350,9 +397,12 @@ def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b", "shared", "all"])
 
-    return (pairs.join(own.select(F.col("node").alias("a"), F.col("items").alias("s")), "a")
-            .join(own.select(F.col("node").alias("b"), F.col("items").alias("t")), "b")
-            .select("a", "b", "s", "t").mapInArrow(check, "a long, b long, shared long, all long"))
+    links = common.stored(
+        pairs.join(own.select(F.col("node").alias("a"), F.col("items").alias("s")), "a")
+        .join(own.select(F.col("node").alias("b"), F.col("items").alias("t")), "b")
+        .select("a", "b", "s", "t").mapInArrow(check, "a long, b long, shared long, all long"), "links")
+    common.forget(own)
+    return links
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -374,17 +424,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hot, hot_count = hot[order], np.array([r[1] for r in found], np.int64)[order]
 
     posted = common.stored(postings(docs, width, similarity, hot, hot_count), "postings")
-    members = posted.select("grp", "node", "n").distinct()
+    members = common.stored(posted.select("grp", "node", "n").distinct(), "members")
     lists = (posted.filter(F.size("items") > 0)
              .select("grp", "n", "cold", F.posexplode("items").alias("pos", "item"))
-             .select("item", "grp", "n", "pos", F.when(F.col("pos") >= F.col("cold"), F.pmod(
-                 F.col("grp"), F.lit(SALTS))).otherwise(F.lit(-1)).cast("int").alias("salt")))
-    raw = common.stored(group_pairs(lists, similarity), "group-pairs")
-    pairs = raw.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+             .withColumn("size_pos", F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")))
+    cold = group_pairs(lists.filter("pos < cold").select(F.col("item").alias("list"), "grp", "size_pos"),
+                       similarity)
+    salted = group_pairs(lists.filter("pos >= cold").select(
+        F.xxhash64("item", F.pmod("grp", F.lit(SALTS))).alias("list"), "item", "grp", "size_pos"), similarity)
+    raw = common.stored(cold.union(salted), "group-pairs")
+    common.forget(posted)
+    pairs = likely_pairs(raw, members, similarity)
     expanded, wide = _expanded(common.stored(pairs, "pairs"), members)
     first = common.stored(expanded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                           .filter("a <> b").distinct(), "candidates")
-    links = common.stored(verified(first, docs, rows, width, similarity), "links")
+    links = verified(first, docs, rows, width, similarity)
     roots = common.stored(components(links.select("a", "b")), "roots")
 
     # open lists: pairs across components only
@@ -403,7 +457,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .join(first, ["a", "b"], "left_anti"))
     cross = common.stored(cross, "cross")
     if cross.take(1):
-        more = common.stored(verified(cross, docs, rows, width, similarity), "links")
+        more = verified(cross, docs, rows, width, similarity)
         roots = common.stored(components(links.select("a", "b").union(more.select("a", "b"))), "roots")
 
     # class -> component -> smallest id; classes are grouped before any join
