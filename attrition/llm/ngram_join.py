@@ -12,9 +12,10 @@
 4. Group pairs are expanded to their members, and members are verified on the
    whole sets. Links make components.
 5. An open list whose members have all met in one component holds no further
-   news. For the others, every pair across components that passes the filters
-   is verified, so that no link between components is lost; links inside a
-   component change nothing. No list, bucket or partner count is capped.
+   news. In the others, two rounds compare one node of each component, and then
+   every pair across components that passes the filters is verified, so that
+   no link between components is lost; links inside a component change nothing.
+   No list, bucket or partner count is capped.
 
 The frequent shingles, which only choose the order, are those that reach
 ``frequent`` of the documents in some block of the scan; there are at most
@@ -441,24 +442,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = verified(first, docs, rows, width, similarity)
     roots = common.stored(components(links.select("a", "b")), "roots")
 
-    # open lists: pairs across components only
-    opened = (raw.filter("b IS NULL").select(F.col("a").alias("grp"), F.col("item").alias("list"), "n", "pos")
-              .join(members.select("grp", "node"), "grp").select("list", "node", "n", "pos")
-              .union(wide.select("list", "node", "n", "pos"))
-              .join(roots, "node", "left")
-              .select("list", "node", "n", "pos", F.coalesce("root", "node").alias("root")))
-    opened = common.stored(opened, "open")
-    several = opened.groupBy("list").agg(F.min("root").alias("r0"), F.max("root").alias("r1")) \
-        .filter("r0 <> r1").select("list")
-    live = opened.join(several, "list", "left_semi")
-    cross = (live.alias("x").join(live.alias("y"), F.expr(
-        f"x.list = y.list AND x.node < y.node AND x.root <> y.root AND {_may_link_sql(similarity)}"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti"))
-    cross = common.stored(cross, "cross")
-    if cross.take(1):
-        more = verified(cross, docs, rows, width, similarity)
-        roots = common.stored(components(links.select("a", "b").union(more.select("a", "b"))), "roots")
+    # open lists: pairs across components only, first of one node per component
+    opened = common.stored(
+        raw.filter("b IS NULL").select(F.col("a").alias("grp"), F.col("item").alias("list"), "n", "pos")
+        .join(members.select("grp", "node"), "grp").select("list", "node", "n", "pos")
+        .union(wide.select("list", "node", "n", "pos")), "open")
+    tried = first
+    for exhaustive in (False, False, True):
+        placed = opened.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = placed.groupBy("list").agg(F.min("root").alias("r0"), F.max("root").alias("r1")) \
+            .filter("r0 <> r1").select("list")
+        live = placed.join(several, "list", "left_semi")
+        if exhaustive:
+            pairs = live.alias("x").join(live.alias("y"), F.expr(
+                f"x.list = y.list AND x.node < y.node AND x.root <> y.root AND {_may_link_sql(similarity)}")) \
+                .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        else:
+            # the sides change from round to round, as roots do
+            reps = live.groupBy("list", "root").agg(F.min("node").alias("rep"))
+            lead = reps.groupBy("list").agg(F.min("rep").alias("lead"))
+            pairs = reps.join(lead, "list").filter("rep <> lead") \
+                .select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+        new = common.stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "cross")
+        if not new.take(1):
+            continue
+        links = links.union(verified(new, docs, rows, width, similarity))
+        roots = common.stored(components(links.select("a", "b")), "roots")
+        tried = tried.union(new)
 
     # class -> component -> smallest id; classes are grouped before any join
     classes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")) \
