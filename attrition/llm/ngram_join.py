@@ -12,7 +12,7 @@
 4. Group pairs are expanded to their members, and members are verified on the
    whole sets. Links make components.
 5. An open list whose members have all met in one component holds no further
-   news. In the others, two rounds compare one node of each component, and then
+   news. In the others, three rounds compare one node of each component, and then
    every pair across components that passes the filters is verified, so that
    no link between components is lost; links inside a component change nothing.
    No list, bucket or partner count is capped.
@@ -448,19 +448,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .join(members.select("grp", "node"), "grp").select("list", "node", "n", "pos")
         .union(wide.select("list", "node", "n", "pos")), "open")
     tried = first
-    for exhaustive in (False, False, True):
+    for turn in (1, 2, 3, 0):  # 0: all pairs
         placed = opened.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         several = placed.groupBy("list").agg(F.min("root").alias("r0"), F.max("root").alias("r1")) \
             .filter("r0 <> r1").select("list")
         live = placed.join(several, "list", "left_semi")
-        if exhaustive:
+        if not turn:
             pairs = live.alias("x").join(live.alias("y"), F.expr(
                 f"x.list = y.list AND x.node < y.node AND x.root <> y.root AND {_may_link_sql(similarity)}")) \
                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         else:
-            # the sides change from round to round, as roots do
-            reps = live.groupBy("list", "root").agg(F.min("node").alias("rep"))
-            lead = reps.groupBy("list").agg(F.min("rep").alias("lead"))
+            # another node of each component every time, against the largest one's
+            reps = live.groupBy("list", "root").agg(
+                F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("k"), "node")).getField("node").alias("rep"),
+                F.count("*").alias("size"))
+            lead = reps.groupBy("list").agg(F.max(F.struct("size", "rep")).getField("rep").alias("lead"))
             pairs = reps.join(lead, "list").filter("rep <> lead") \
                 .select(F.col("lead").alias("a"), F.col("rep").alias("b"))
         new = common.stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "cross")
