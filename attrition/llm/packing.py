@@ -32,11 +32,23 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 
+class _Codes(dict):
+    """Numbers words as they come; new ones are queued for encoding."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        k = self[word] = len(self)
+        return k
+
+
 class WordIds:
     """Library ids of pre-tokens, kept in flat arrays so that a text's ids are
     gathered without a Python loop over its tokens."""
 
-    KEEP = 300_000
+    KEEP = 700_000
 
     def __init__(self, path: str):
         self.path, self.tok = path, tokenizer(path)
@@ -45,15 +57,17 @@ class WordIds:
     def _reset(self):
         import numpy as np
 
-        self.code, self.flat = {}, np.zeros(1 << 16, np.uint32)
+        self.code, self.flat = _Codes(), np.zeros(1 << 16, np.uint32)
         self.length, self.at = np.zeros(1 << 15, np.int32), np.zeros(1 << 15, np.int64)
         self.ends, self.used = np.zeros(1 << 15, bool), 0
 
-    def _add(self, words: list[str]):
+    def _add(self):
         import numpy as np
 
+        words, self.code.new = self.code.new, []
+        k = len(self.code) - len(words)
         for w, e in zip(words, self.tok.encode_batch(words, add_special_tokens=False), strict=True):
-            k, ids = len(self.code), e.ids
+            ids = e.ids
             if k == len(self.length):
                 self.length, self.at, self.ends = (
                     np.concatenate([a, np.zeros_like(a)]) for a in (self.length, self.at, self.ends))
@@ -63,7 +77,7 @@ class WordIds:
             self.length[k], self.at[k] = len(ids), self.used
             self.ends[k] = w[-1] in SENTENCE_END and not is_special(w, self.path)
             self.used += len(ids)
-            self.code[w] = k
+            k += 1
 
     def encode(self, text: str, end_id: int):
         """The ids (uint32) with the end id, and the positions after sentence ends."""
@@ -72,11 +86,9 @@ class WordIds:
         words = pretokens(text, self.path)
         if len(self.code) > self.KEEP:
             self._reset()
-        code = self.code
-        new = [w for w in dict.fromkeys(words) if w not in code]
-        if new:
-            self._add(new)
-        codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        if self.code.new:
+            self._add()
         n = self.length[codes]
         upto = np.cumsum(n, dtype=np.int64)
         total = int(upto[-1]) if len(words) else 0

@@ -27,6 +27,7 @@ an output column are replaced.
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -109,8 +110,8 @@ def kernel(words: list[str], landmarks: list[str]):
     column = np.full(1 << 18, len(used), np.int32)
     column[used] = np.arange(len(used))
     out = np.zeros((len(words), len(landmarks)), np.float32)
-    for s in range(0, len(words), 512):
-        r, i, w = features(words[s:s + 512])
+    for s in range(0, len(words), 256):
+        r, i, w = features(words[s:s + 256])
         c = column[i]
         ok = c < len(used)
         order = np.argsort(r[ok], kind="stable")
@@ -153,17 +154,23 @@ class Model:
         return 1.0 / (1.0 + np.exp(-z))
 
 
-def _squared_hinge(z, y, weight, penalty: float = 1e-3, steps: int = 30):
-    """Weights and bias of the linear machine, by Newton steps."""
-    x = np.hstack([z, np.ones((len(z), 1), z.dtype)]).astype(np.float64)
-    b = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], penalty)
-    ridge[-1] = 1e-8
+def _squared_hinge(z, rows, y, weight, penalty: float = 1e-3, steps: int = 30):
+    """Weights and bias of the linear machine on the rows ``rows`` of z, by
+    Newton steps; rows are taken in blocks, so that nothing of z's size is copied."""
+    d = z.shape[1] + 1
+    b = np.zeros(d)
+    ridge = np.diag(np.r_[np.full(d - 1, penalty), 1e-8])
     for _ in range(steps):
-        act = y * (x @ b) < 1
-        xa, wa = x[act], weight[act]
-        new = np.linalg.solve((xa * wa[:, None]).T @ xa + np.diag(ridge), xa.T @ (wa * y[act]))
-        done = np.abs(new - b).max() < 1e-6
+        h, g = ridge.copy(), np.zeros(d)
+        for s in range(0, len(rows), 4096):
+            x = np.hstack([z[rows[s:s + 4096]], np.ones((len(rows[s:s + 4096]), 1))]).astype(np.float64)
+            yb, wb = y[s:s + 4096], weight[s:s + 4096]
+            act = yb * (x @ b) < 1
+            xa = x[act]
+            h += (xa * wb[act, None]).T @ xa
+            g += xa.T @ (wb * yb)[act]
+        new = np.linalg.solve(h, g)
+        done = np.abs(new - b).max() < 1e-5
         b = new
         if done:
             break
@@ -186,11 +193,11 @@ def _platt(v, y):
     return float(b[0] / std), float(b[1] - b[0] * mean / std)
 
 
-def fit(sentences: list[tuple[int, int, str]], n_landmarks: int = 192, rounds: int = 3) -> Model:
+def fit(sentences: list[tuple[int, int, str]], n_landmarks: int = 160, rounds: int = 3) -> Model:
     """A model from labelled sentences (document, label, sentence)."""
     docs: dict[int, tuple[int, set]] = {}
     for d, label, s in sentences:
-        docs.setdefault(d, (label, set()))[1].update(tokens(s))
+        docs.setdefault(d, (label, set()))[1].update(map(sys.intern, tokens(s)))
     label = np.array([v[0] for v in docs.values()], bool)
     if not len(docs) or label.all() or not label.any():
         share = float(label.mean()) if len(docs) else 0.0
@@ -213,7 +220,10 @@ def fit(sentences: list[tuple[int, int, str]], n_landmarks: int = 192, rounds: i
     val, vec = np.linalg.eigh(inner)
     ok = val > 1e-6 * val.max()
     root = vec[:, ok] / np.sqrt(val[ok])
-    z = kernel(words, landmarks) @ root.astype(np.float32)
+    root32 = root.astype(np.float32)
+    z = np.empty((len(words), root32.shape[1]), np.float32)
+    for s in range(0, len(words), 4096):
+        z[s:s + 4096] = kernel(words[s:s + 4096], landmarks) @ root32
 
     # round 0: every token has its document's label; then worst tokens only
     neg_weight = count[0] / count[0].sum()
@@ -233,13 +243,12 @@ def fit(sentences: list[tuple[int, int, str]], n_landmarks: int = 192, rounds: i
             break
         p, n = pos_weight / pos_weight.sum(), neg_weight / neg_weight.sum()
         i, j = np.flatnonzero(p), np.flatnonzero(n)
-        b, c = _squared_hinge(np.vstack([z[i], z[j]]), np.r_[np.ones(len(i)), -np.ones(len(j))],
-                              np.r_[p[i], n[j]])
+        b, c = _squared_hinge(z, np.r_[i, j], np.r_[np.ones(len(i)), -np.ones(len(j))], np.r_[p[i], n[j]])
     lr, li, lw = features(landmarks)
     weights = np.zeros(1 << 18)
     np.add.at(weights, li, lw * (root @ b)[lr])
     model = Model(weights.astype(np.float32), float(c), 1.0, 0.0)
-    v = model.of_words(words)
+    v = np.concatenate([model.of_words(words[s:s + 4096]) for s in range(0, len(words), 4096)])
     low = float(model.bias)
     worst = np.array([max(v[bag].max(), low) if len(bag) else low for bag in bags])
     model.slope, model.offset = _platt(worst, label)
@@ -257,7 +266,7 @@ def sampled_labels(labels: DataFrame, label: Column, id_col: str, max_toxic: int
 
 
 def train(df: DataFrame, labels: DataFrame, label: Column, id_col: str = "doc_id", text_col: str = "text",
-          max_toxic: int = 1500, max_clean: int = 2000, max_sentences: int = 60,
+          max_toxic: int = 1200, max_clean: int = 1200, max_sentences: int = 40,
           max_chars: int = 300) -> Model:
     """Fit on the sentences of ``df``'s rows that ``labels`` (by id; 0 or 1) covers."""
     sample = F.broadcast(sampled_labels(labels, label, id_col, max_toxic, max_clean))  # bounded above
@@ -269,7 +278,9 @@ def train(df: DataFrame, labels: DataFrame, label: Column, id_col: str = "doc_id
             .join(sample, "id").select(F.xxhash64("id", "text").alias("doc"), "label",
                                        F.explode(spread).alias("e")).select("doc", "label", "e.s"))
     got = rows.toArrow()
-    return fit(sorted(zip(*(got.column(c).to_pylist() for c in range(3)), strict=True)))
+    sentences = sorted(zip(*(got.column(c).to_pylist() for c in range(3)), strict=True))
+    del got
+    return fit(sentences)
 
 
 def score_documents(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

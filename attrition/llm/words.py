@@ -27,6 +27,10 @@ _CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\t\n\r {_L}{_N}]+"
 
 @functools.lru_cache(maxsize=2)
 def tokenizer(path: str):
+    import os
+
+    # a task has its own core; the library's threads would only contend for it
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
