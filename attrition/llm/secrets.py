@@ -47,6 +47,10 @@ def find(text: str) -> list[tuple[int, int, int]]:
     return out + [(5, *m.span()) for m in ENDPOINT.finditer(text)]
 
 
+def _is_kind(kind: int):
+    return lambda p: p["kind"] == kind
+
+
 def _listed(spans):
     """kind:start:end by start, then kind, comma-joined."""
     names = F.array(*map(F.lit, KINDS))
@@ -94,7 +98,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: i
                         ["__k1", "__k2"], "left")
     base = F.filter("__found", lambda p: p["kind"] < 3)
     extra = F.coalesce("__linked", F.array().cast(kind))
-    counts = {f"n_{n}": F.size(F.filter("__found", lambda p, k=k: p["kind"] == k)).cast("long")
+    counts = {f"n_{n}": F.size(F.filter("__found", _is_kind(k))).cast("long")
               for k, n in enumerate(KINDS[:3])}
     return common.with_replaced(joined, counts | {"base": _listed(base), "spans": _listed(F.concat(base, extra))},
                                 drop=("__k1", "__k2", "__found", "__linked"))
