@@ -12,10 +12,12 @@
 4. Group pairs are expanded to their members, and members are verified on the
    whole sets. Links make components.
 5. An open list whose members have all met in one component holds no further
-   news. In the others, three rounds compare one node of each component, and then
-   every pair across components that passes the filters is verified, so that
-   no link between components is lost; links inside a component change nothing.
-   No list, bucket or partner count is capped.
+   news. In the others, one node of each component and then every node is
+   compared with one of the largest component. Jaccard distance is a metric, so
+   pairs whose distances to it differ by more than 1 - t can't link; all other
+   pairs across components that pass the filters are verified. No link between
+   components is lost; links inside a component change nothing. No list, bucket
+   or partner count is capped.
 
 The frequent shingles, which only choose the order, are those that reach
 ``frequent`` of the documents in some block of the scan; there are at most
@@ -447,30 +449,44 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raw.filter("b IS NULL").select(F.col("a").alias("grp"), F.col("item").alias("list"), "n", "pos")
         .join(members.select("grp", "node"), "grp").select("list", "node", "n", "pos")
         .union(wide.select("list", "node", "n", "pos")), "open")
-    tried = first
-    for turn in (1, 2, 3, 0):  # 0: all pairs
+
+    def unsettled(roots):
+        """Rows (list, node, n, pos, root, lead) of the lists with several components;
+        ``lead`` is a node of the list's largest component."""
         placed = opened.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = placed.groupBy("list").agg(F.min("root").alias("r0"), F.max("root").alias("r1")) \
-            .filter("r0 <> r1").select("list")
-        live = placed.join(several, "list", "left_semi")
-        if not turn:
-            pairs = live.alias("x").join(live.alias("y"), F.expr(
-                f"x.list = y.list AND x.node < y.node AND x.root <> y.root AND {_may_link_sql(similarity)}")) \
-                .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        else:
-            # another node of each component every time, against the largest one's
-            reps = live.groupBy("list", "root").agg(
-                F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("k"), "node")).getField("node").alias("rep"),
-                F.count("*").alias("size"))
-            lead = reps.groupBy("list").agg(F.max(F.struct("size", "rep")).getField("rep").alias("lead"))
-            pairs = reps.join(lead, "list").filter("rep <> lead") \
-                .select(F.col("lead").alias("a"), F.col("rep").alias("b"))
-        new = common.stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "cross")
-        if not new.take(1):
-            continue
-        links = links.union(verified(new, docs, rows, width, similarity))
-        roots = common.stored(components(links.select("a", "b")), "roots")
-        tried = tried.union(new)
+        reps = placed.groupBy("list", "root").agg(F.min("node").alias("rep"), F.count("*").alias("size"))
+        lead = reps.groupBy("list").agg(F.max(F.struct("size", "rep")).getField("rep").alias("lead"),
+                                        F.count("*").alias("k")).filter("k > 1").select("list", "lead")
+        return placed.join(lead, "list")
+
+    def compared(pairs, least):
+        new = common.stored(pairs.filter("a <> b").distinct(), "cross")
+        return verified(new, docs, rows, width, least) if new.take(1) else None
+
+    def joined(links, more):
+        links = links.union(more.filter(F.col("shared") >= similarity * F.col("all") - 1e-9))
+        return links, common.stored(components(links.select("a", "b")), "roots")
+
+    # one node of each component against the largest one's
+    some = compared(unsettled(roots).groupBy("list", "lead", "root").agg(F.min("node").alias("b"))
+                    .select(F.col("lead").alias("a"), "b"), similarity)
+    if some is not None:
+        links, roots = joined(links, some)
+    # every node against the largest component's: its distance prunes by the triangle inequality
+    live = common.stored(unsettled(roots), "unsettled")
+    ray = compared(live.select(F.col("lead").alias("a"), F.col("node").alias("b")), 0.0)
+    if ray is not None:
+        links, roots = joined(links, ray)
+        away = ray.select(F.col("a").alias("lead"), F.col("b").alias("node"),
+                          (1 - F.col("shared") / F.col("all")).alias("d"))
+        live = (live.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                .join(away, ["lead", "node"], "left").withColumn("d", F.coalesce("d", F.lit(0.0))))
+        cross = compared(live.alias("x").join(live.alias("y"), F.expr(
+            f"x.list = y.list AND x.node < y.node AND x.root <> y.root AND abs(x.d - y.d) <= {1 - similarity} + 1e-9"
+            f" AND {_may_link_sql(similarity)}"))
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), similarity)
+        if cross is not None:
+            links, roots = joined(links, cross)
 
     # class -> component -> smallest id; classes are grouped before any join
     classes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")) \
