@@ -71,7 +71,8 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5,
     pts = points.select(F.col(id_col).alias("id"),
                         (F.col(group_col) if group_col else F.lit(0)).alias("grp"),
                         F.col(vec_col).alias("vec"))
-    pts = _as_array(pts, "vec")
+    # a point of no group has no neighbours
+    pts = _as_array(pts, "vec").where(F.col("grp").isNotNull())
     id_type = pts.schema["id"].dataType
     grp_type = pts.schema["grp"].dataType
 
@@ -80,7 +81,7 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5,
     want = {g: n_pivots or max(1, min(MAX_PIVOTS, n // (4 * chunk_size))) for g, n in sizes.items()}
     ranked = pts.withColumn("__h", uniform(F.col("id"), "pivot", seed))
     share = F.create_map(*[x for g, n in sizes.items()
-                           for x in (F.lit(g), F.lit(min(1.0, 4.0 * want[g] / max(n, 1))))])
+                           for x in (F.lit(g), F.lit(min(1.0, (4.0 * want[g] + 60.0) / max(n, 1))))])  # none: e^-64
     cand = ranked.where(F.col("__h") <= F.element_at(share, F.col("grp"))).select("grp", "id", "vec", "__h")
     w = Window.partitionBy("grp").orderBy("__h", "id")
     piv_rows = cand.withColumn("__r", F.row_number().over(w)).where(
@@ -182,7 +183,11 @@ def knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5,
         d2 = _dist_block(q, x)
         d2[qid[:, None] == xid[None, :]] = np.inf  # never its own neighbour
         nq, nx = d2.shape
-        m = min(nx, 2 * k + 2)
+        # The expansion form rounds: every candidate within its error of the
+        # k-th best is ranked exactly, so that ties don't depend on the layout.
+        kth = np.partition(d2, min(k, nx) - 1, axis=1)[:, min(k, nx) - 1]
+        slack = 1e-9 * ((q ** 2).sum(axis=1) + (x ** 2).sum(axis=1).max() + 1e-300)
+        m = int((d2 <= (kth + slack)[:, None]).sum(axis=1).max())
         cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < nx else \
             np.broadcast_to(np.arange(nx), (nq, nx))
         # Tie-break on the neighbour id: its rank among this task's ids.

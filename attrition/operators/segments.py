@@ -35,7 +35,8 @@ def risk_rank(segment: Column | str) -> Column:
 
 
 def hard_decision(prob: Column | str, threshold: float = 0.5) -> Column:
-    return (_c(prob) >= F.lit(threshold)).cast("int")
+    """1 or 0; null where the probability is null or NaN (NaN >= x holds in Spark)."""
+    return F.when(~F.isnan(_c(prob).cast("double")), (_c(prob) >= F.lit(threshold)).cast("int"))
 
 
 def score_table(df: DataFrame, prob_col: str = "score", params: SegmentParams = SegmentParams(),

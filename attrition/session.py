@@ -58,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get()
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="attrition-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured

@@ -180,13 +180,6 @@ def spread(keys: DataFrame) -> DataFrame:
     return keys
 
 
-def generate_range(spark: SparkSession, n: int, seed: int = 42,
-                   num_partitions: int | None = None) -> DataFrame:
-    """Stand-alone generator over ``spark.range(1, n + 1)``."""
-    keys = spark.range(1, n + 1, numPartitions=num_partitions).withColumnRenamed("id", "c_custkey")
-    return generate_customers(keys, "c_custkey", seed)
-
-
 def read_customers(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a customer table with the declared schema (CSV never infers types)."""
     if fmt == "csv":
