@@ -31,13 +31,6 @@ def cut(col: Column | str, edges: Sequence[float], labels: Sequence[str],
     return expr
 
 
-def cut_index(col: Column | str, edges: Sequence[float],
-              include_lowest: bool = False) -> Column:
-    """0-based ordinal of the right-closed interval (null outside)."""
-    return cut(col, edges, [str(i) for i in range(len(edges) - 1)],
-               include_lowest).cast("int")
-
-
 def equal_width_bin(col: Column | str, lo: Column, hi: Column, n_bins: int) -> Column:
     """Bin index 0..n-1 of ``n`` equal bins over [lo, hi], last bin closed.
 

@@ -6,8 +6,7 @@
 * pairwise Pearson correlations (strict lower triangle).
 
 Each is one or two aggregate passes with partial aggregation; the only
-joins are against per-class range rows, whose count is bounded by the
-number of classes and is checked before broadcasting.
+joins are against per-class range rows, one per class.
 """
 
 from __future__ import annotations
@@ -20,8 +19,6 @@ from pyspark.sql import functions as F
 from ..functions.binning import equal_width_bin
 from ..session import checkpointed
 
-MAX_CLASSES = 1000
-
 
 def churn_share(df: DataFrame, label: str = "churn") -> DataFrame:
     """count and share per class (one pass; the total is summed over the
@@ -37,14 +34,14 @@ def histogram(df: DataFrame, value: str, n_bins: int, class_col: str = "churn",
     rng = df.where(F.col(value).isNotNull()).groupBy(class_col).agg(
         F.min(F.col(value).cast("double")).alias("lo"),
         F.max(F.col(value).cast("double")).alias("hi"))
-    # Checked, then read twice (binning and the bin grid): checkpointed so
-    # neither re-derives it from the input.
-    rng = _bounded(checkpointed(rng), MAX_CLASSES)
-    binned = (df.where(F.col(value).isNotNull()).join(F.broadcast(rng), on=class_col)
+    # Read twice (binning and the bin grid): checkpointed so neither re-derives
+    # it from the input. One row per class; the optimizer picks the join.
+    rng = checkpointed(rng)
+    binned = (df.where(F.col(value).isNotNull()).join(rng, on=class_col)
               .withColumn("bin", equal_width_bin(value, F.col("lo"), F.col("hi"), n_bins)))
     counts = binned.groupBy(class_col, "bin").agg(F.count(F.lit(1)).alias("count"))
     if not fill_empty:
-        grid = counts.join(F.broadcast(rng), on=class_col)
+        grid = counts.join(rng, on=class_col)
     else:
         grid = (rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))))
                 .join(counts, on=[class_col, "bin"], how="left")
@@ -56,14 +53,6 @@ def histogram(df: DataFrame, value: str, n_bins: int, class_col: str = "churn",
                        "count")
 
 
-def _bounded(small: DataFrame, limit: int) -> DataFrame:
-    """Checked-small side for a broadcast: fail loudly above ``limit`` rows."""
-    n = small.count()
-    if n > limit:
-        raise ValueError(f"expected at most {limit} rows on the broadcast side, got {n}")
-    return small
-
-
 def rate_by(df: DataFrame, key: str, label: str = "churn", ascending: bool = False) -> DataFrame:
     """Mean of the label per category (null category dropped), sorted by rate."""
     out = (df.where(F.col(key).isNotNull()).groupBy(key)

@@ -45,30 +45,23 @@ def onehot_name(col: str, value: str) -> str:
     return f"{col}_{value}"
 
 
-MAX_LEVELS = 1000
-
-
 def fit_onehot_levels(df: DataFrame, cols: list[str] = OHE_COLS,
                       declared: dict[str, list[str]] | None = None) -> dict[str, list[str]]:
     """Sorted distinct non-null levels per column in one aggregate pass.
 
     ``tenure_bucket`` is an ordered category: all its labels are kept, in
-    label order, even when empty. Levels are capped by ``MAX_LEVELS`` per
-    column (these are low-cardinality attributes; a larger set is an error,
-    not something to one-hot encode).
+    label order, even when empty. The distinct (column, level) pairs are found
+    by a grouped aggregate; each becomes a column of the encoded table.
     """
     declared = declared or {}
     present = set(df.columns)
     todo = [c for c in cols if c in present and c not in declared and c != "tenure_bucket"]
-    levels: dict[str, list[str]] = {}
+    levels = {}
     if todo:
-        row = df.agg(*[F.slice(F.array_sort(F.collect_set(F.col(c).cast("string"))), 1, MAX_LEVELS + 1)
-                       .alias(c) for c in todo]).first()
-        for c in todo:
-            vals = list(row[c] or [])
-            if len(vals) > MAX_LEVELS:
-                raise ValueError(f"{c}: more than {MAX_LEVELS} levels")
-            levels[c] = vals
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("level"))
+                                    for c in todo])).alias("pair")
+        found = df.select(pairs).select("pair.*").filter("level IS NOT NULL").distinct().collect()
+        levels = {c: sorted(r.level for r in found if r.name == c) for c in todo}
     for c in cols:
         if c in declared:
             levels[c] = list(declared[c])
@@ -118,8 +111,8 @@ def fit_encoder(df: DataFrame, declared: bool = False, keep_id: bool = True) ->
     return EncoderModel(levels, keep_id=keep_id, feature_names=names)
 
 
-def encode_features(df: DataFrame, declared: bool = True, keep_id: bool = True) -> DataFrame:
-    """Whole encoder on a featured frame: 50 features + label (+ id)."""
+def encode_features(df: DataFrame, declared: bool = False, keep_id: bool = True) -> DataFrame:
+    """Whole encoder on a featured frame: features + label (+ id)."""
     return fit_encoder(df, declared=declared, keep_id=keep_id).transform(df)
 
 

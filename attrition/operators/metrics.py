@@ -183,9 +183,7 @@ def model_comparison(long_df: DataFrame, label: str = "churn", score: str = "sco
             .orderBy(F.col("auc_roc").desc(), F.col(model_col)))
 
 
-def model_comparison_long(long_df: DataFrame, label: str = "churn", score: str = "score",
-                          model_col: str = "model", threshold: float = 0.5) -> DataFrame:
-    """(model, metric, value) rows for the bar-chart view."""
-    wide = model_comparison(long_df, label, score, model_col, threshold)
+def model_comparison_long(wide: DataFrame, model_col: str = "model") -> DataFrame:
+    """(model, metric, value) rows of a model comparison."""
     return wide.unpivot([model_col], ["accuracy", "auc_roc", "f1", "avg_precision"],
                         "metric", "value")

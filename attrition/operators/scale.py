@@ -4,14 +4,13 @@ Fit is one aggregate pass (``avg`` and ``stddev_pop`` per column, partial
 aggregation map-side, one row to the driver); transform is a projection.
 A zero-variance column gets scale 1, so it maps to 0 rather than NaN.
 MLlib's ``StandardScaler`` divides by the *sample* deviation, hence this
-operator; ``ml_scaler`` offers the MLlib one as an option.
+operator.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +31,6 @@ class ScalerModel:
             exprs[c + suffix] = F.expr(f"({src} - {m!r}D) / {s!r}D")
         return df.withColumns(exprs)
 
-    def to_vector(self, df: DataFrame, output: str = "features") -> DataFrame:
-        """Scaled columns assembled into one MLlib vector column."""
-        scaled = self.transform(df)
-        return VectorAssembler(inputCols=self.columns, outputCol=output,
-                               handleInvalid="keep").transform(scaled)
-
 
 def fit_scaler(df: DataFrame, columns: list[str]) -> ScalerModel:
     aggs = []
@@ -52,8 +45,3 @@ def fit_scaler(df: DataFrame, columns: list[str]) -> ScalerModel:
         means.append(float(m) if m is not None else 0.0)
         scales.append(float(s) if s not in (None, 0.0) else 1.0)
     return ScalerModel(list(columns), means, scales)
-
-
-def ml_scaler(input_col: str = "raw_features", output_col: str = "features") -> StandardScaler:
-    """MLlib scaler (sample standard deviation) for pipelines that prefer it."""
-    return StandardScaler(inputCol=input_col, outputCol=output_col, withMean=True, withStd=True)

@@ -25,15 +25,6 @@ def risk_segment(prob: Column | str, params: SegmentParams = SegmentParams()) ->
     return cut(prob, edges, RISK_LABELS, include_lowest=False)
 
 
-def risk_rank(segment: Column | str) -> Column:
-    """1/2/3 ordinal of a segment label (null for null)."""
-    seg = _c(segment)
-    out = None
-    for i, label in enumerate(RISK_LABELS, start=1):
-        out = F.when(seg == label, F.lit(i)) if out is None else out.when(seg == label, F.lit(i))
-    return out
-
-
 def hard_decision(prob: Column | str, threshold: float = 0.5) -> Column:
     """1 or 0; null where the probability is null or NaN (NaN >= x holds in Spark)."""
     return F.when(~F.isnan(_c(prob).cast("double")), (_c(prob) >= F.lit(threshold)).cast("int"))

@@ -16,6 +16,7 @@ class FeatureParams:
     loyalty_threshold: int = 24
     high_value_quantile: float = 0.75
     tenure_include_lowest: bool = True
+    approx_cutoff: bool = False  # percentile_approx for charges without a bound on distinct values
 
 
 @dataclass(frozen=True)

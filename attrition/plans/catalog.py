@@ -368,7 +368,7 @@ def q_model_comparison(spark, sf):
 def q_model_comparison_long(spark, sf):
     wide = r6(metrics.model_comparison(rule_models(spark, sf)),
               ["accuracy", "auc_roc", "f1", "avg_precision"])
-    return wide.unpivot(["model"], ["accuracy", "auc_roc", "f1", "avg_precision"], "metric", "value")
+    return metrics.model_comparison_long(wide)
 
 
 @query("soft_vote")

@@ -4,7 +4,7 @@
 piece kept as state for scoring:
 
 clean -> split (hash of the id) -> features (cutoff fitted on train) ->
-encode (declared levels) -> scaler (population std, fitted on train) ->
+encode (levels found in train) -> scaler (population std, fitted on train) ->
 vector column ``features``; optional resampling of the train side.
 
 The train and test frames are checkpointed (reliable checkpoint in the
@@ -84,7 +84,7 @@ class TrainingData:
 def fit_preparation(train_raw: DataFrame, params: Params = Params()) -> Preparation:
     fm = fit_features(train_raw, params.features)
     featured = fm.transform(train_raw)
-    enc = fit_encoder(featured, declared=True)
+    enc = fit_encoder(featured)
     encoded = enc.transform(featured)
     scaler = fit_scaler(encoded, enc.feature_names)
     return Preparation(fm, enc, scaler, list(enc.feature_names))
@@ -193,12 +193,5 @@ def fit_base(name: str, train_fit: DataFrame, params: Params = Params()):
     raise KeyError(name)
 
 
-def class1_probability(model, df: DataFrame, out: str = "score") -> DataFrame:
-    """Apply a fitted classifier; keep the class-1 probability as a double column."""
-    pred = model.transform(df)
-    return pred.withColumn(out, prob1(F.col("probability"))).drop(
-        "probability", "rawPrediction", "prediction")
-
-
 def prob1(vec: Column) -> Column:
     return vector_to_array(vec).getItem(1)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.segments import retention_impact, score_table, segment_counts, segment_summary
+from ..operators.segments import retention_impact, score_table, segment_summary
 from ..params import SegmentParams
 from ..schema import ID_COL, TARGET
 
@@ -32,7 +32,3 @@ def evaluate_segments(test: DataFrame, model, params: SegmentParams = SegmentPar
     scored = model.score(test, "score")
     return {"segment_summary": segment_summary(scored, "score", TARGET, params),
             "retention_impact": retention_impact(scored, "score", TARGET, params)}
-
-
-def batch_summary(scored: DataFrame) -> DataFrame:
-    return segment_counts(scored)

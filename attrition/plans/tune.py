@@ -158,8 +158,3 @@ def best_so_far(trials: DataFrame) -> DataFrame:
     """Trial value and running best (a window over the small trial table)."""
     w = Window.orderBy("trial").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return trials.select("trial", "auc_mean", F.max("auc_mean").over(w).alias("best_so_far"))
-
-
-def best_trial(trials: DataFrame) -> DataFrame:
-    return trials.orderBy(F.col("auc_mean").desc(), F.col("trial")).limit(1)
-

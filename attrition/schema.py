@@ -53,7 +53,6 @@ SERVICE_COLS = [
 # ---------------------------------------------------------------------------
 # Categorical domains.
 # ---------------------------------------------------------------------------
-CONTRACTS = ["Month-to-month", "One year", "Two year"]
 INTERNET = ["DSL", "Fiber optic", "No"]
 ADDON_VALUES = ["No", "No internet service", "Yes"]
 LINES_VALUES = ["No", "No phone service", "Yes"]
@@ -78,26 +77,6 @@ RISK_LABELS = ["Low Risk", "Medium Risk", "High Risk"]
 # ---------------------------------------------------------------------------
 # Feature lists of the model matrix.
 # ---------------------------------------------------------------------------
-NUMERIC_COLS = [
-    "tenure",
-    "monthly_charges",
-    "total_charges",
-    "num_services",
-    "avg_monthly_revenue",
-    "charge_per_service",
-]
-BINARY_COLS = [
-    "gender",
-    "partner",
-    "dependents",
-    "phone_service",
-    "paperless_billing",
-    "senior_citizen",
-    "is_loyal",
-    "is_high_value",
-    "no_support_services",
-    "auto_payment",
-]
 # Columns holding text that the binary map turns into 0/1.
 BINARY_TEXT_COLS = ["gender", "partner", "dependents", "phone_service", "paperless_billing"]
 BINARY_MAP = {"Yes": 1, "No": 0, "Male": 1, "Female": 0}
@@ -115,17 +94,6 @@ OHE_COLS = [
     "tenure_bucket",
 ]
 
-ENGINEERED_COLS = [
-    "avg_monthly_revenue",
-    "num_services",
-    "is_loyal",
-    "is_high_value",
-    "no_support_services",
-    "auto_payment",
-    "charge_per_service",
-    "tenure_bucket",
-]
-
 # Declared one-hot domains (sorted as the data-driven fit sorts them;
 # tenure_bucket keeps its category order, as the categorical dtype does).
 OHE_DOMAINS = {

@@ -7,8 +7,9 @@ from attrition.functions.binning import cut
 from attrition.operators import metrics, segments
 from attrition.operators.clean import clean_data
 from attrition.operators.encode import align_columns, fit_encoder, onehot
-from attrition.operators.features import engineer_features, no_support_flag, num_services
+from attrition.operators.features import engineer_features, fit_features
 from attrition.operators.scale import fit_scaler
+from attrition.params import FeatureParams
 from attrition.schema import RAW_SCHEMA, TENURE_EDGES, TENURE_LABELS
 
 
@@ -52,11 +53,27 @@ def test_feature_flags_nulls_and_case(spark):
 
 def test_missing_service_columns(spark):
     df = spark.createDataFrame([_row()], RAW_SCHEMA).drop("tech_support")
-    r = no_support_flag(num_services(df)).first()
+    r = engineer_features(df).first()
     assert r.no_support_services == 1  # missing tech_support counts as 'No'
     none = spark.createDataFrame([_row()], RAW_SCHEMA).drop(
         "online_security", "online_backup", "device_protection", "tech_support", "streaming_tv", "streaming_movies")
-    assert num_services(none).first().num_services == 0
+    r = engineer_features(none).first()
+    assert r.num_services == 0 and r.charge_per_service == 50.0
+
+
+def test_approximate_cutoff_is_an_option(spark):
+    rows = [_row(customer_id=str(i), monthly_charges=20.0 + i) for i in range(40)]
+    df = spark.createDataFrame(rows, RAW_SCHEMA)
+    exact = fit_features(df).cutoff
+    near = fit_features(df, FeatureParams(approx_cutoff=True)).cutoff
+    assert abs(exact - near) <= 1.0
+
+
+def test_levels_come_from_the_data(spark):
+    rows = [_row(customer_id=str(i), payment_method=p) for i, p in enumerate(["Barter", "Cash", None, "Cash"])]
+    enc = fit_encoder(engineer_features(spark.createDataFrame(rows, RAW_SCHEMA)))
+    assert enc.levels["payment_method"] == ["Barter", "Cash"]
+    assert enc.levels["tenure_bucket"] == TENURE_LABELS
 
 
 def test_unknown_and_unseen_categories(spark):
