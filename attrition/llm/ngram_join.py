@@ -12,8 +12,7 @@
 4. Group pairs are expanded to their members, and members are verified on the
    whole sets. Links make components.
 5. An open list whose members have all met in one component holds no further
-   news. In the others, one node of each component and then every node is
-   compared with one of the largest component. Jaccard distance is a metric, so
+   news. In the others, every node is compared with one of the largest component. Jaccard distance is a metric, so
    pairs whose distances to it differ by more than 1 - t can't link; all other
    pairs across components that pass the filters are verified. No link between
    components is lost; links inside a component change nothing. No list, bucket
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm import common
-from attrition.llm.components import components
+from attrition.llm.components import components, extended
 
 #: Groups a posting list may have to give all its pairs at once.
 SHORT = 48
@@ -444,7 +443,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = verified(first, docs, rows, width, similarity)
     roots = common.stored(components(links.select("a", "b")), "roots")
 
-    # open lists: pairs across components only, first of one node per component
+    # open lists: pairs across components only
     opened = common.stored(
         raw.filter("b IS NULL").select(F.col("a").alias("grp"), F.col("item").alias("list"), "n", "pos")
         .join(members.select("grp", "node"), "grp").select("list", "node", "n", "pos")
@@ -463,20 +462,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         new = common.stored(pairs.filter("a <> b").distinct(), "cross")
         return verified(new, docs, rows, width, least) if new.take(1) else None
 
-    def joined(links, more):
-        links = links.union(more.filter(F.col("shared") >= similarity * F.col("all") - 1e-9))
-        return links, common.stored(components(links.select("a", "b")), "roots")
+    def joined(more):
+        return extended(roots, more.filter(F.col("shared") >= similarity * F.col("all") - 1e-9))
 
-    # one node of each component against the largest one's
-    some = compared(unsettled(roots).groupBy("list", "lead", "root").agg(F.min("node").alias("b"))
-                    .select(F.col("lead").alias("a"), "b"), similarity)
-    if some is not None:
-        links, roots = joined(links, some)
     # every node against the largest component's: its distance prunes by the triangle inequality
     live = common.stored(unsettled(roots), "unsettled")
     ray = compared(live.select(F.col("lead").alias("a"), F.col("node").alias("b")), 0.0)
     if ray is not None:
-        links, roots = joined(links, ray)
+        roots = joined(ray)
         away = ray.select(F.col("a").alias("lead"), F.col("b").alias("node"),
                           (1 - F.col("shared") / F.col("all")).alias("d"))
         live = (live.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -486,7 +479,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             f" AND {_may_link_sql(similarity)}"))
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), similarity)
         if cross is not None:
-            links, roots = joined(links, cross)
+            roots = joined(cross)
 
     # class -> component -> smallest id; classes are grouped before any join
     classes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")) \
