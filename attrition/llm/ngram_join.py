@@ -13,8 +13,10 @@
    whole sets. Links make components.
 5. An open list whose members have all met in one component holds no further
    news. In the others, every node is compared with one of the largest component. Jaccard distance is a metric, so
-   pairs whose distances to it differ by more than 1 - t can't link; all other
-   pairs across components that pass the filters are verified. No link between
+   pairs whose distances to it differ by more than 1 - t can't link. Two sets
+   whose prefixes hold all their other items share few but frequent items, and
+   no more than either has. All other pairs across components that pass the
+   filters are verified. No link between
    components is lost; links inside a component change nothing. No list, bucket
    or partner count is capped.
 
@@ -226,7 +228,10 @@ def _may_link(n1, p1, n2, p2, similarity: float):
 
 def _may_link_sql(similarity: float) -> str:
     return (f"least(x.n, y.n) >= {similarity} * greatest(x.n, y.n) - 1e-9 AND least(x.n - x.pos, y.n - y.pos)"
-            f" >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9)")
+            f" >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9)"
+            # pairs of open lists that share a short list, too, are among the counted ones
+            f" AND (x.hot IS NULL OR y.hot IS NULL OR least(x.lc, y.lc) + least(x.hot, y.hot)"
+            f" >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9))")
 
 
 def group_pairs(posted: DataFrame, similarity: float) -> DataFrame:
@@ -313,23 +318,40 @@ def group_pairs(posted: DataFrame, similarity: float) -> DataFrame:
     return spread.mapInArrow(run, "a long, b long, item long, n int, pos int")
 
 
-def likely_pairs(raw: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+def group_sizes(raw: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+    """(grp, n, l, rest, hot, lc) of each group: its long lists, its items beyond
+    the prefix and, where the prefix holds all its cold items (else null), its
+    frequent items and long cold lists."""
+    long = raw.filter("b IS NULL").join(members.select(F.col("grp").alias("a"), "cold").distinct(), "a") \
+        .groupBy(F.col("a").alias("grp")).agg(
+            F.count_distinct("item").alias("l"),
+            F.count_distinct(F.when(F.col("pos") < F.col("cold"), F.col("item"))).alias("lc"))
+    need = F.ceil(F.lit(similarity) * F.col("n") - 1e-9)
+    whole = F.col("cold") < F.col("n") - need + 1
+    return (members.groupBy("grp").agg(F.max("n").alias("n"), F.max("cold").alias("cold")).join(long, "grp", "left")
+            .select("grp", "n", F.coalesce("l", F.lit(0)).alias("l"), (need - 1).alias("rest"),
+                    F.when(whole, F.col("n") - F.col("cold")).alias("hot"),
+                    F.when(whole, F.coalesce("lc", F.lit(0))).alias("lc")))
+
+
+def likely_pairs(raw: DataFrame, sizes: DataFrame, similarity: float) -> DataFrame:
     """The distinct group pairs that can still reach the similarity.
 
     Up to the end of the shorter prefix (in the global order) the two share at
     most the counted short lists plus as many long ones as either is in, and
-    beyond it at most what is left of that group's items."""
+    beyond it at most what is left of that group's items. If both prefixes hold
+    all cold items, the two share at most the counted short lists, the long cold
+    lists of either and the frequent items of either."""
     counted = (raw.filter("b IS NOT NULL")
                .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("c")))
-    long = raw.filter("b IS NULL").groupBy(F.col("a").alias("grp")).agg(F.count_distinct("item").alias("l"))
-    size = (members.groupBy("grp").agg(F.max("n").alias("n")).join(long, "grp", "left")
-            .select("grp", "n", F.coalesce("l", F.lit(0)).alias("l"),
-                    (F.ceil(F.lit(similarity) * F.col("n") - 1e-9) - 1).alias("rest")))
-    x, y = (size.select(F.col("grp").alias(g), *[F.col(c).alias(c + g) for c in ("n", "l", "rest")])
+    x, y = (sizes.select(F.col("grp").alias(g), *[F.col(c).alias(c + g) for c in ("n", "l", "rest", "hot", "lc")])
             for g in ("a", "b"))
+    most = F.least(F.least("la", "lb") + F.greatest("resta", "restb"),
+                   F.when(F.col("hota").isNotNull() & F.col("hotb").isNotNull(),
+                          F.least("lca", "lcb") + F.least("hota", "hotb")))
     share = similarity / (1 + similarity)
     return (counted.join(x, "a").join(y, "b")
-            .filter(F.col("c") + F.least("la", "lb") + F.greatest("resta", "restb")
+            .filter(F.col("c") + most
                     >= F.ceil(F.lit(share) * (F.col("na") + F.col("nb")) - 1e-9)).select("a", "b"))
 
 
@@ -426,7 +448,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hot, hot_count = hot[order], np.array([r[1] for r in found], np.int64)[order]
 
     posted = common.stored(postings(docs, width, similarity, hot, hot_count), "postings")
-    members = common.stored(posted.select("grp", "node", "n").distinct(), "members")
+    members = common.stored(posted.select("grp", "node", "n", "cold").distinct(), "members")
     lists = (posted.filter(F.size("items") > 0)
              .select("grp", "n", "cold", F.posexplode("items").alias("pos", "item"))
              .withColumn("size_pos", F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")))
@@ -436,7 +458,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.xxhash64("item", F.pmod("grp", F.lit(SALTS))).alias("list"), "item", "grp", "size_pos"), similarity)
     raw = common.stored(cold.union(salted), "group-pairs")
     common.forget(posted)
-    pairs = likely_pairs(raw, members, similarity)
+    sizes = common.stored(group_sizes(raw, members, similarity), "sizes")
+    pairs = likely_pairs(raw, sizes, similarity)
     expanded, wide = _expanded(common.stored(pairs, "pairs"), members)
     first = common.stored(expanded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                           .filter("a <> b").distinct(), "candidates")
@@ -446,11 +469,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # open lists: pairs across components only
     opened = common.stored(
         raw.filter("b IS NULL").select(F.col("a").alias("grp"), F.col("item").alias("list"), "n", "pos")
-        .join(members.select("grp", "node"), "grp").select("list", "node", "n", "pos")
-        .union(wide.select("list", "node", "n", "pos")), "open")
+        .join(members.select("grp", "node"), "grp").join(sizes.select("grp", "hot", "lc"), "grp")
+        .select("list", "node", "n", "pos", "hot", "lc")
+        .union(wide.select("list", "node", "n", "pos", F.lit(None).cast("long"), F.lit(None).cast("long"))), "open")
 
     def unsettled(roots):
-        """Rows (list, node, n, pos, root, lead) of the lists with several components;
+        """Rows (list, node, n, pos, hot, lc, root, lead) of the lists with several components;
         ``lead`` is a node of the list's largest component."""
         placed = opened.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         reps = placed.groupBy("list", "root").agg(F.min("node").alias("rep"), F.count("*").alias("size"))
