@@ -15,7 +15,8 @@
    news. In the others, every node is compared with one of the largest component. Jaccard distance is a metric, so
    pairs whose distances to it differ by more than 1 - t can't link. Two sets
    whose prefixes hold all their other items share few but frequent items, and
-   no more than either has. All other pairs across components that pass the
+   no more than either has; and bitmaps of whole sets bound what is not shared
+   (a bitmap filter, as known for exact set joins). All other pairs across components that pass the
    filters are verified. No link between
    components is lost; links inside a component change nothing. No list, bucket
    or partner count is capped.
@@ -50,6 +51,8 @@ LEADERS = 2
 #: Shingles of a scan block in which frequent ones are looked for.
 BLOCK = 2_000_000
 SALTS = 64
+#: Columns of a set's bitmap, which has bit h mod 256 of every item h.
+BITS = ("b0", "b1", "b2", "b3")
 
 
 class _WordHashes(dict):
@@ -155,6 +158,13 @@ def signatures(docs: DataFrame, width: int, frequent: float) -> DataFrame:
     return docs.mapInArrow(run, "id long, node long, n long")
 
 
+def _bitmap(s):
+    """The four 64-bit words of a set's bitmap."""
+    import numpy as np
+
+    return np.packbits(np.bincount((s & np.uint64(255)).astype(np.intp), minlength=256) > 0).view(np.int64)
+
+
 def _prefix(s, hot, hot_count, similarity: float):
     """The first items of a set in the global order, and how many are hot."""
     import numpy as np
@@ -175,7 +185,7 @@ def _prefix(s, hot, hot_count, similarity: float):
 
 
 def postings(docs: DataFrame, width: int, similarity: float, hot, hot_count) -> DataFrame:
-    """(grp, n, node, cold, items): the members of each group. A task gives a
+    """(grp, n, node, cold, items, bitmap): the members of each group. A task gives a
     node once, and the prefix items with the first member of a group only."""
 
     def run(batches):
@@ -186,13 +196,14 @@ def postings(docs: DataFrame, width: int, similarity: float, hot, hot_count) ->
         shingles, seen, out = _hasher(width), set(), []
 
         def table():
-            g, n, node, cold, items = zip(*out, strict=True)
+            g, n, node, cold, items, bits = zip(*out, strict=True)
             ends = np.cumsum([0, *map(len, items)]).astype(np.int32)
             return pa.RecordBatch.from_arrays(
                 [pa.array(g, pa.int64()), pa.array(n, pa.int32()), pa.array(node, pa.int64()),
                  pa.array(cold, pa.int32()),
-                 pa.ListArray.from_arrays(ends, np.concatenate(items).view(np.int64))],
-                ["grp", "n", "node", "cold", "items"])
+                 pa.ListArray.from_arrays(ends, np.concatenate(items).view(np.int64)),
+                 *[pa.array(b) for b in np.array(bits).T]],
+                ["grp", "n", "node", "cold", "items", *BITS])
 
         for _, text in _texts(batches):
             s = shingles(text)
@@ -206,14 +217,15 @@ def postings(docs: DataFrame, width: int, similarity: float, hot, hot_count) ->
             if g in seen:
                 items = items[:0]
             seen.add(g)
-            out.append((g - (1 << 64) if g >> 63 else g, len(s), node, cold, items))
+            out.append((g - (1 << 64) if g >> 63 else g, len(s), node, cold, items, _bitmap(s)))
             if len(out) >= 2048:
                 yield table()
                 out = []
         if out:
             yield table()
 
-    return docs.mapInArrow(run, "grp long, n int, node long, cold int, items array<long>")
+    return docs.mapInArrow(run, "grp long, n int, node long, cold int, items array<long>, "
+                           + ", ".join(f"{b} long" for b in BITS))
 
 
 def _may_link(n1, p1, n2, p2, similarity: float):
@@ -227,11 +239,14 @@ def _may_link(n1, p1, n2, p2, similarity: float):
 
 
 def _may_link_sql(similarity: float) -> str:
+    x, y = (" + ".join(f"bit_count({u}.{b} & ~{v}.{b})" for b in BITS) for u, v in (("x", "y"), ("y", "x")))
     return (f"least(x.n, y.n) >= {similarity} * greatest(x.n, y.n) - 1e-9 AND least(x.n - x.pos, y.n - y.pos)"
             f" >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9)"
             # pairs of open lists that share a short list, too, are among the counted ones
             f" AND (x.hot IS NULL OR y.hot IS NULL OR least(x.lc, y.lc) + least(x.hot, y.hot)"
-            f" >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9))")
+            f" >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9))"
+            # a bit that one set alone has is an item that isn't shared
+            f" AND least(x.n - ({x}), y.n - ({y})) >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9)")
 
 
 def group_pairs(posted: DataFrame, similarity: float) -> DataFrame:
@@ -369,9 +384,9 @@ def _expanded(pairs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFram
             .filter("ka * kb > 64").select(F.xxhash64("a", "b").alias("list"),
                                            F.explode(F.array("a", "b")).alias("grp")))
     inside = own.filter("k > 1")
-    open_lists = (wide.join(members, "grp").select("list", "node", "n")
-                  .union(inside.filter("k > 2").select("grp", "node", "n"))
-                  .select("list", "node", "n", F.lit(0).alias("pos")))
+    open_lists = (wide.join(members, "grp").select("list", "node", "n", *BITS)
+                  .union(inside.filter("k > 2").select("grp", "node", "n", *BITS))
+                  .select("list", "node", "n", F.lit(0).alias("pos"), *BITS))
     return all_pairs.union(inside.filter("node <> lead").select("lead", "node")), open_lists
 
 
@@ -448,7 +463,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hot, hot_count = hot[order], np.array([r[1] for r in found], np.int64)[order]
 
     posted = common.stored(postings(docs, width, similarity, hot, hot_count), "postings")
-    members = common.stored(posted.select("grp", "node", "n", "cold").distinct(), "members")
+    members = common.stored(posted.select("grp", "node", "n", "cold", *BITS).distinct(), "members")
     lists = (posted.filter(F.size("items") > 0)
              .select("grp", "n", "cold", F.posexplode("items").alias("pos", "item"))
              .withColumn("size_pos", F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")))
@@ -469,12 +484,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # open lists: pairs across components only
     opened = common.stored(
         raw.filter("b IS NULL").select(F.col("a").alias("grp"), F.col("item").alias("list"), "n", "pos")
-        .join(members.select("grp", "node"), "grp").join(sizes.select("grp", "hot", "lc"), "grp")
-        .select("list", "node", "n", "pos", "hot", "lc")
-        .union(wide.select("list", "node", "n", "pos", F.lit(None).cast("long"), F.lit(None).cast("long"))), "open")
+        .join(members.select("grp", "node", *BITS), "grp").join(sizes.select("grp", "hot", "lc"), "grp")
+        .select("list", "node", "n", "pos", "hot", "lc", *BITS)
+        .union(wide.select("list", "node", "n", "pos", *[F.lit(None).cast("long")] * 2, *BITS)), "open")
 
     def unsettled(roots):
-        """Rows (list, node, n, pos, hot, lc, root, lead) of the lists with several components;
+        """Rows (list, node, n, pos, hot, lc, bitmap, root, lead) of the lists with several components;
         ``lead`` is a node of the list's largest component."""
         placed = opened.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         reps = placed.groupBy("list", "root").agg(F.min("node").alias("rep"), F.count("*").alias("size"))
