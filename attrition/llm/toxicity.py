@@ -7,12 +7,12 @@ marks at both ends of a token, and normalised by length. Tokens are cut at
 white space and stripped of outer punctuation; a run of three or more single
 characters is read as one token, too. Long tokens are read in overlapping windows.
 
-Training. Labelled documents (at most ``max_toxic`` and ``max_clean`` rows,
-the first by a hash) are cut into sentences, at most ``max_sentences`` a
-document and ``max_chars`` characters a sentence, so that what is fitted on is
-bounded. Sentences carry their document's label. Landmark tokens give a Nyström
-map, a squared-hinge machine is fitted on it, and three rounds of multiple
-instance learning keep, of a toxic document, only its worst token as witness.
+Training. Of the labelled documents at most ``max_toxic`` and ``max_clean`` are
+taken, the first by a hash, so that what is fitted on is bounded. Each is reduced
+to the distinct tokens of its whole text, as scoring reads them, which carry its
+label. Landmark tokens give a Nyström map, a squared-hinge machine is fitted on
+it, and three rounds of multiple instance learning keep, of a toxic document,
+only its worst token as witness.
 Because the kernel is an inner product of subsequence weights, the machine
 folds into one table of 64^3 weights, whatever the number of landmarks.
 
@@ -27,7 +27,7 @@ an output column are replaced.
 from __future__ import annotations
 
 import re
-import sys
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -193,20 +193,20 @@ def _platt(v, y):
     return float(b[0] / std), float(b[1] - b[0] * mean / std)
 
 
-def fit(sentences: list[tuple[int, int, str]], n_landmarks: int = 160, rounds: int = 3) -> Model:
-    """A model from labelled sentences (document, label, sentence)."""
-    docs: dict[int, tuple[int, set]] = {}
-    for d, label, s in sentences:
-        docs.setdefault(d, (label, set()))[1].update(map(sys.intern, tokens(s)))
-    label = np.array([v[0] for v in docs.values()], bool)
-    if not len(docs) or label.all() or not label.any():
-        share = float(label.mean()) if len(docs) else 0.0
+def fit(docs: Iterable[tuple[int, list[str]]], n_landmarks: int = 192, rounds: int = 3) -> Model:
+    """A model from labelled documents (label, distinct tokens)."""
+    vocab: dict[str, int] = {}
+    labels, bags = [], []
+    for y, own in docs:
+        labels.append(y)
+        bags.append(np.array([vocab.setdefault(w, len(vocab)) for w in own], np.int32))
+    label = np.array(labels, bool)
+    if not len(bags) or label.all() or not label.any():
+        share = float(label.mean()) if len(bags) else 0.0
         return Model(np.zeros(1 << 18, np.float32), 0.0, 0.0,
                      float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
-    vocab: dict[str, int] = {}
-    bags = [np.array([vocab.setdefault(w, len(vocab)) for w in sorted(v[1])], np.int64)
-            for v in docs.values()]
     words = list(vocab)
+    del vocab
     count = np.zeros((2, len(words)))
     for y, bag in zip(label, bags, strict=True):
         count[int(y), bag] += 1
@@ -266,21 +266,20 @@ def sampled_labels(labels: DataFrame, label: Column, id_col: str, max_toxic: int
 
 
 def train(df: DataFrame, labels: DataFrame, label: Column, id_col: str = "doc_id", text_col: str = "text",
-          max_toxic: int = 1200, max_clean: int = 1200, max_sentences: int = 40,
-          max_chars: int = 300) -> Model:
-    """Fit on the sentences of ``df``'s rows that ``labels`` (by id; 0 or 1) covers."""
+          max_toxic: int = 1500, max_clean: int = 2000) -> Model:
+    """Fit on the whole texts of ``df``'s rows that ``labels`` (by id; 0 or 1) covers."""
+    common.python_ready(df)
     sample = F.broadcast(sampled_labels(labels, label, id_col, max_toxic, max_clean))  # bounded above
-    cut = F.regexp_extract_all(F.col("text"), F.lit(rf"(?s)[^.!?\n]{{1,{max_chars}}}"), F.lit(0))
-    # in hash order, so that the sentences are from all parts of a text
-    spread = F.slice(F.array_sort(F.transform(cut, lambda s: F.struct(F.xxhash64(s).alias("k"), s.alias("s")))),
-                     1, max_sentences)
+
+    @F.pandas_udf("array<string>")
+    def distinct(texts):
+        return texts.map(lambda t: sorted(tokens(t)))
+
     rows = (df.select(F.col(f"`{id_col}`").alias("id"), common.text_of(f"`{text_col}`").alias("text"))
-            .join(sample, "id").select(F.xxhash64("id", "text").alias("doc"), "label",
-                                       F.explode(spread).alias("e")).select("doc", "label", "e.s"))
-    got = rows.toArrow()
-    sentences = sorted(zip(*(got.column(c).to_pylist() for c in range(3)), strict=True))
-    del got
-    return fit(sentences)
+            .join(sample, "id").select(F.xxhash64("id", "text").alias("doc"), "label", "text")
+            .dropDuplicates(["doc"]).select("doc", "label", distinct("text").alias("tokens")))
+    got = rows.toArrow().sort_by("doc")
+    return fit((y.as_py(), own.as_py()) for y, own in zip(got.column(1), got.column(2), strict=True))
 
 
 def score_documents(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -313,3 +313,21 @@ def test_secrets(spark, docs, empty):
     assert got[3]["spans"] == "" and got[4]["spans"] == ""  # too far apart; alone
     assert got[5]["n_assign"] == 1 and got[7]["base"] == "hex:5:21"
     assert secrets.scan(docs).count() == docs.count() and secrets.scan(empty).count() == 0
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    # one insult in each long toxic text, anywhere in it
+    r = random.Random(6)
+    made, vocabulary = [], ["".join(r.choices("aeinorst", k=r.randint(2, 9))) for _ in range(600)]
+    for i in range(160):
+        pieces = [" ".join(r.choices(vocabulary, k=3)) for _ in range(400)]
+        if i % 4 == 0:
+            pieces[r.randrange(400)] += " " + r.choice(["grumbkin", "wuzzle", "fopdoodle"])
+        made.append((i, ". ".join(pieces), int(i % 4 == 0)))
+    docs = spark.createDataFrame([m[:2] for m in made], "doc_id long, text string")
+    labels = spark.createDataFrame([(m[0], m[2]) for m in made], "doc_id long, toxic int")
+    model = toxicity.train_on_labels(docs, labels)
+    texts = spark.createDataFrame([(0, f"{vocabulary[0]} wuzzle"), (1, "grumbkin"), (2, "a fopdoodle"),
+                                   (3, " ".join(vocabulary[:9])), (4, vocabulary[9])], "doc_id long, text string")
+    got = {x["doc_id"]: x["predicted"] for x in toxicity.score_documents(texts, model).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0}
