@@ -388,21 +388,28 @@ def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
 
         shingles, seen = _hasher(width), set()
         for batch in batches:
-            found = [(i, _set_id(s), s) for i, s in ((i, shingles(t)) for i, t in _texts([batch]))]
+            found = [(_set_id(s), s) for s in (shingles(t) for _, t in _texts([batch]))]
             new = []
-            for x in found:  # repeated rows once a task
-                if x[1] not in seen:
-                    seen.add(x[1])
+            for x in found:  # repeated sets once a task
+                if x[0] not in seen:
+                    seen.add(x[0])
                     new.append(x)
             if len(seen) > 1_000_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in new], pa.int64()), pa.array([x[1] for x in new], pa.int64()),
-                 pa.array([x[2].tobytes() for x in new], pa.binary())], ["id", "set", "items"])
-
-    made = src.mapInArrow(sets, "id long, set long, items binary")
-    own = common.stored(made.join(few, made["id"].eqNullSafe(few["rid"]) & (made["set"] == few["node"]),
-                                  "left_semi").select(F.col("set").alias("node"), "items"), "sets")
+                [pa.array([x[0] for x in new], pa.int64()),
+                 pa.array([x[1].tobytes() for x in new], pa.binary())], ["set", "items"])
+
+    # any row of a set has its items; the rows read hold each wanted set at least once
+    made = src.mapInArrow(sets, "set long, items binary")
+    own = common.stored(made.join(few, made["set"] == few["node"], "left_semi")
+                        .select(F.col("set").alias("node"), "items"), "sets")
+    n_rows, n_sets = own.agg(F.count("*"), F.count_distinct("node")).first()
+    if n_sets != wanted.count():
+        raise RuntimeError(f"{n_sets} sets read of {wanted.count()} wanted")
+    if n_rows > n_sets:  # read by several tasks
+        own, repeated = common.stored(own.dropDuplicates(["node"]), "sets"), own
+        common.forget(repeated)
 
     def check(batches):
         import numpy as np

@@ -267,6 +267,14 @@ def test_near_duplicates(spark, docs, empty, monkeypatch):
     assert ngram_join.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    # id 7 has two texts; its row of the first comes before the row that the class is named by
+    x = " ".join(WORDS)
+    y = x + " tail"
+    df = spark.createDataFrame([(7, x), (3, x), (7, y)], "doc_id long, text string").coalesce(1)
+    assert [r["component_id"] for r in ngram_join.near_duplicates(df).collect()] == [3, 3, 3]
+
+
 def test_toxicity(spark, empty):
     r = random.Random(4)
     made = []
