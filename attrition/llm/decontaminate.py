@@ -63,6 +63,13 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_c
                sketch: int = 24) -> DataFrame:
     """Pairs (doc_id, item_id, n_shingles of the item, n_shared, containment)
     with at least ``containment`` of the item's distinct shingles in the document."""
+    return _matches(docs, items, id_col, item_col, text_col, width, containment, sketch).drop("k1", "k2")
+
+
+def _matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id",
+             text_col: str = "text", width: int = 5, containment: float = 0.75,
+             sketch: int = 24) -> DataFrame:
+    """The pairs of ``find_items`` with the key (k1, k2) of the document's row."""
     text = common.text_of(f"`{text_col}`")
     words = items.select(F.col(f"`{item_col}`").alias("item_id"), word_list(text).alias("w")) \
         .filter(F.size("w") > 0)
@@ -103,19 +110,21 @@ def _find(docs, items, id_col, text, width, containment, sketch) -> DataFrame:
     exact = wanted.join(wanted.groupBy("item_id").agg(F.count("*").alias("n_shingles")), "item_id")
     need = F.ceil(F.lit(containment) * F.col("n_shingles") - 1e-9)
     return (strings.join(exact, "s").join(candidates, ["k1", "k2", "item_id"], "left_semi")
-            .groupBy("row", "doc_id", "item_id", "n_shingles")
+            .groupBy("row", "doc_id", "k1", "k2", "item_id", "n_shingles")
             .agg(F.count_distinct("s").alias("n_shared"))
             .filter(F.col("n_shared") >= need)
-            .select("doc_id", "item_id", "n_shingles", "n_shared",
+            .select("doc_id", "k1", "k2", "item_id", "n_shingles", "n_shared",
                     (F.col("n_shared") / F.col("n_shingles")).alias("containment")))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that hold an item."""
-    found = find_items(docs, items, id_col=id_col, text_col=text_col, **options)
-    hit = found.select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, F.col(f"`{id_col}`").eqNullSafe(F.col("__hit")), "left_anti")
+    """``docs`` without the rows whose own text holds an item."""
+    found = _matches(docs, items, id_col=id_col, text_col=text_col, **options)
+    hit = found.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
+    k1, k2 = common.row_key(F.col(f"`{id_col}`"), common.text_of(f"`{text_col}`"))
+    return (docs.withColumns({"__k1": k1, "__k2": k2}).join(hit, ["__k1", "__k2"], "left_anti")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 #: DuckDB SQL of the pairs: the same containment without the search. Shorter

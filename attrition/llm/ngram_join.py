@@ -115,8 +115,8 @@ def _texts(batches):
 
 
 def signatures(docs: DataFrame, width: int, frequent: float) -> DataFrame:
-    """(id, node, n) of each row, and (null, shingle, count) with n < 0 for the
-    shingles frequent in a block of rows."""
+    """(id, node, n, k1, k2) of each row of (id, text, k1, k2), and (null, shingle,
+    count, null, null) with n < 0 for the shingles frequent in a block of rows."""
 
     def run(batches):
         import numpy as np
@@ -127,32 +127,34 @@ def signatures(docs: DataFrame, width: int, frequent: float) -> DataFrame:
 
         def table(out):
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["id", "node", "n"])
+                [pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["id", "node", "n", "k1", "k2"])
 
         def often():
             u, c = np.unique(np.concatenate(block), return_counts=True)
             ok = c >= max(4, frequent * len(block))
-            return list(zip([None] * int(ok.sum()), u[ok].view(np.int64).tolist(),
-                            (-c[ok]).tolist(), strict=True))
+            none = [None] * int(ok.sum())
+            return list(zip(none, u[ok].view(np.int64).tolist(), (-c[ok]).tolist(), none, none, strict=True))
 
-        for row_id, text in _texts(batches):
-            s = shingles(text)
-            rows.append((row_id, _set_id(s), len(s)))
-            if len(s):
-                block.append(s)
-                held += len(s)
-            if held > BLOCK:
-                rows += often()
-                block, held = [], 0
-            if len(rows) >= 8192:
-                yield table(rows)
-                rows = []
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("k1", "k2")), strict=True)
+            for (row_id, text), (k1, k2) in zip(_texts([batch]), keys, strict=True):
+                s = shingles(text)
+                rows.append((row_id, _set_id(s), len(s), k1, k2))
+                if len(s):
+                    block.append(s)
+                    held += len(s)
+                if held > BLOCK:
+                    rows += often()
+                    block, held = [], 0
+                if len(rows) >= 8192:
+                    yield table(rows)
+                    rows = []
         if block:
             rows += often()
         if rows:
             yield table(rows)
 
-    return docs.mapInArrow(run, "id long, node long, n long")
+    return docs.mapInArrow(run, "id long, node long, n long, k1 long, k2 long")
 
 
 def _prefix(s, hot, hot_count, similarity: float):
@@ -440,12 +442,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     similarity: float = 0.75, frequent: float = 0.001) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row: the smallest id that
     links of Jaccard >= ``similarity`` reach from it."""
+    return _placed(df, id_col, text_col, width, similarity, frequent).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def _placed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+            similarity: float = 0.75, frequent: float = 0.001) -> DataFrame:
+    """(id, k1, k2, n, root, component_id) of each row: its key, the node that
+    stands for its component, and the component's smallest id."""
     import numpy as np
 
     common.python_ready(df)
-    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                     common.text_of(f"`{text_col}`").alias("text"))
-    signed = common.stored(signatures(docs, width, frequent), "signatures")
+    k1, k2 = common.row_key(F.col(f"`{id_col}`"), common.text_of(f"`{text_col}`"))
+    keyed = df.select(F.col(f"`{id_col}`").cast("long").alias("id"),
+                      common.text_of(f"`{text_col}`").alias("text"), k1.alias("k1"), k2.alias("k2"))
+    docs = keyed.select("id", "text")
+    signed = common.stored(signatures(keyed, width, frequent), "signatures")
     rows = signed.filter("n >= 0")
     total = rows.filter("n > 0").count()
     found = (signed.filter("n < 0").groupBy("node").agg((-F.sum("n")).alias("c"))
@@ -516,22 +529,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")) \
         .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(names, "root").select("node", "component_id")
-    return (rows.join(named, "node", "left")
-            .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+    named = classes.join(names, "root").select("node", "root", "component_id")
+    return rows.join(named, "node", "left").select("id", "k1", "k2", "n", "root", "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``df`` with one row of each component, that of its smallest id. An id is
-    a document: of rows that share an id, one stays."""
-    found = common.stored(near_duplicates(df, id_col, text_col, **options), "near")
-    key = F.col(f"`{id_col}`")
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("__id")).distinct()
-    kept = df.join(gone, key.eqNullSafe(F.col("__id")), "left_anti")
-    repeated = found.groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id")
+    """``df`` with one row of each component, that of its smallest id (nulls
+    last; ties: one of them). Rows are told apart by id and text, so that rows
+    of a null or repeated id stay if their texts do. Rows without words all stay."""
+    found = _placed(df, id_col, text_col, **options).filter("n > 0")
+    keys = common.stored(found.groupBy("k1", "k2").agg(
+        F.first("root").alias("root"), F.first("id").alias("id"), F.count("*").alias("c")), "near")
+    first = (keys.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2"))
+                                      .alias("w")).select("w.k1", "w.k2"))
+    gone = keys.join(first, ["k1", "k2"], "left_anti").select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"))
+    repeated = (keys.filter("c > 1").join(first, ["k1", "k2"], "left_semi")
+                .select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")))
+    k1, k2 = common.row_key(F.col(f"`{id_col}`"), common.text_of(f"`{text_col}`"))
+    on = ["__k1", "__k2"]
+    kept = df.withColumns({"__k1": k1, "__k2": k2}).join(gone, on, "left_anti")
     if repeated.take(1):
-        many = kept.join(repeated, key.eqNullSafe(F.col("__id")), "left_semi").dropDuplicates([id_col])
-        kept = kept.join(repeated, key.eqNullSafe(F.col("__id")), "left_anti").union(many)
-    return kept
+        many = kept.join(repeated, on, "left_semi").dropDuplicates(on)
+        kept = kept.join(repeated, on, "left_anti").unionByName(many)
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -275,6 +275,27 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert [r["component_id"] for r in ngram_join.near_duplicates(df).collect()] == [3, 3, 3]
 
 
+def test_rows_of_null_and_repeated_ids_are_apart(spark):
+    r = random.Random(11)
+    a, b, c, d, e, item = (" ".join(r.choices(WORDS, k=50)) for _ in range(6))
+    made = [(None, a), (None, b), (None, a + " tail"), (1, c), (1, d), (2, d + " tail"), (None, c + " tail"),
+            (1, c), (None, ""), (None, None), (5, ""), (None, e), (None, e), (8, b + " end")]
+    df = spark.createDataFrame(made, "doc_id long, text string").withColumn("lang", F.lit("en")).repartition(3)
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted(((x[0] or 0, x[1] or "") for x in kept.collect()))
+    of_a = [x for x in got if x[1].startswith(a)]
+    assert len(of_a) == 1 and of_a[0][0] == 0
+    assert [x for x in got if x not in of_a] == sorted(
+        [(0, ""), (0, ""), (0, e), (1, c), (1, d), (5, ""), (8, b + " end")])
+
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    made = [(None, a), (None, "x " + item), (None, b), (4, c), (4, item + " y"), (None, None), (6, item), (None, a)]
+    left = decontaminate.decontaminate(spark.createDataFrame(made, "doc_id long, text string"), bench)
+    assert sorted((x[0] or 0, x[1] or "") for x in left.collect()) == sorted(
+        [(0, a), (0, b), (4, c), (0, ""), (0, a)])
+
+
 def test_toxicity(spark, empty):
     r = random.Random(4)
     made = []
