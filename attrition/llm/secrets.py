@@ -2,11 +2,13 @@
 
 Strong findings need no company: assignments of a long value to a secret's
 name, access identifiers and long hexadecimal runs. Weak candidates (an
-account identifier, a bare 32 to 64 character mixed string, an endpoint) are
+account identifier, a mixed string of 32 or more characters, an endpoint) are
 reported only where complementary parts meet: a secret and an identifier or an
 endpoint whose gap is at most ``reach`` code points. The meeting is an interval
-join on (row, cell): a part is found in the cell of its start, its possible
-partners in the cells around, so that no task pairs all parts of a text.
+join on (row, cell): a secret is found in the cells it covers, its possible
+partners in the cells around theirs, so that no task pairs all parts of a text.
+A secret's run is taken whole, however long; '=' or ':' may stand before it, and
+an account's name may have a prefix that ends in '_' or '.'.
 
 Spans are code points, end exclusive. Null text is empty, texts are scanned
 whole, equal rows have equal results (rows meet by a hash of id and text), and
@@ -28,8 +30,8 @@ KINDS = ["assign", "access", "hex", "account", "secret", "endpoint"]
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a run is found whole, as by [0-9a-f]+
-ACCOUNT = re.compile(r"""(?ai)\b(?:client_?id|access_?key_?id|account|user(?:name)?|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,}""")
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,64}={0,2}(?![A-Za-z0-9+/_=-])")
+ACCOUNT = re.compile(r"""(?ai)(?<![A-Za-z0-9])(?:client_?id|access_?key_?id|account(?:_?name)?|user(?:_?name)?|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,}""")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"(?a)\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+")
 
 
@@ -63,12 +65,15 @@ def linked_parts(found: DataFrame, reach: int) -> DataFrame:
     """(k1, k2, linked): the weak parts of each row that meet a complementary one."""
     parts = found.select("k1", "k2", F.explode("found").alias("p")).select("k1", "k2", "p.*").distinct()
     weak = parts.filter("kind IN (1, 3, 4, 5)").withColumn("cell", F.floor(F.col("start") / reach))
-    secret = weak.filter("kind = 4").select("k1", "k2", "cell", F.struct("kind", "start", "end").alias("s"))
+    secret = (weak.filter("kind = 4")
+              .withColumn("cell", F.explode(F.sequence("cell", F.floor(F.col("end") / reach))))
+              .select("k1", "k2", "cell", F.struct("kind", "start", "end").alias("s")))
     # a span reaches from its first cell less one to its last cell and one more
     other = (weak.filter("kind <> 4")
              .withColumn("cell", F.explode(F.sequence(
                  F.floor(F.col("start") / reach) - 2, F.floor(F.col("end") / reach) + 2)))
              .select("k1", "k2", "cell", F.struct("kind", "start", "end").alias("o")))
+    # both may cover several cells: a pair can meet more than once and is listed once
     met = secret.join(other, ["k1", "k2", "cell"]).filter(
         (F.greatest("s.start", "o.start") - F.least("s.end", "o.end") <= reach))
     # access identifiers are strong and already reported
