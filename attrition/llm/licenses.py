@@ -1,12 +1,16 @@
 """Licence scans: TF-IDF cosine to templates, then inheritance along directories.
 
-Every line of a text, alone and with the lines after it up to the length of a
-template, is compared with the licence templates as a sparse TF-IDF vector; a
-window of cosine >= ``threshold`` is a header. Document frequencies of template
-terms are counted over all texts; other terms weigh like a term of no text.
-Windows without a telling term need no comparison: for each template the terms
-of highest weight are telling until the rest alone can't reach the threshold
-(Cauchy-Schwarz), so nothing is missed.
+Two sorts of windows of a text are compared with the licence templates as
+sparse TF-IDF vectors; a window of cosine >= ``threshold`` is a header. Every run
+of as many terms as a template has, wherever lines end, is compared with that
+template (a shorter text as a whole); and every line, alone and with the lines
+after it up to the length of the longest template, with all of them. The header
+stands on the line of the window's first term that the template has. Document
+frequencies of template terms are counted over all texts; other terms weigh like
+a term of no text. Windows without a telling term need no comparison: for each
+template the terms of highest weight are telling until the rest alone can't reach
+the threshold (Cauchy-Schwarz). Nor do runs whose cosine would be too small if no
+term were repeated, which is an upper bound. So no such window is missed.
 
 A file is a licence file if its path says so or its header stands on the first
 line that isn't blank. Directories get the licence of their best licence file;
@@ -24,8 +28,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,13 +81,14 @@ class Matcher:
         self.threshold = threshold
         self.idf = {t: math.log((n_docs + 1) / (frequency.get(t, 0) + 1)) + 1 for t in template_terms()}
         self.other = math.log(n_docs + 1) + 1
-        self.templates, telling = [], set()
+        self.templates, self.lengths, telling = [], [], set()
         for name in sorted(TEMPLATES):
             for text in TEMPLATES[name]:
                 w = {t: c * self.idf[t] for t, c in Counter(terms(text)).items()}
                 norm = math.sqrt(sum(v * v for v in w.values()))
                 w = {t: v / norm for t, v in w.items()}
                 self.templates.append((name, w))
+                self.lengths.append(len(terms(text)))
                 rest = 1.0
                 for t, v in sorted(w.items(), key=lambda x: (-x[1], x[0])):
                     if rest < threshold ** 2 - 1e-9:
@@ -91,17 +98,39 @@ class Matcher:
         self.telling = sorted(telling)
         self.longest = max(len(terms(x)) for texts in TEMPLATES.values() for x in texts)
 
-    def cosine(self, window: list[str]) -> tuple[float, str]:
+    def cosine(self, window: list[str], templates=None) -> tuple[float, str, dict]:
+        """Cosine, name and terms of the best template."""
         tf = Counter(window)
         w = {t: c * self.idf.get(t, self.other) for t, c in tf.items()}
         norm = math.sqrt(sum(v * v for v in w.values())) or 1.0
-        best = (0.0, "")
-        for name, tw in self.templates:
+        best = (0.0, "", {})
+        for name, tw in templates or self.templates:
             dot = sum(v * w[t] for t, v in tw.items() if t in w) / norm
             if dot > best[0] + 1e-12:
-                best = dot, name
+                best = dot, name, tw
         return best
 
+    def runs(self, words: list[str]):
+        """(start, length, template) of the runs that may reach the threshold."""
+        weight = np.array([self.idf.get(t, self.other) for t in words])
+        square = np.r_[0.0, np.cumsum(weight * weight)]
+        at: dict[str, list[int]] = {}
+        for k, t in enumerate(words):
+            if t in self.idf:
+                at.setdefault(t, []).append(k)
+        for (name, tw), length in zip(self.templates, self.lengths, strict=True):
+            if not any(t in at for t in tw):
+                continue
+            gain = np.zeros(len(words))
+            for t, v in tw.items():
+                if t in at:
+                    gain[at[t]] = v * self.idf[t]
+            n = min(length, len(words))
+            gain = np.r_[0.0, np.cumsum(gain)]
+            bound = (gain[n:] - gain[:-n]) / np.sqrt(square[n:] - square[:-n])
+            for s in np.flatnonzero(bound >= self.threshold - 1e-6).tolist():
+                yield s, n, (name, tw)
+
     def header(self, text: str) -> tuple[str, float, int, bool] | None:
         """(licence, cosine, line, on the first line that isn't blank) of the best window."""
         low = text.lower()
@@ -109,21 +138,38 @@ class Matcher:
             return None
         lines = text.split("\n")
         first = next((i for i, x in enumerate(lines) if x.strip()), 0)
+        of_line = [terms(x) for x in lines]
+        words = [t for x in of_line for t in x]
+        line_of = [i for i, x in enumerate(of_line) for _ in x]
+        starts = np.r_[0, np.cumsum([len(x) for x in of_line])].tolist()
         telling, best = set(self.telling), None
-        for i, line in enumerate(lines):
-            window = terms(line)
-            if telling.isdisjoint(window):
-                continue
+        near = [i for i, x in enumerate(of_line) if not telling.isdisjoint(x)]
+
+        def compare(start, end, templates=None):
+            nonlocal best
+            score, name, tw = self.cosine(words[start:end], templates)
+            if score >= self.threshold:
+                line = line_of[next(k for k in range(start, end) if words[k] in tw)]
+                key = -round(score, 12), name, line
+                if best is None or key < best[0]:
+                    best = key, (name, score, line, line == first)
+
+        for s, n, template in self.runs(words) if near else ():
+            compare(s, s + n, [template])
+        for i in range(len(lines)):
+            k = bisect_left(near, i)
+            if k == len(near):
+                break
+            if near[k] > i and (not lines[i].strip() or starts[near[k]] - starts[i] >= self.longest):
+                continue  # no window from here reaches a telling term
             j = i
             while True:
-                score, name = self.cosine(window)
-                if score >= self.threshold and (best is None or score > best[1] + 1e-12):
-                    best = name, score, i, i == first
+                if j >= near[k]:
+                    compare(starts[i], starts[j + 1])
                 j += 1
-                if j >= len(lines) or len(window) >= self.longest or not lines[j].strip():
+                if j >= len(lines) or starts[j] - starts[i] >= self.longest or not lines[j].strip():
                     break
-                window = window + terms(lines[j])
-        return best
+        return best and best[1]
 
 
 def headers(df: DataFrame, text_col: str = "text", threshold: float = 0.6) -> DataFrame:

@@ -381,3 +381,23 @@ def test_secrets_in_key_value_pairs(spark):
     assert found[4] == [("secret", huge), ("account", "user=admin99")]
     assert found[5] == found[6] == []
     assert found[7] == [("account", "user=admin99"), ("secret", bare)]
+
+
+def test_licenses_inline_and_wrapped(spark):
+    r = random.Random(12)
+    def prose(k):
+        return " ".join("".join(r.choices("aeinorst", k=r.randint(3, 9))) for _ in range(k))
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    gpl = licenses.TEMPLATES["GPL-3.0"][1].split()
+    wrapped = "\n".join(" * " + " ".join(gpl[i:i + 6]) for i in range(0, len(gpl), 6))
+    texts = [f"{prose(60)} {mit} {prose(60)}", f"Copyright 2020 {prose(8)}. {apache} {prose(4)}\n{prose(30)}",
+             f"\n{wrapped}\n{prose(50)}", f"{prose(40)}\n{prose(40)} This work is\nlicensed under the GNU General\n"
+             f"Public License, version 3. {prose(40)}", prose(300), f"{prose(30)} MIT {prose(30)}",
+             "This\nSource Code Form is subject to\nthe terms of the Mozilla Public License, v. 2.0.\n" + prose(20),
+             ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x for x in licenses.headers(df).collect()}
+    want = {0: ("MIT", 0, True), 1: ("Apache-2.0", 0, True), 2: ("GPL-3.0", 1, True), 3: ("GPL-3.0", 1, False),
+            4: (None, None, None), 5: (None, None, None), 6: ("MPL-2.0", 0, True), 7: (None, None, None)}
+    assert {d: (x["header_license"], x["header_line"], x["header_first"]) for d, x in got.items()} == want
+    assert got[0]["header_score"] == pytest.approx(1) and got[6]["header_score"] == pytest.approx(1)
