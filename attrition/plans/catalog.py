@@ -141,7 +141,9 @@ def q_profile(spark, sf):
 
 @query("null_profile")
 def q_null_profile(spark, sf):
-    return profile.null_profile(segments.score_table(cust(spark, sf), "p").select("risk_segment"))
+    """Nulls of every column of the customers and of their score table."""
+    scores = segments.score_table(cust(spark, sf), "p", id_col=None)
+    return profile.null_profile(raw(spark, sf)).unionByName(profile.null_profile(scores))
 
 
 @query("class_distribution")
@@ -556,17 +558,15 @@ def q_attribution_mc(spark, sf):
 
 @query("score_batch_model")
 def q_score_batch_model(spark, sf):
-    """Save the logistic model and preparation, load them back, score the
-    test customers from raw columns."""
+    """Save the logistic model and preparation, load them back, score all
+    customers from raw columns."""
     from ..sources.registry import load_production, save_models
     from .score import score_customers
     td = training(spark, sf)
     path = shared_dir(spark, f"registry_{abs(hash(sf))}")
     save_models(spark, {"logistic_regression": base_model(spark, sf, "logistic_regression")}, td.prep, path)
     model, prep = load_production(spark, path, "logistic_regression")
-    test_ids = td.test.select("customer_id")
-    batch = raw(spark, sf).join(test_ids, "customer_id", "left_semi").drop("churn")
-    return score_customers(batch, model, prep)
+    return score_customers(raw(spark, sf).drop("churn"), model, prep)
 
 
 # --- G13 (a): exact linear attribution of the rule score card -----------------
