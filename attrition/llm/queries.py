@@ -89,7 +89,7 @@ FROM p LEFT JOIN f ON p.d = f.d
 
 @query(WARC_ORACLE)
 def op6_warc(spark, sf_dir):
-    captures = warc.round_trip(common.table(spark, sf_dir, "pages"))
+    captures = warc.round_trip(common.table(spark, sf_dir, "pages"), each_row=True)
     own = F.col("response.type") == "response"
     return captures.select(
         "page_id",

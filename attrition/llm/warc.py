@@ -11,7 +11,8 @@ and become one nested row per capture.
 
 Null html is an empty payload; a null url has no WARC-Target-URI; a null page
 id is written empty and read back as null, and is no page that others revisit.
-Rows equal in id, url and html are one capture. Of equal payloads the smallest
+Rows equal in id, url and html are one capture, or with ``each_row`` one each: all
+of them but one carry a number in their record identifiers. Of equal payloads the smallest
 page_id is the response (ties: every row of that id is). Empty tables give an
 empty archive and result. Other input columns are not written.
 """
@@ -33,24 +34,31 @@ RECORD = ("capture string, type string, id string, refers_to string, uri string,
 
 
 def write_archive(pages: DataFrame, path: str, least: int = 100, file_bytes: int = 32 << 20,
-                  date: str = "2000-01-01T00:00:00Z") -> None:
+                  date: str = "2000-01-01T00:00:00Z", each_row: bool = False) -> None:
     """Write ``pages`` (page_id, url, html) as WARC files under ``path``."""
     html = common.text_of("html")
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("page_id").alias("key"),
                         F.col("url").cast("string").alias("url"), html.alias("html"),
-                        F.sha2(html, 256).alias("digest"), F.octet_length(html).alias("n"))
-    digests = common.stored(rows.select("key", "url", "digest", "n"), "payload-digests")
+                        F.sha2(html, 256).alias("digest"), F.octet_length(html).alias("n"),
+                        (F.monotonically_increasing_id() if each_row else F.lit(0)).alias("num"))
+    digests = common.stored(rows.select("key", "url", "digest", "n", "num"), "payload-digests")
     total, count = digests.agg(F.sum("n"), F.count("*")).first()
     mean = (total or 0) / max(count, 1) + 1000
     shared = (digests.filter(f"n >= {least} AND key IS NOT NULL").groupBy("digest")
               .agg(F.min("key").alias("first"), F.count("*").alias("c"),
                    F.min(F.struct("key", "url")).getField("url").alias("first_url"))
               .filter("c > 1").drop("c"))
-    rows = rows.join(common.sized(shared), "digest", "left")
-
-    def record_id(page, url):
+    rows = rows.join(common.sized(shared), "digest", "left").withColumn("again_of", F.lit(""))
+    if each_row:  # the first of equal rows has the plain identifier
+        equal = (digests.groupBy(F.col("key").alias("k"), F.col("url").alias("u"), F.col("digest").alias("d"))
+                 .agg(F.min("num").alias("lead"), F.count("*").alias("c")).filter("c > 1").drop("c"))
+        rows = (rows.join(common.sized(equal), F.expr("key <=> k AND url <=> u AND digest = d"), "left")
+                .withColumn("again_of", F.when(F.col("num") != F.col("lead"), F.concat(F.lit(":"), "num"))
+                            .otherwise("")))
+
+    def record_id(page, url, more=F.lit("")):
         return F.concat(F.lit("<urn:page:"), F.coalesce(page, F.lit("")), F.lit(":"),
-                        F.md5(F.concat_ws("|", page, url, "digest")), F.lit(">"))
+                        F.md5(F.concat_ws("|", page, url, "digest")), more, F.lit(">"))
 
     def header(kind, own, block, mime, *more):
         lines = [F.lit("WARC/1.1"), F.lit(f"WARC-Type: {kind}") if isinstance(kind, str) else
@@ -60,7 +68,7 @@ def write_archive(pages: DataFrame, path: str, least: int = 100, file_bytes: int
                  F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string"))]
         return F.concat(F.concat_ws(END, *lines), F.lit(END + END), block)  # nulls leave no line
 
-    own = record_id(F.col("page_id"), F.col("url"))
+    own = record_id(F.col("page_id"), F.col("url"), F.col("again_of"))
     again = F.coalesce(F.col("first") < F.col("key"), F.lit(False))
     to = F.concat(F.lit("WARC-Concurrent-To: "), own)
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "),
@@ -157,9 +165,9 @@ def assemble(records: DataFrame) -> DataFrame:
         .alias("refers_to"))
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
+def round_trip(pages: DataFrame, each_row: bool = False) -> DataFrame:
     """Write ``pages`` into archives in the shared folder and read their captures back."""
     spark = common.python_ready(pages).sparkSession
     path = shared_dir(spark, f"llm-warc-{uuid.uuid4().hex}")
-    write_archive(pages, path)
+    write_archive(pages, path, each_row=each_row)
     return assemble(read_records(spark, path))

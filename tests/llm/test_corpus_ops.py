@@ -401,3 +401,20 @@ def test_licenses_inline_and_wrapped(spark):
             4: (None, None, None), 5: (None, None, None), 6: ("MPL-2.0", 0, True), 7: (None, None, None)}
     assert {d: (x["header_license"], x["header_line"], x["header_first"]) for d, x in got.items()} == want
     assert got[0]["header_score"] == pytest.approx(1) and got[6]["header_score"] == pytest.approx(1)
+
+
+def test_warc_query_has_a_row_per_page_row(spark, tmp_path):
+    from attrition.llm.queries import op6_warc
+
+    big = "<p>" + "x" * 200
+    pages = [(1, "u", big), (1, "u", big), (2, "v", big), (2, "v", big), (None, None, "n"), (None, None, "n"),
+             (None, None, "n"), (3, None, ""), (3, "", ""), (4, "w", big)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3) \
+        .write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"], r["payload_bytes"])
+                 for r in op6_warc(spark, str(tmp_path)).collect())
+    assert got == [(0, "response", None, 1)] * 3 + [(1, "response", None, 203)] * 2 \
+        + [(2, "revisit", 1, 203)] * 2 + [(3, "response", None, 0)] * 2 + [(4, "revisit", 1, 203)]
+    table = spark.read.parquet(str(tmp_path / "pages.parquet"))
+    ids = [r["capture"] for r in warc.round_trip(table, each_row=True).collect()]
+    assert len(set(ids)) == len(pages)
