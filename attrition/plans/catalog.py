@@ -486,14 +486,14 @@ def q_soft_vote_model(spark, sf):
 
 
 def stacking(spark, sf):
-    """Stacking with the check profile (small forests / few rounds)."""
-    from ..params import check_profile
+    """Stacking with the production settings."""
+    from ..params import Params
     from .ensemble import fit_stacking, non_logistic
     from .models import BASE_MODELS
     td = training(spark, sf)
     names = non_logistic(BASE_MODELS)
     return _memo(("stack", spark.sparkContext.applicationId, sf), lambda: fit_stacking(
-        td.train_fit, names, check_profile(), parallelism=PARALLELISM))
+        td.train_fit, names, Params(), parallelism=PARALLELISM))
 
 
 @query("stacking_scores")
@@ -513,17 +513,17 @@ def q_cv_scores(spark, sf):
     from .models import BASE_MODELS
     from .tune import cross_validate
     td = training(spark, sf)
-    from ..params import check_profile
+    from ..params import Params
     return _memo(("cv", spark.sparkContext.applicationId, sf), lambda: cross_validate(
-        td.train, BASE_MODELS, check_profile(), parallelism=PARALLELISM)[1])
+        td.train, BASE_MODELS, Params(), parallelism=PARALLELISM)[1])
 
 
 def trials(spark, sf):
     from .tune import random_search
     td = training(spark, sf)
-    from ..params import check_profile
+    from ..params import Params
     return _memo(("tune", spark.sparkContext.applicationId, sf), lambda: random_search(
-        td.train_fit, check_profile(), parallelism=PARALLELISM))
+        td.train_fit, Params(), parallelism=PARALLELISM))
 
 
 @query("tuning_trials")

@@ -1,8 +1,11 @@
 """Registered queries read whole tables."""
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
-from attrition.plans import catalog
+from attrition.params import Params
+from attrition.plans import catalog, ensemble, tune
 from conftest import SF0001
 
 
@@ -20,3 +23,18 @@ def test_null_profile_sees_every_column(spark, monkeypatch):
         "p", F.when(F.col("customer_id") != first, F.col("p"))))
     got = {r[0]: r[1] for r in catalog.QUERIES["null_profile"](spark, SF0001).collect()}
     assert got["tech_support"] == got["churn_probability"] == 1 and got["risk_segment"] >= 1
+
+
+def test_multi_fit_queries_use_the_production_settings(spark, monkeypatch):
+    seen = []
+
+    def caught(df, *args, **_):
+        seen.append(args[-1])
+        return "first", "second"
+
+    monkeypatch.setattr(catalog, "training", lambda *a: SimpleNamespace(train=None, train_fit=None))
+    for module, name in ((ensemble, "fit_stacking"), (tune, "cross_validate"), (tune, "random_search")):
+        monkeypatch.setattr(module, name, caught)
+    for call in (catalog.stacking, catalog.QUERIES["cv_scores"], catalog.trials):
+        call(spark, "a folder that no other test reads")
+    assert seen == [Params()] * 3
