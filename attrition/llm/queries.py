@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.llm import (
-    common, decontaminate, fingerprints, licenses, line_dedup, ngram_join, packing, secrets, token_counts,
-    toxicity, warc,
+    common, decontaminate, fingerprints, licenses, line_dedup, ngram_join, packing, prefix_trie, secrets,
+    token_counts, toxicity, warc,
 )
 
 VOCABULARY = "word_bpe_49k.json"
@@ -114,3 +114,8 @@ def op5_licenses(spark, sf_dir):
     return licenses.inherit(found).select(
         "doc_id", "path", "header_license", F.round("header_score", 6).alias("header_score"),
         "license", "license_from", "license_distance")
+
+
+@query(prefix_trie.ORACLE)
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(common.table(spark, sf_dir, "conversations"))
