@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.llm import (
-    common, decontaminate, fingerprints, licenses, line_dedup, ngram_join, packing, prefix_trie, secrets,
-    token_counts, toxicity, warc,
+    centroids, common, decontaminate, fingerprints, licenses, line_dedup, ngram_join, packing, prefix_trie,
+    secrets, token_counts, toxicity, warc,
 )
 
 VOCABULARY = "word_bpe_49k.json"
@@ -119,3 +119,8 @@ def op5_licenses(spark, sf_dir):
 @query(prefix_trie.ORACLE)
 def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(common.table(spark, sf_dir, "conversations"))
+
+
+@query(centroids.oracle())
+def op13_centroids(spark, sf_dir):
+    return centroids.cluster(common.table(spark, sf_dir, "embeddings"))
