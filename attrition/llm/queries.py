@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from attrition.llm import (
     centroids, common, decontaminate, fingerprints, licenses, line_dedup, ngram_join, packing, prefix_trie,
-    secrets, token_counts, toxicity, warc,
+    quality_lines, secrets, token_counts, toxicity, warc,
 )
 
 VOCABULARY = "word_bpe_49k.json"
@@ -121,6 +121,15 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(common.table(spark, sf_dir, "conversations"))
 
 
+@query()
+def op12_quality_rules(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    weights = quality_lines.train(docs, common.table(spark, sf_dir, "labels"))
+    return quality_lines.judge(docs, weights).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "content_share")
+
+
 @query(centroids.oracle())
 def op13_centroids(spark, sf_dir):
     return centroids.cluster(common.table(spark, sf_dir, "embeddings"))
