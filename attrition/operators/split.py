@@ -82,6 +82,27 @@ def fold_ids(df: DataFrame, k: int = 5, seed: int = 42, id_col: str = ID_COL,
                                        F.lit(k - 1)).cast("int"))
 
 
+def exact_folds(df: DataFrame, k: int = 5, seed: int = 42, label: str = TARGET, id_col: str = ID_COL,
+                name: str = "fold", stream: str = "fold") -> DataFrame:
+    """Exactly stratified folds: per class, rows in the order of (hash, id) are
+    dealt in turn, so fold sizes differ by one row per class at most.
+
+    A row's rank is the count of the hash buckets before its own (at most
+    classes x 2^20 rows) plus its place inside the bucket. Equal ids tie and
+    take neighbouring folds; null ids come first."""
+    keyed = df.withColumn("__h", F.coalesce(hash_bits(id_col, stream, seed), F.lit(0))) \
+        .withColumn("__b", F.shiftright(F.col("__h"), BUCKET_SHIFT))
+    counts = checkpointed(keyed.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__n")))
+    w = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col(label).alias("__label"), F.col("__b").alias("__bucket"),
+                           F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy(label, "__b").orderBy("__h", id_col))
+    ranked = keyed.withColumn("__at", place).join(
+        before, F.col(label).eqNullSafe(F.col("__label")) & (F.col("__b") == F.col("__bucket")))
+    return ranked.withColumn(name, ((F.col("__before") + F.col("__at") - 1) % k).cast("int")) \
+        .select(*[c for c in df.columns if c != name], name)
+
+
 def split_report(split_df: DataFrame, label: str = TARGET) -> DataFrame:
     """Rows and churn rate per side."""
     side = F.when(F.col("is_test"), F.lit("test")).otherwise(F.lit("train"))

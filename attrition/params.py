@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 class DataParams:
     seed: int = 42
     test_size: float = 0.20
+    exact: bool = False  # exact class shares in the split and the folds, not by hash alone
 
 
 @dataclass(frozen=True)
@@ -48,9 +49,16 @@ class BoostParams:
     step_size: float = 0.05
     max_depth: int = 7
     subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
+    feature_subset: str = "0.8"     # share of the columns ("all": every one)
     pos_weight: float | None = 3.0  # None => balanced weights
     seed: int = 42
+    max_leaves: int | None = None   # leaf-wise growth up to so many leaves
+    l1: float = 0.0
+    l2: float = 1.0
+    min_gain: float = 0.0
+    min_child_weight: float = 1.0
+    min_rows: int = 1
+    from_prior: bool = False        # boosting starts at the log-odds
 
 
 @dataclass(frozen=True)
@@ -59,6 +67,8 @@ class TuneParams:
     folds: int = 3
     seed: int = 42
     rounds_range: tuple[int, int] = (100, 600)
+    batch: int = 5                  # trials that are fitted together
+    startup: int = 10               # uniform draws before the sampler adapts
 
 
 @dataclass(frozen=True)
@@ -80,7 +90,7 @@ class Params:
     boost_fallback: BoostParams = field(default_factory=lambda: BoostParams(
         max_iter=200, max_depth=5, feature_subset="all", pos_weight=1.0))
     boost_b: BoostParams = field(default_factory=lambda: BoostParams(
-        max_depth=6, pos_weight=None))
+        max_leaves=63, pos_weight=None, l2=0.0, min_child_weight=1e-3, min_rows=20, from_prior=True))
     stacking_folds: int = 5
     cv_folds: int = 5
     tune: TuneParams = field(default_factory=TuneParams)
@@ -89,10 +99,8 @@ class Params:
 
 
 def check_profile() -> Params:
-    """Small-model profile for the registered multi-fit checks (CV, stacking,
-    tuning), like the original test-suite's 20-tree forest: forests of 20
-    trees, boosted models of 20 rounds, a 10-trial search whose round range
-    is scaled by 1/10. Every other setting is the production one."""
+    """Small models for tests of the jobs: forests of 20 trees, boosted models of
+    20 rounds, 10 trials of 10 to 60 rounds. Registered queries don't use it."""
     from dataclasses import replace
     p = Params()
     return replace(

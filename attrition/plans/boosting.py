@@ -51,6 +51,7 @@ MAX_BINS = 64
 SLICE_ROWS = 262_144
 #: Rounds between checkpoints of the margins.
 CHECKPOINT_ROUNDS = 20
+SCORES = "job int, id string, label int, margin double"
 BLOCK = "code binary, y binary, sets binary, fold binary, rid binary, ids array<string>"
 
 
@@ -207,9 +208,9 @@ def _alone(batches, jobs, counts, layout):
         held = np.flatnonzero(block.held(job))
         yield pa.RecordBatch.from_pylist(
             [{"job": at, "model": model.to_bytes(), "ids": [block.ids[i] for i in held],
-              "margins": margin[held].tolist()}],
+              "labels": block.y[held].tolist(), "margins": margin[held].tolist()}],
             pa.schema([("job", pa.int32()), ("model", pa.binary()), ("ids", pa.list_(pa.string())),
-                       ("margins", pa.list_(pa.float64()))]))
+                       ("labels", pa.list_(pa.int32())), ("margins", pa.list_(pa.float64()))]))
 
 
 def _fit_in_tasks(table: BinnedTable, jobs: list[BoostJob]):
@@ -221,10 +222,11 @@ def _fit_in_tasks(table: BinnedTable, jobs: list[BoostJob]):
     dealt = table.blocks.select(every.alias("to"), "*").select("to.job", "to.place", *table.blocks.columns) \
         .repartitionById(len(jobs), "place").drop("place")
     done = checkpointed(dealt.mapInArrow(partial(_alone, jobs=jobs, counts=table.counts, layout=table.layout),
-                                         "job int, model binary, ids array<string>, margins array<double>"))
+                                         "job int, model binary, ids array<string>, labels array<int>, "
+                                         "margins array<double>"))
     models = {r["job"]: T.TreeEnsemble.from_bytes(r["model"]) for r in done.select("job", "model").collect()}
-    scores = done.select("job", F.explode(F.arrays_zip("ids", "margins")).alias("z")) \
-        .select("job", F.col("z.ids").alias("id"), F.col("z.margins").alias("margin"))
+    scores = done.select("job", F.explode(F.arrays_zip("ids", "labels", "margins")).alias("z")) \
+        .select("job", F.col("z.ids").alias("id"), F.col("z.labels").alias("label"), F.col("z.margins").alias("margin"))
     empty = [T.TreeEnsemble.of([], table.layout, weights_and_start(j, table.counts)[1]) for j in jobs]
     return [models.get(i, empty[i]) for i in range(len(jobs))], scores
 
@@ -331,9 +333,9 @@ def _fit_over_slices(table: BinnedTable, jobs: list[BoostJob]):
         block, margin = pair
         for i, job in enumerate(jobs):
             for r in np.flatnonzero(block.held(job)):
-                yield i, block.ids[r], float(margin[i][r])
+                yield i, block.ids[r], int(block.y[r]), float(margin[i][r])
 
-    scores = checkpointed(spark.createDataFrame(blocks.zip(margins).flatMap(held), "job int, id string, margin double"))
+    scores = checkpointed(spark.createDataFrame(blocks.zip(margins).flatMap(held), SCORES))
     margins.unpersist()
     blocks.unpersist()
     return models, scores
@@ -345,9 +347,9 @@ def _by_key(n_ranges: int):
 
 def fit_boosted(table: BinnedTable, jobs: list[BoostJob],
                 slice_rows: int = SLICE_ROWS) -> tuple[list[T.TreeEnsemble], DataFrame]:
-    """Models of the jobs, in order, and (job, id, margin) of their held-out rows."""
+    """Models of the jobs, in order, and (job, id, label, margin) of their held-out rows."""
     if not jobs:
-        return [], table.blocks.sparkSession.createDataFrame([], "job int, id string, margin double")
+        return [], table.blocks.sparkSession.createDataFrame([], SCORES)
     return _fit_in_tasks(table, jobs) if table.n_rows <= slice_rows else _fit_over_slices(table, jobs)
 
 

@@ -432,10 +432,10 @@ def training(spark, sf):
 
 
 def base_model(spark, sf, name):
-    from .ensemble import MLScoreModel
+    from .ensemble import score_model
     from .models import fit_base
     td = training(spark, sf)
-    return _memo(("model", spark.sparkContext.applicationId, sf, name), lambda: MLScoreModel(name, fit_base(name, td.train_fit)))
+    return _memo(("model", spark.sparkContext.applicationId, sf, name), lambda: score_model(name, fit_base(name, td.train_fit)))
 
 
 def _test_scores(spark, sf, model):
@@ -458,13 +458,13 @@ for _key, _name in [("model_random_forest", "random_forest"), ("model_logistic",
 
 
 def _bases(spark, sf):
-    """All base models; those not fitted yet are fitted concurrently."""
-    from .ensemble import MLScoreModel, fit_many
-    from .models import BASE_MODELS, fit_base
+    """All base models; those not fitted yet are fitted concurrently, the boosted ones in one pass."""
+    from .ensemble import fit_bases
+    from .models import BASE_MODELS
     td = training(spark, sf)
     todo = [n for n in BASE_MODELS if ("model", spark.sparkContext.applicationId, sf, n) not in _MEMO]
-    for n, m in zip(todo, fit_many([lambda n=n: fit_base(n, td.train_fit) for n in todo], PARALLELISM)):
-        _MEMO[("model", spark.sparkContext.applicationId, sf, n)] = MLScoreModel(n, m)
+    for n, m in (fit_bases(td.train_fit, todo, parallelism=PARALLELISM) if todo else {}).items():
+        _MEMO[("model", spark.sparkContext.applicationId, sf, n)] = m
     return {n: base_model(spark, sf, n) for n in BASE_MODELS}
 
 
@@ -485,15 +485,26 @@ def q_soft_vote_model(spark, sf):
     return _test_scores(spark, sf, soft_vote(_bases(spark, sf)))
 
 
+def out_of_fold(spark, sf):
+    """Scores of all base models by 5 folds with the production settings:
+    cross-validation and stacking read the same table."""
+    from ..params import Params
+    from .ensemble import cross_fit
+    from .models import BASE_MODELS
+    td = training(spark, sf)
+    return _memo(("oof", spark.sparkContext.applicationId, sf), lambda: cross_fit(
+        td.train, BASE_MODELS, Params(), Params().cv_folds, PARALLELISM))
+
+
 def stacking(spark, sf):
     """Stacking with the production settings."""
     from ..params import Params
     from .ensemble import fit_stacking, non_logistic
     from .models import BASE_MODELS
     td = training(spark, sf)
-    names = non_logistic(BASE_MODELS)
     return _memo(("stack", spark.sparkContext.applicationId, sf), lambda: fit_stacking(
-        td.train_fit, names, Params(), parallelism=PARALLELISM))
+        td.train, td.train_fit, non_logistic(BASE_MODELS), Params(), parallelism=PARALLELISM,
+        bases=_bases(spark, sf), oof=out_of_fold(spark, sf)))
 
 
 @query("stacking_scores")
@@ -510,31 +521,28 @@ def q_stacking_model(spark, sf):
 
 @query("cv_scores")
 def q_cv_scores(spark, sf):
-    from .models import BASE_MODELS
-    from .tune import cross_validate
-    td = training(spark, sf)
-    from ..params import Params
-    return _memo(("cv", spark.sparkContext.applicationId, sf), lambda: cross_validate(
-        td.train, BASE_MODELS, Params(), parallelism=PARALLELISM)[1])
+    from .tune import cv_tables
+    return _memo(("cv", spark.sparkContext.applicationId, sf), lambda: cv_tables(out_of_fold(spark, sf))[1])
 
 
 def trials(spark, sf):
-    from .tune import random_search
-    td = training(spark, sf)
+    """The search with the production settings."""
     from ..params import Params
-    return _memo(("tune", spark.sparkContext.applicationId, sf), lambda: random_search(
-        td.train_fit, Params(), parallelism=PARALLELISM))
+    from .tune import search
+    td = training(spark, sf)
+    return _memo(("tune", spark.sparkContext.applicationId, sf), lambda: search(
+        td.train, Params(), parallelism=PARALLELISM))
 
 
 @query("tuning_trials")
 def q_tuning_trials(spark, sf):
-    return trials(spark, sf)[0]
+    return trials(spark, sf)
 
 
 @query("best_so_far")
 def q_best_so_far(spark, sf):
     from .tune import best_so_far
-    return best_so_far(trials(spark, sf)[0])
+    return best_so_far(trials(spark, sf))
 
 
 @query("feature_importance")

@@ -7,12 +7,13 @@ plus a class-1 probability column. MLlib models are wrapped as
 All of them are plain chains of ``transform`` calls (no join: every base
 writes its own column on the same rows).
 
-Stacking fits the bases fold-wise on the training rows: a row's meta
-feature comes from a base fitted without that row's fold (out-of-fold), the
-out-of-fold table is pivoted to one row per id (one shuffle), and the meta
-logistic regression is fitted on it; then every base is refit on all rows.
-Fits of independent (model, fold) pairs run concurrently from a driver
-thread pool; each fit is itself a distributed MLlib job.
+``cross_fit`` scores every training row once per base by a model that never
+saw its fold. Folds are cut first and each training fold is resampled by
+itself, so no synthetic row stands near a held-out one. All boosted models of all
+folds are fitted in one pass over one binned table; forests and logistic
+models run concurrently from a driver thread pool. Cross-validation reads its
+AUCs from that table, and stacking pivots it to one row per id (one shuffle) for the
+meta model; then every base is refit on all rows.
 """
 
 from __future__ import annotations
@@ -28,9 +29,13 @@ from pyspark.sql import functions as F
 
 from ..functions.random import uniform
 from ..params import Params
+from ..functions.trees import TreeEnsemble
+from ..operators.resample import smote_vectors, with_class_weights
+from ..operators.split import exact_folds
 from ..schema import ID_COL, TARGET
 from ..session import checkpointed
-from .models import LABEL, fit_base, prob1
+from . import boosting
+from .models import BOOSTED, LABEL, boost_params, boost_spec, fit_base, fit_boosts, prob1
 
 
 def soft_vote_columns(cols: list[str]) -> Column:
@@ -53,6 +58,11 @@ class MLScoreModel:
         return hasattr(self.model, "featureImportances")
 
 
+def score_model(name: str, fitted):
+    """The score model around a fitted classifier of either kind."""
+    return boosting.BoostedScoreModel(name, fitted) if isinstance(fitted, TreeEnsemble) else MLScoreModel(name, fitted)
+
+
 @dataclass
 class SoftVoteModel:
     name: str
@@ -110,8 +120,12 @@ def fit_many(tasks, parallelism: int = 4):
 
 def fit_bases(train_fit: DataFrame, names: list[str], params: Params = Params(),
               parallelism: int = 4) -> dict[str, MLScoreModel]:
-    fitted = fit_many([lambda n=n: fit_base(n, train_fit, params) for n in names], parallelism)
-    return {n: MLScoreModel(n, m) for n, m in zip(names, fitted)}
+    """Fitted bases by name; the boosted ones share one pass."""
+    boosted = [n for n in names if n in BOOSTED]
+    others = [n for n in names if n not in BOOSTED]
+    tasks = [lambda n=n: {n: fit_base(n, train_fit, params)} for n in others]
+    fitted = reduce(lambda a, b: a | b, fit_many([lambda: fit_boosts(train_fit, boosted, params), *tasks], parallelism))
+    return {n: score_model(n, fitted[n]) for n in names}
 
 
 def soft_vote(bases: dict[str, MLScoreModel], name: str = "soft_voting") -> SoftVoteModel:
@@ -119,37 +133,86 @@ def soft_vote(bases: dict[str, MLScoreModel], name: str = "soft_voting") -> Soft
     return SoftVoteModel(name, list(bases.values()))
 
 
-def out_of_fold(train_fit: DataFrame, names: list[str], params: Params = Params(),
-                folds: int = 5, parallelism: int = 4) -> DataFrame:
-    """Long table (id, churn, label, fold, model, score): each row scored once
-    per base, by the base fitted on the other folds."""
-    folded = checkpointed(with_folds(train_fit, folds, params.data.seed, "fold", "stack_fold"))
-    jobs = [(n, f) for n in names for f in range(folds)]
-    fitted = fit_many([lambda n=n, f=f: fit_base(n, folded.where(F.col("fold") != f), params)
-                       for n, f in jobs], parallelism)
-    parts = []
-    for (n, f), m in zip(jobs, fitted):
-        held = folded.where(F.col("fold") == f)
-        parts.append(MLScoreModel(n, m).score(held).select(
-            ID_COL, TARGET, LABEL, "fold", F.lit(n).alias("model"), "score"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def fit_stacking(train_fit: DataFrame, names: list[str], params: Params = Params(),
+@dataclass
+class FoldTrains:
+    """Folds of the training rows, and what each fold's models are fitted on."""
+
+    folded: DataFrame              # the rows that are scored, with ``fold``
+    trains: dict[int, DataFrame]   # per fold, resampled if that is the correction
+    table: boosting.BinnedTable    # all of them binned, training set f for fold f
+
+
+def fold_trains(train: DataFrame, k: int, params: Params = Params(), stream: str = "fold", parallelism: int = 4,
+                resample_before: bool = False) -> FoldTrains:
+    """``resample_before`` resamples all rows before the folds are cut (leaks; for comparison)."""
+    smote = params.imbalance.method == "smote"
+
+    def resampled(df):
+        return smote_vectors(df.drop("is_synthetic"), params.imbalance.k_neighbors, params.data.seed)
+
+    rows = resampled(train) if smote and resample_before else train
+    if params.data.exact and rows is train:
+        folded = checkpointed(exact_folds(train, k, params.data.seed, stream=stream))
+    else:
+        folded = checkpointed(with_folds(rows, k, params.data.seed, "fold", stream))
+    rest = {f: folded.where(F.col("fold") != f).drop("fold") for f in range(k)}
+    columns = [ID_COL, LABEL, "features"]
+    every = F.lit((1 << k) - 1).cast("long")
+    binned = folded.select(*columns, every.bitwiseXOR(F.expr("shiftleft(1L, fold)")).alias("sets"),
+                           "fold")
+    if smote and not resample_before:  # built concurrently, materialised once each
+        built = fit_many([lambda f=f: checkpointed(resampled(rest[f])) for f in range(k)], parallelism)
+        rest = dict(enumerate(built))
+        for f, df in rest.items():
+            binned = binned.unionByName(df.where("is_synthetic").select(
+                *columns, F.lit(1 << f).cast("long").alias("sets"), F.lit(-1).alias("fold")))
+    return FoldTrains(folded, rest, boosting.bin_table(binned, k, F.col("sets"), F.col("fold")))
+
+
+def cross_fit(train: DataFrame, names: list[str], params: Params = Params(), k: int = 5, parallelism: int = 4,
+              resample_before: bool = False) -> DataFrame:
+    """Out-of-fold scores (id, churn, label, fold, model, score): each row once
+    per base, by the model fitted without its fold. ``train`` is not resampled."""
+    data = fold_trains(train, k, params, "fold", parallelism, resample_before)
+    weighted = params.imbalance.method != "smote"
+    boosted = [(n, f) for n in names if n in BOOSTED for f in range(k)]
+    others = [(n, f) for n in names if n not in BOOSTED for f in range(k)]
+    jobs = [boosting.BoostJob(boost_spec(boost_params(n, params), weighted), f, f) for n, f in boosted]
+    tasks = [lambda n=n, f=f: MLScoreModel(n, fit_base(n, data.trains[f], params)).score(
+        data.folded.where(F.col("fold") == f)).select(ID_COL, TARGET, LABEL, "fold", F.lit(n).alias("model"), "score")
+        for n, f in others]
+    first, *parts = fit_many([lambda: boosting.fit_boosted(data.table, jobs)[1], *tasks], parallelism)
+    if boosted:
+        of_job = F.get(F.array(*[F.struct(F.lit(n).alias("model"), F.lit(f).alias("fold")) for n, f in boosted]),
+                       F.col("job"))
+        parts.append(first.select(
+            F.col("id").alias(ID_COL), F.col("label").cast("int").alias(TARGET), F.col("label").cast("double").alias(LABEL),
+            of_job["fold"].alias("fold"), of_job["model"].alias("model"),
+            (1 / (1 + F.exp(-F.col("margin")))).alias("score")))
+    return checkpointed(reduce(DataFrame.unionByName, parts))
+
+
+def fit_stacking(train: DataFrame, train_fit: DataFrame, names: list[str], params: Params = Params(),
                  folds: int | None = None, parallelism: int = 4,
-                 bases: dict[str, MLScoreModel] | None = None,
+                 bases: dict[str, MLScoreModel] | None = None, oof: DataFrame | None = None,
                  name: str = "stacking_ensemble") -> tuple[StackingModel, DataFrame]:
-    """Fit the stacking ensemble; also returns the out-of-fold table."""
-    k = folds or params.stacking_folds
-    oof = checkpointed(out_of_fold(train_fit, names, params, k, parallelism))
+    """Fit the stacking ensemble; also returns the out-of-fold table of its bases.
+
+    ``oof``: scores of :func:`cross_fit` to use; ``bases``: models already
+    fitted on ``train_fit``. The meta model weighs both classes alike, as the
+    resampled rows do that the bases see.
+    """
+    if oof is None:
+        oof = cross_fit(train, names, params, folds or params.stacking_folds, parallelism)
+    oof = oof.where(F.col("model").isin(names))
     inputs = [f"p_{n}" for n in names]
     wide = (oof.groupBy(ID_COL, LABEL).pivot("model", names).agg(F.first("score"))
             .select(ID_COL, LABEL, *[F.col(n).alias(f"p_{n}") for n in names]))
-    wide = VectorAssembler(inputCols=inputs, outputCol="__meta").transform(wide)
-    n_rows = wide.count()
-    meta = LogisticRegression(featuresCol="__meta", labelCol=LABEL, maxIter=1000,
-                              regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0,
-                              standardization=False, tol=1e-8).fit(wide)
+    wide = checkpointed(VectorAssembler(inputCols=inputs, outputCol="__meta").transform(wide))
+    weighted = with_class_weights(wide, LABEL, "__weight")
+    meta = LogisticRegression(featuresCol="__meta", labelCol=LABEL, maxIter=1000, weightCol="__weight",
+                              regParam=1.0 / max(wide.count(), 1), elasticNetParam=0.0,
+                              standardization=False, tol=1e-8).fit(weighted)
     if bases is None:
         bases = fit_bases(train_fit, names, params, parallelism)
     model = StackingModel(name, [bases[n] for n in names], meta, inputs)

@@ -3,6 +3,8 @@
 * ``feature_importance``: the tree model's normalised importances joined
   to the feature names, top ``n``; for ensembles the first base that has
   them; logistic models have none (``None``).
+* ``tree_attribution``: exact path-dependent Shapley values of a boosted
+  model's margin, a pass of numpy over each Arrow batch, and their means.
 * ``linear_attribution``: exact attribution of a linear score,
   coef_j * (x_j - mean_j), summarised as mean |attribution| per feature.
 * ``shapley_mc``: Monte-Carlo Shapley values for any score model as one
@@ -21,7 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.random import uniform
+from ..functions.trees import TreeEnsemble
 from ..schema import ID_COL
+from .boosting import BoostedScoreModel
 
 
 def feature_importance(model, feature_names: list[str], top_n: int = 20):
@@ -29,8 +33,8 @@ def feature_importance(model, feature_names: list[str], top_n: int = 20):
     candidates = [model] + list(getattr(model, "bases", []))
     for m in candidates:
         inner = getattr(m, "model", m)
-        if hasattr(inner, "featureImportances"):
-            imp = inner.featureImportances.toArray().tolist()
+        imp = importances(inner)
+        if imp is not None:
             spark = _spark()
             rows = list(zip(feature_names, [float(v) for v in imp]))
             df = spark.createDataFrame(rows, "feature string, importance double")
@@ -38,6 +42,37 @@ def feature_importance(model, feature_names: list[str], top_n: int = 20):
     return None
 
 
+def importances(fitted) -> list[float] | None:
+    """Normalised importances of a fitted tree model, None for other models."""
+    if isinstance(fitted, TreeEnsemble):
+        return fitted.importances().tolist()
+    return fitted.featureImportances.toArray().tolist() if hasattr(fitted, "featureImportances") else None
+
+
+def attribution_rows(model: BoostedScoreModel, rows: DataFrame, feature_names: list[str],
+                     id_col: str = ID_COL) -> DataFrame:
+    """Long table (id, feature, attribution) of each row's Shapley values."""
+    names = F.array(*[F.lit(n) for n in feature_names])
+    return model.attributions(rows, "__phi").select(id_col, F.posexplode("__phi").alias("__at", "attribution")) \
+        .select(id_col, F.get(names, F.col("__at")).alias("feature"), "attribution")
+
+
+def tree_attribution(model: BoostedScoreModel, rows: DataFrame, feature_names: list[str],
+                     top_n: int = 20) -> DataFrame:
+    """Mean |attribution| per feature over ``rows``, largest first."""
+    return (attribution_rows(model, rows, feature_names).groupBy("feature")
+            .agg(F.avg(F.abs("attribution")).alias("mean_abs_attribution"))
+            .orderBy(F.col("mean_abs_attribution").desc(), F.col("feature")).limit(top_n))
+
+
+def best_of(models: dict, comparison: DataFrame, wanted) -> str | None:
+    """Name of the model with the highest AUC among those that ``wanted`` takes."""
+    for r in comparison.orderBy(F.col("auc_roc").desc(), "model").collect():  # a row per model
+        if wanted(models[r["model"]]):
+            return r["model"]
+    return None
+
+
 def _spark():
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession()

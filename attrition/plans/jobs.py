@@ -2,8 +2,15 @@
 
 Command line (``spark-submit``-able)::
 
-    python -m attrition.plans.jobs pipeline --sf-dir DIR --out DIR [--skip-data] [--skip-train] [--no-tuning]
+    python -m attrition.plans.jobs pipeline (--sf-dir DIR | --input PATH [--format csv]) --out DIR
+        [--skip-data] [--skip-train] [--no-tuning] [--exact]
+    python -m attrition.plans.jobs train --input PATH [--format csv] --out DIR [--no-tuning] [--exact]
+    python -m attrition.plans.jobs evaluate --input PATH [--format csv] --models DIR --out DIR
     python -m attrition.plans.jobs score --input PATH --output PATH --models DIR
+
+``train`` saves every model, its tables and the ids it held out;
+``evaluate`` loads all saved models and measures them on labelled rows.
+A search that was interrupted goes on where its last committed batch ended.
 """
 
 from __future__ import annotations
@@ -20,18 +27,20 @@ from ..operators.clean import clean_data
 from ..operators.encode import encode_features
 from ..operators.features import engineer_features
 from ..operators.segments import segment_counts
-from ..operators.split import hash_split
-from ..operators.metrics import metrics_table, model_comparison, pr_curve, roc_curve
+from ..operators.metrics import (classification_report, confusion_matrix, metrics_table, model_comparison, pr_curve,
+                                 roc_curve)
+from ..operators.split import exact_split, hash_split
 from ..params import ImbalanceParams, Params
 from ..schema import TARGET
 from ..session import checkpointed, get_spark
 from ..sources.customers import customers_from_tables, read_customers, write_table
-from ..sources.registry import load_production, save_models
-from .ensemble import fit_bases, fit_stacking, non_logistic, soft_vote
-from .explain import feature_importance
+from ..sources.registry import load_all, load_preparation, load_production, save_models
+from .boosting import BoostedScoreModel
+from .ensemble import cross_fit, fit_bases, fit_stacking, non_logistic, soft_vote
+from .explain import best_of, feature_importance, importances, sample_rows, tree_attribution
 from .models import BASE_MODELS, TrainingData, prepare
 from .score import evaluate_segments, score_customers
-from .tune import best_so_far, cross_validate, random_search
+from .tune import TrialStore, adaptive_search, best_so_far, cv_tables, search_key
 
 
 def params_for(method: str, base: Params | None = None) -> Params:
@@ -49,47 +58,65 @@ class TrainingResult:
 
 
 def train(raw: DataFrame, params: Params = Params(), base_models: list[str] | None = None,
-          cv: bool = True, tune: bool = True, parallelism: int = 4) -> TrainingResult:
+          cv: bool = True, tune: bool = True, parallelism: int = 4, trials_dir: str | None = None) -> TrainingResult:
+    """Prepare, fit all models, cross-validate and search. ``trials_dir``: shared
+    folder of the trial table, from which an interrupted search goes on."""
     names = base_models or BASE_MODELS
     data = prepare(raw, params)
     bases = fit_bases(data.train_fit, names, params, parallelism)
     models: dict = dict(bases)
     models["soft_voting"] = soft_vote(bases)
-    stack, oof = fit_stacking(data.train_fit, non_logistic(names), params, parallelism=parallelism,
-                              bases={n: bases[n] for n in non_logistic(names)})
+    oof = cross_fit(data.train, names, params, params.cv_folds, parallelism) if cv else None
+    stack, stack_oof = fit_stacking(
+        data.train, data.train_fit, non_logistic(names), params, parallelism=parallelism,
+        bases={n: bases[n] for n in non_logistic(names)}, oof=oof if params.cv_folds == params.stacking_folds else None)
     models["stacking_ensemble"] = stack
-    result = TrainingResult(data, models, oof=oof)
+    result = TrainingResult(data, models, oof=stack_oof)
     if cv:
-        result.cv = cross_validate(data.train, names, params, parallelism=parallelism)[1]
+        result.cv = cv_tables(oof)[1]
     if tune and params.tune.n_trials > 0:
-        trials, tuned = random_search(data.train_fit, params, parallelism=parallelism)
-        result.trials = trials
-        if tuned is not None:
-            models["tuned_gbt"] = tuned
+        store = TrialStore(raw.sparkSession, f"{trials_dir}/{search_key(params)}") if trials_dir else None
+        result.trials, models["tuned_gbt"] = adaptive_search(data.train, data.train_fit, params, store, parallelism)
     return result
 
 
 def evaluate(result: TrainingResult, params: Params = Params(),
              production: str = "stacking_ensemble") -> dict[str, DataFrame]:
-    """Metric tables over the test side for every model, in one pass per table."""
-    test = result.data.test
+    return evaluate_models(result.models, result.data.test, result.data.prep.feature_names, params, production)
+
+
+def evaluate_models(models: dict, test: DataFrame, feature_names: list[str], params: Params = Params(),
+                    production: str = "stacking_ensemble") -> dict[str, DataFrame]:
+    """Metric tables of every model over prepared, labelled rows, in one pass per
+    table; confusion matrix and report of the best model, importance of the
+    best tree model, attribution of the best boosted one."""
     parts = [m.score(test, "score").select(F.lit(name).alias("model"), TARGET, "score")
-             for name, m in result.models.items()]
+             for name, m in models.items()]
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
     long = checkpointed(long)
+    comparison = checkpointed(model_comparison(long))
+    best = best_of(models, comparison, lambda m: True)
+    threshold = params.segments.decision_threshold
+    own = long.where(F.col("model") == best)
     out = {
-        "model_comparison": model_comparison(long),
+        "model_comparison": comparison,
         "roc_curves": roc_curve(long, TARGET, "score", ["model"]),
         "pr_curves": pr_curve(long, TARGET, "score", ["model"]),
-        "metrics": metrics_table(long, TARGET, "score", params.segments.decision_threshold, ["model"]),
+        "metrics": metrics_table(long, TARGET, "score", threshold, ["model"]),
+        "best_confusion_matrix": confusion_matrix(own, TARGET, "score", threshold).withColumn("model", F.lit(best)),
+        "best_report": classification_report(own, TARGET, "score", threshold).withColumn("model", F.lit(best)),
     }
-    prod = result.models[production]
-    out.update(evaluate_segments(test, prod, params.segments))
-    tree = next((m for m in result.models.values() if hasattr(getattr(m, "model", None), "featureImportances")), None)
+    out.update(evaluate_segments(test, models.get(production, models[best]), params.segments))
+    tree = best_of(models, comparison, lambda m: importances(getattr(m, "model", None)) is not None)
     if tree is not None:
-        out["feature_importance"] = feature_importance(tree, result.data.prep.feature_names)
+        out["feature_importance"] = feature_importance(models[tree], feature_names).withColumn("model", F.lit(tree))
+    boosted = best_of(models, comparison, lambda m: isinstance(m, BoostedScoreModel))
+    if boosted is not None:
+        out["tree_attribution"] = tree_attribution(
+            models[boosted], sample_rows(test, params.attribution_rows), feature_names) \
+            .withColumn("model", F.lit(boosted))
     return out
 
 
@@ -107,14 +134,26 @@ def eda_tables(raw: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, params: Params = Params(),
+def training_tables(result: TrainingResult) -> dict[str, DataFrame]:
+    out = {}
+    if result.cv is not None:
+        out["cv_scores"] = result.cv
+    if result.trials is not None:
+        out["tuning_trials"] = result.trials
+        out["best_so_far"] = best_so_far(result.trials)
+    return out
+
+
+def run_pipeline(spark: SparkSession, sf_dir: str | None, out_dir: str, params: Params = Params(),
                  skip_data: bool = False, skip_train: bool = False, tune: bool = True,
-                 parallelism: int = 4) -> dict[str, DataFrame]:
-    """Whole pipeline: raw table -> processed table -> EDA tables -> train,
-    save and evaluate (or, with ``skip_train``, load and evaluate)."""
-    start = time.time()
+                 parallelism: int = 4, input_path: str | None = None, fmt: str = "csv") -> dict[str, DataFrame]:
+    """Whole pipeline: raw table (own file or generated) -> processed table -> EDA tables
+    -> train, save and evaluate (or, with ``skip_train``, load every saved model and
+    evaluate)."""
     raw_path = f"{out_dir}/raw"
-    if skip_data:
+    if input_path:
+        raw = read_customers(spark, input_path, fmt)
+    elif skip_data:
         raw = read_customers(spark, raw_path)
     else:
         write_table(customers_from_tables(spark, sf_dir, params.data.seed), raw_path)
@@ -124,22 +163,41 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, params: Params
     write_table(processed, f"{out_dir}/processed")
     tables = eda_tables(clean)
     if not skip_train:
-        result = train(raw, params, tune=tune and params.tune.n_trials > 0, parallelism=parallelism)
+        result = train(raw, params, tune=tune and params.tune.n_trials > 0, parallelism=parallelism,
+                       trials_dir=f"{out_dir}/trials")
         save_models(spark, result.models, result.data.prep, f"{out_dir}/models")
         tables.update(evaluate(result, params))
-        if result.cv is not None:
-            tables["cv_scores"] = result.cv
-        if result.trials is not None:
-            tables["tuning_trials"] = result.trials
-            tables["best_so_far"] = best_so_far(result.trials)
+        tables.update(training_tables(result))
     else:
-        model, prep = load_production(spark, f"{out_dir}/models")
-        test = hash_split(clean, params.data.test_size, params.data.seed).where(F.col("is_test")).drop("is_test")
-        tables.update(evaluate_segments(prep.transform(test, clean=False), model, params.segments))
-    tables["elapsed_sec"] = spark.createDataFrame([(time.time() - start,)], "elapsed_sec double")
+        tables.update(evaluate_saved(clean, f"{out_dir}/models", params))
     return tables
 
 
+def evaluate_saved(clean: DataFrame, model_dir: str, params: Params = Params()) -> dict[str, DataFrame]:
+    """Every saved model on the test side of the cleaned rows, without training."""
+    spark = clean.sparkSession
+    split = exact_split if params.data.exact else hash_split
+    held = split(clean, params.data.test_size, params.data.seed).where(F.col("is_test")).drop("is_test")
+    prep = load_preparation(spark, model_dir)
+    test = checkpointed(prep.transform(held, clean=False))
+    return evaluate_models(load_all(spark, model_dir), test, prep.feature_names, params)
+
+
+def train_job(spark: SparkSession, input_path: str, out_dir: str, fmt: str = "csv", params: Params = Params(),
+              tune: bool = True, parallelism: int = 4) -> dict[str, DataFrame]:
+    """Train on one's own customers; save the models and return the training tables."""
+    result = train(read_customers(spark, input_path, fmt), params, tune=tune, parallelism=parallelism,
+                   trials_dir=f"{out_dir}/trials")
+    save_models(spark, result.models, result.data.prep, f"{out_dir}/models")
+    return training_tables(result)
+
+
+def evaluate_job(spark: SparkSession, input_path: str, model_dir: str, fmt: str = "csv",
+                 params: Params = Params()) -> dict[str, DataFrame]:
+    """All saved models on the test side of one's own customers."""
+    return evaluate_saved(clean_data(read_customers(spark, input_path, fmt)), model_dir, params)
+
+
 def score_job(spark: SparkSession, input_path: str, output_path: str, model_dir: str,
               fmt: str = "parquet", params: Params = Params()) -> DataFrame:
     """Score a batch with the production model; write predictions; return the
@@ -159,30 +217,47 @@ def read_customers_scored(spark: SparkSession, path: str, fmt: str) -> DataFrame
     return reader.load(path)
 
 
-def main(argv: list[str] | None = None) -> None:
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="attrition")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    p = sub.add_parser("pipeline")
-    p.add_argument("--sf-dir", required=True)
-    p.add_argument("--out", required=True)
-    p.add_argument("--skip-data", action="store_true")
-    p.add_argument("--skip-train", action="store_true")
-    p.add_argument("--no-tuning", action="store_true")
-    s = sub.add_parser("score")
-    s.add_argument("--input", required=True)
-    s.add_argument("--output", required=True)
-    s.add_argument("--models", required=True)
-    s.add_argument("--format", default="parquet")
+    options = {
+        "pipeline": ["sf-dir", "input", "out!"], "train": ["input!", "out!"],
+        "evaluate": ["input!", "models!", "out!"], "score": ["input!", "output!", "models!"]}
+    for cmd, names in options.items():
+        p = sub.add_parser(cmd)
+        for n in names:
+            p.add_argument(f"--{n.rstrip('!')}", required=n.endswith("!"))
+        p.add_argument("--format", default="parquet" if cmd == "score" else "csv")
+        p.add_argument("--exact", action="store_true")
+        for flag in ("skip-data", "skip-train", "no-tuning"):
+            p.add_argument(f"--{flag}", action="store_true")
     args = ap.parse_args(argv)
+    if args.cmd == "pipeline" and not (args.sf_dir or args.input or args.skip_data):
+        ap.error("pipeline needs --sf-dir or --input")
+    return args
+
+
+def main(argv: list[str] | None = None, params: Params = Params()) -> None:
+    start = time.time()
+    args = _arguments(argv)
     spark = get_spark()
+    if args.exact:
+        params = replace(params, data=replace(params.data, exact=True))
+    if args.cmd == "score":
+        score_job(spark, args.input, args.output, args.models, args.format).show(truncate=False)
+        return
     if args.cmd == "pipeline":
-        tables = run_pipeline(spark, args.sf_dir, args.out, skip_data=args.skip_data,
-                              skip_train=args.skip_train, tune=not args.no_tuning)
-        for name, df in tables.items():
-            if df is not None:
-                write_table(df, f"{args.out}/tables/{name}")
+        tables = run_pipeline(spark, args.sf_dir, args.out, params, skip_data=args.skip_data,
+                              skip_train=args.skip_train, tune=not args.no_tuning,
+                              input_path=args.input, fmt=args.format)
+    elif args.cmd == "train":
+        tables = train_job(spark, args.input, args.out, args.format, params, not args.no_tuning)
     else:
-        score_job(spark, args.input, args.output, args.models, args.format).show(truncate=False)
+        tables = evaluate_job(spark, args.input, args.models, args.format, params)
+    for name, df in tables.items():
+        write_table(df, f"{args.out}/tables/{name}")
+    took = spark.createDataFrame([(time.time() - start,)], "elapsed_sec double")
+    write_table(took, f"{args.out}/tables/elapsed_sec")
 
 
 if __name__ == "__main__":

@@ -19,8 +19,9 @@ Parameter mapping of the base models (original -> MLlib):
   size on both children);
 * logistic regression C with summed, weighted loss -> ``regParam = 1/(C * sum w)``
   (MLlib averages the loss), features already standardised;
-* boosted trees A / fallback / B -> ``GBTClassifier`` with the rounds, step,
-  depth, row subsampling, per-node column share and positive-class weight.
+* boosted trees A (depth-wise) and B (leaf-wise, 63 leaves) -> second-order boosting
+  over binned features (:mod:`.boosting`) with L1/L2, minimum gain and per-tree
+  row and column sampling; the fallback -> ``GBTClassifier``.
 """
 
 from __future__ import annotations
@@ -39,10 +40,12 @@ from ..operators.encode import EncoderModel, align_columns, fit_encoder
 from ..operators.features import FeatureModel, fit_features
 from ..operators.resample import with_class_weights
 from ..operators.scale import ScalerModel, fit_scaler
-from ..operators.split import hash_split
+from ..operators.split import exact_split, hash_split
 from ..params import BoostParams, ForestParams, LogisticParams, Params
 from ..schema import ID_COL, TARGET
+from ..functions.trees import BoostSpec, TreeEnsemble
 from ..session import checkpointed
+from . import boosting
 
 LABEL = "label"
 FEATURES = "features"
@@ -93,7 +96,8 @@ def fit_preparation(train_raw: DataFrame, params: Params = Params()) -> Preparat
 def prepare(raw: DataFrame, params: Params = Params(), checkpoint: bool = True,
             resample: str | None = None) -> TrainingData:
     """Split, fit preparation on train, transform both sides, resample train."""
-    data = hash_split(clean_data(raw), params.data.test_size, params.data.seed)
+    split = exact_split if params.data.exact else hash_split
+    data = split(clean_data(raw), params.data.test_size, params.data.seed)
     if checkpoint:  # cleaned + tagged once; every later pass reads this table
         data = checkpointed(data)
     train_raw = data.where(~F.col("is_test")).drop("is_test")
@@ -167,6 +171,32 @@ def gbt(p: BoostParams = BoostParams(), weight_col: str | None = None):
 BASE_MODELS = ["random_forest", "logistic_regression", "gbt_a", "gbt_b"]
 
 
+def boost_params(name: str, params: Params) -> BoostParams:
+    return {"gbt_a": params.boost_a, "gbt_fallback": params.boost_fallback, "gbt_b": params.boost_b}[name]
+
+
+def boost_spec(p: BoostParams, weighted: bool = True) -> BoostSpec:
+    """The engine's settings; without ``weighted`` both classes have weight 1."""
+    return BoostSpec(
+        rounds=p.max_iter, step=p.step_size, max_depth=p.max_depth, max_leaves=p.max_leaves, l1=p.l1, l2=p.l2,
+        min_gain=p.min_gain, min_child_weight=p.min_child_weight, min_rows=p.min_rows, subsample=p.subsampling_rate,
+        colsample=1.0 if p.feature_subset == "all" else float(p.feature_subset),
+        pos_weight=p.pos_weight if weighted else 1.0, from_prior=p.from_prior, seed=p.seed)
+
+
+#: Base models that the binned boosting engine fits; the others are MLlib's.
+BOOSTED = ("gbt_a", "gbt_b")
+
+
+def fit_boosts(train_fit: DataFrame, names: list[str], params: Params = Params()) -> dict[str, TreeEnsemble]:
+    """Boosted base models over one binned table, in one pass."""
+    if not names:
+        return {}
+    weighted = params.imbalance.method != "smote"
+    jobs = [boosting.BoostJob(boost_spec(boost_params(n, params), weighted)) for n in names]
+    return dict(zip(names, boosting.fit_boosted(boosting.bin_table(train_fit), jobs)[0]))
+
+
 def fit_base(name: str, train_fit: DataFrame, params: Params = Params()):
     """Fit one base model by name on the (resampled) training frame.
 
@@ -174,6 +204,8 @@ def fit_base(name: str, train_fit: DataFrame, params: Params = Params()):
     (one correction, not several stacked).
     """
     weighted = params.imbalance.method != "smote"
+    if name in BOOSTED:
+        return fit_boosts(train_fit, [name], params)[name]
     if name == "random_forest":
         df, w = _weights_needed(train_fit, params.forest.balanced and weighted)
         return random_forest(params.forest, w).fit(df)
@@ -181,8 +213,8 @@ def fit_base(name: str, train_fit: DataFrame, params: Params = Params()):
         df, w = _weights_needed(train_fit, params.logistic.balanced and weighted)
         wsum = (df.agg(F.sum(w)).first()[0] if w else df.count())
         return logistic(params.logistic, float(wsum), w).fit(df)
-    if name in ("gbt_a", "gbt_fallback", "gbt_b"):
-        bp = {"gbt_a": params.boost_a, "gbt_fallback": params.boost_fallback, "gbt_b": params.boost_b}[name]
+    if name == "gbt_fallback":
+        bp = params.boost_fallback
         if not weighted:
             df, w = train_fit, None
         elif bp.pos_weight is None:

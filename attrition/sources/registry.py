@@ -2,7 +2,7 @@
 
 Layout under a (shared) directory::
 
-    <dir>/<key>/...            one MLlib model per base (ML writer)
+    <dir>/<key>/...            one model per base (ML writer; boosted trees as a Parquet row)
     <dir>/<key>/meta/          for ensembles: meta model
     <dir>/_index/              JSON rows: name, key, kind, bases, inputs
     <dir>/_prep/               JSON row: cutoff, levels, scaler, feature names
@@ -20,6 +20,7 @@ from pyspark.ml.classification import (GBTClassificationModel, LogisticRegressio
                                        RandomForestClassificationModel)
 from pyspark.sql import SparkSession
 
+from ..functions.trees import TreeEnsemble
 from ..operators.encode import EncoderModel
 from ..operators.features import FeatureModel
 from ..operators.scale import ScalerModel
@@ -36,11 +37,21 @@ def model_key(name: str) -> str:
     return name.lower().replace(" ", "_")
 
 
-def _save_ml(model, path: str) -> str:
-    model.write().overwrite().save(path)
+def _save_ml(spark: SparkSession, model, path: str) -> str:
+    if isinstance(model, TreeEnsemble):
+        spark.createDataFrame([(bytearray(model.to_bytes()),)], "model binary").coalesce(1) \
+            .write.mode("overwrite").parquet(path)
+    else:
+        model.write().overwrite().save(path)
     return type(model).__name__
 
 
+def _load_ml(spark: SparkSession, kind: str, path: str):
+    if kind == "TreeEnsemble":
+        return TreeEnsemble.from_bytes(bytes(spark.read.parquet(path).first()["model"]))
+    return _LOADERS[kind].load(path)
+
+
 def save_models(spark: SparkSession, models: dict, prep, directory: str) -> None:
     """Persist score models (MLScoreModel / SoftVoteModel / StackingModel) and prep."""
     index = []
@@ -50,14 +61,14 @@ def save_models(spark: SparkSession, models: dict, prep, directory: str) -> None
         if hasattr(m, "bases"):
             bases = []
             for i, b in enumerate(m.bases):
-                kind = _save_ml(b.model, f"{base}/base_{i}")
+                kind = _save_ml(spark, b.model, f"{base}/base_{i}")
                 bases.append({"name": b.name, "kind": kind})
-            meta_kind = _save_ml(m.meta, f"{base}/meta") if hasattr(m, "meta") else None
+            meta_kind = _save_ml(spark, m.meta, f"{base}/meta") if hasattr(m, "meta") else None
             index.append({"name": name, "key": key, "kind": type(m).__name__,
                           "bases": json.dumps(bases), "inputs": json.dumps(getattr(m, "meta_inputs", [])),
                           "meta_kind": meta_kind or ""})
         else:
-            kind = _save_ml(m.model, base)
+            kind = _save_ml(spark, m.model, base)
             index.append({"name": name, "key": key, "kind": kind, "bases": "[]", "inputs": "[]",
                           "meta_kind": ""})
     spark.createDataFrame(index).coalesce(1).write.mode("overwrite").json(f"{directory}/_index")
@@ -92,23 +103,28 @@ def _read(spark: SparkSession, path: str):
 
 def load_model(spark: SparkSession, directory: str, name: str):
     """Load one saved score model by name or key."""
-    from ..plans.ensemble import MLScoreModel, SoftVoteModel, StackingModel
+    from ..plans.ensemble import SoftVoteModel, StackingModel, score_model
     key = model_key(name)
     entries = {r["key"]: r for r in _read(spark, f"{directory}/_index")}
     if key not in entries:
         raise FileNotFoundError(f"model '{key}' not in {directory}/_index (have: {sorted(entries)})")
     e = entries[key]
     base = f"{directory}/{key}"
-    if e["kind"] in _LOADERS:
-        return MLScoreModel(e["name"], _LOADERS[e["kind"]].load(base))
-    bases = [MLScoreModel(b["name"], _LOADERS[b["kind"]].load(f"{base}/base_{i}"))
+    if e["kind"] not in ("SoftVoteModel", "StackingModel"):
+        return score_model(e["name"], _load_ml(spark, e["kind"], base))
+    bases = [score_model(b["name"], _load_ml(spark, b["kind"], f"{base}/base_{i}"))
              for i, b in enumerate(json.loads(e["bases"]))]
     if e["kind"] == "StackingModel":
-        meta = _LOADERS[e["meta_kind"]].load(f"{base}/meta")
+        meta = _load_ml(spark, e["meta_kind"], f"{base}/meta")
         return StackingModel(e["name"], bases, meta, json.loads(e["inputs"]))
     return SoftVoteModel(e["name"], bases)
 
 
+def load_all(spark: SparkSession, directory: str) -> dict:
+    """Every saved score model by name."""
+    return {r["name"]: load_model(spark, directory, r["key"]) for r in _read(spark, f"{directory}/_index")}
+
+
 def load_production(spark: SparkSession, directory: str, model_key_name: str = "stacking_ensemble"):
     """(model, preparation) of the production model; clear error if missing."""
     return load_model(spark, directory, model_key_name), load_preparation(spark, directory)
