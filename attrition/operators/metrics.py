@@ -6,7 +6,8 @@ use an explicit threshold (``score >= threshold``) everywhere.
 
 * accuracy, F1 of class 1, confusion counts: one conditional aggregate;
 * AUC (exact, ties count half) and step-wise average precision: aggregate
-  per distinct score, then cumulative sums from :mod:`..functions.prefix`;
+  per distinct score, then cumulative sums over a range exchange
+  (:mod:`..functions.prefix`);
 * ROC / PR curves: the same cumulative table, one row per distinct score.
 
 Every output is a DataFrame; nothing is collected.
@@ -18,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prefix import prefix_sums_desc
-from ..session import checkpointed
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -63,18 +63,10 @@ def score_counts(df: DataFrame, label: str = "churn", score: str = "score",
     per = df.groupBy(*groups, F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("tp"),
         F.sum((1 - F.col(label)).cast("long")).alias("fp"))
-    # The prefix sums read this table five times (edges, buckets, bucket
-    # totals, offsets, P/N) and curves once more: cut the lineage here, so the
-    # scored input is scanned once. The table has one row per distinct score,
-    # at most the input's row count and three columns wide.
-    per = checkpointed(per)
-    cum = prefix_sums_desc(per, "threshold", ["tp", "fp"], groups)
-    tot_aggs = [F.sum("tp").alias("P"), F.sum("fp").alias("N")]
-    if groups:
-        totals = per.groupBy(*groups).agg(*tot_aggs)
-        return cum.join(F.broadcast(totals), on=groups, how="inner")
-    totals = per.agg(*tot_aggs)
-    return cum.withColumns({"P": totals.select("P").scalar(), "N": totals.select("N").scalar()})
+    # One exchange by score, checkpointed in order: the scored input is scanned
+    # once however many metrics and curves read the table.
+    return prefix_sums_desc(per, "threshold", ["tp", "fp"], groups, total_suffix="_all") \
+        .withColumnsRenamed({"tp_all": "P", "fp_all": "N"})
 
 
 def auc_avg_precision(df: DataFrame, label: str = "churn", score: str = "score",
@@ -170,9 +162,9 @@ def metrics_table(df: DataFrame, label: str = "churn", score: str = "score",
     ranks = auc_avg_precision(df, label, score, groups)
     if groups:
         return simple.join(ranks, on=groups, how="inner")
-    return simple.select("accuracy", "f1",
-                         ranks.select("auc_roc").scalar().alias("auc_roc"),
-                         ranks.select("avg_precision").scalar().alias("avg_precision"))
+    r = ranks.first()  # one row of two numbers
+    return simple.select("accuracy", "f1", F.lit(r["auc_roc"]).alias("auc_roc"),
+                         F.lit(r["avg_precision"]).alias("avg_precision"))
 
 
 def model_comparison(long_df: DataFrame, label: str = "churn", score: str = "score",

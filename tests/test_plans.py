@@ -30,11 +30,21 @@ def test_scan_reads_only_the_key(spark, name):
 
 
 @pytest.mark.parametrize("name", ["metric_auc", "roc_curve", "pr_curve", "model_comparison"])
-def test_cumulative_windows_are_bucketed(spark, name):
-    wins = [w for w in _windows(_formatted(QUERIES[name](spark, SF0001))) if "threshold" in w[0]]
-    assert wins, "expected a running-sum window over distinct scores"
-    for _inp, groups in wins:
-        assert len(groups) == 3 and "__b" in groups[1], groups  # partitioned by range bucket
+def test_cumulative_sums_need_no_window(spark, name):
+    text = _formatted(QUERIES[name](spark, SF0001))
+    assert not _windows(text) and "MapInArrow" in text
+
+
+def test_ranges_of_continuous_scores_are_even(spark, monkeypatch):
+    """Scores without ties are dealt evenly over the range exchange's partitions."""
+    from attrition.functions import prefix
+    from pyspark.sql import functions as F
+    kept = []
+    monkeypatch.setattr(prefix, "checkpointed", lambda df: kept.append(df.checkpoint()) or kept[-1])
+    df = spark.range(40_000).select(F.rand(3).alias("s"), F.lit(1).alias("n"))
+    prefix.prefix_sums_desc(df, "s", ["n"], partitions=16)
+    sizes = [r["count"] for r in kept[0].groupBy(prefix.PART).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 40_000 / 16
 
 
 def test_exact_split_ranks_only_boundary_buckets(spark):

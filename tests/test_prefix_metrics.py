@@ -14,7 +14,7 @@ from conftest import SF001
 def test_prefix_sums_match_pandas(spark):
     c = catalog.cust(spark, SF001)
     per = c.groupBy("contract", F.col("monthly_charges").alias("s")).agg(F.sum("churn").alias("v"))
-    got = prefix_sums_desc(per, "s", ["v"], ["contract"], n_buckets=7).toPandas()
+    got = prefix_sums_desc(per, "s", ["v"], ["contract"], partitions=7).toPandas()
     pdf = per.toPandas().sort_values(["contract", "s"], ascending=[True, False])
     pdf["want"] = pdf.groupby("contract")["v"].cumsum()
     m = got.merge(pdf, on=["contract", "s", "v"])
@@ -22,6 +22,25 @@ def test_prefix_sums_match_pandas(spark):
     assert (m["v_cum"] == m["want"]).all()
 
 
+def test_prefix_sums_over_many_ranges(spark):
+    """Continuous values over several ranges and batches, skewed groups, nulls, totals."""
+    rows = [("hot" if i % 3 else ("a", None)[i % 2], (i * 7919 % 5003) / 7.0, i % 5, i / 3.0) for i in range(5003)]
+    df = spark.createDataFrame([*rows, ("hot", None, 1, None)], "g string, s double, n int, x double").repartition(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        out = prefix_sums_desc(df, "s", ["n", "x"], ["g"], total_suffix="_all", partitions=9)
+        pdf = out.toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert dict(out.dtypes)["n_cum"] == "bigint" and len(pdf) == 5004
+    for g, part in pdf.groupby("g", dropna=False):
+        part = part.sort_values("s", ascending=False, na_position="last")
+        assert (part["n_cum"] == part["n"].cumsum()).all() and (part["n_all"] == part["n"].sum()).all()
+        assert np.allclose(part["x_cum"], part["x"].fillna(0).cumsum()) and np.allclose(part["x_all"], part["x"].sum())
+    assert prefix_sums_desc(df.limit(0), "s", ["n"], ["g"]).count() == 0
+    assert prefix_sums_desc(df, "s", ["n"], partitions=4).agg(F.max("n_cum")).first()[0] == pdf["n"].sum()
+
+
 def _auc_pairs(y, s):
     pos, neg = s[y == 1], s[y == 0]
     gt = (pos[:, None] > neg[None, :]).sum()
