@@ -11,13 +11,16 @@ joins are against per-class range rows, one per class.
 
 from __future__ import annotations
 
+from functools import partial
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binning import equal_width_bin
-from ..session import checkpointed
+from ..session import checkpointed, ship_package
 
 
 def churn_share(df: DataFrame, label: str = "churn") -> DataFrame:
@@ -70,3 +73,41 @@ def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
                     for i, (a, b) in enumerate(pairs)])
     parts = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
     return wide.selectExpr(f"stack({len(pairs)}, {parts}) as (col_a, col_b, corr)")
+
+
+def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pearson correlation of every pair of numeric columns, (col_a, col_b, corr),
+    row column after column column in the given order.
+
+    A blocked Gram matrix in place of an aggregate per pair: each task adds up matrix
+    products of its rows (values less the column's mean, squares, presence) and sends a
+    row per pair once. A pair counts the rows where both are present; without variance
+    its correlation is null.
+    """
+    ship_package(df.sparkSession)
+    x = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    means = x.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in x.columns]).first()
+    cells = x.mapInArrow(partial(_gram, means=[means[c] for c in x.columns]),
+                         "i int, j int, n double, a double, b double, aa double, bb double, ab double") \
+        .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")])
+    va = F.col("n") * F.col("aa") - F.col("a") * F.col("a")
+    vb = F.col("n") * F.col("bb") - F.col("b") * F.col("b")
+    corr = F.when((va > 1e-9) & (vb > 1e-9),
+                  (F.col("n") * F.col("ab") - F.col("a") * F.col("b")) / F.sqrt(va) / F.sqrt(vb))
+    names = F.array(*[F.lit(c) for c in columns])
+    return cells.select(F.get(names, F.col("i")).alias("col_a"), F.get(names, F.col("j")).alias("col_b"),
+                        corr.alias("corr"))
+
+
+def _gram(batches, means):
+    total = 0.0
+    for b in batches:
+        raw = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns])
+        here = ~np.isnan(raw)
+        x, m = np.where(here, raw - means, 0.0), here.astype(float)
+        total = total + np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+    if isinstance(total, np.ndarray):
+        i, j = np.tril_indices(total.shape[1], -1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(t[i, j]) for t in total]],
+            ["i", "j", "n", "a", "b", "aa", "bb", "ab"])

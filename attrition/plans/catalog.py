@@ -7,6 +7,7 @@ aggregates are rounded to 6 digits to compare with the SQL oracle.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +79,7 @@ def q_gen_customers(spark, sf):
 def q_scan_customers(spark, sf):
     """Write the customers as CSV (header, no index) to the shared folder and
     read them back with the declared schema."""
-    path = shared_dir(spark, f"scan_customers_csv_{abs(hash(sf))}")
+    path = shared_dir(spark, f"scan-customers-{hashlib.sha256(sf.encode()).hexdigest()[:16]}")
     write_table(raw(spark, sf), path, fmt="csv")
     return read_customers(spark, path, fmt="csv")
 
@@ -134,6 +135,44 @@ def q_clean_customers(spark, sf):
     return clean_data(raw(spark, sf))
 
 
+def dirty(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers as a careless export would hold them: all columns text, stray
+    blanks, unreadable numbers, missing values, and repeated ids whose copies differ."""
+    from ..schema import RAW_SCHEMA
+    k = F.substring("customer_id", 5, 7).cast("int")
+    names = [f.name for f in RAW_SCHEMA.fields]
+    text = raw(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in names], k.alias("k"))
+
+    def when(n, value, c):
+        return F.when(F.col("k") % n == 0, value).otherwise(F.col(c))
+
+    text = text.withColumns({
+        "contract": when(7, F.concat(F.lit("  "), "contract", F.lit(" ")), "contract"),
+        "total_charges": F.when(F.col("k") % 5 == 0, " ").when(F.col("k") % 11 == 0, "n/a").otherwise(
+            F.col("total_charges")),
+        "tenure": when(13, F.lit(None), "tenure"), "monthly_charges": when(17, F.lit(None), "monthly_charges"),
+        "payment_method": when(19, F.lit(None), "payment_method")})
+    copies = text.where("k % 3 = 0").withColumn("gender", F.lit("Other")) \
+        .unionByName(text.where("k % 4 = 0").withColumn("gender", F.lit(None).cast("string")))
+    return text.unionByName(copies).select(*names)
+
+
+@query("clean_dirty_customers")
+def q_clean_dirty_customers(spark, sf):
+    return clean_data(dirty(spark, sf))
+
+
+@query("null_profile_dirty")
+def q_null_profile_dirty(spark, sf):
+    return profile.null_profile(clean_data(dirty(spark, sf)))
+
+
+@query("encode_dirty")
+def q_encode_dirty(spark, sf):
+    """The encoder on cleaned rows with missing and unknown values."""
+    return encode_features(engineer_features(clean_data(dirty(spark, sf))), declared=True)
+
+
 @query("profile")
 def q_profile(spark, sf):
     return profile.shape(raw(spark, sf))
@@ -284,6 +323,31 @@ def q_correlation_pairs(spark, sf):
     return r6(eda.correlation_pairs(raw(spark, sf), cols), ["corr"])
 
 
+@query("correlation_matrix")
+def q_correlation_matrix(spark, sf):
+    """All pairs of the encoded matrix's columns."""
+    df = encoded(spark, sf)
+    return r6(eda.correlation_matrix(df, sorted(c for c in df.columns if c != "customer_id")), ["corr"])
+
+
+def threshold_trials(spark, sf):
+    """Trials 1 to 19: F1 of the rule score at the threshold trial / 20, in one aggregate."""
+    s = scored(spark, sf)
+    per = s.select("churn", "score", F.explode(F.sequence(F.lit(1), F.lit(19))).alias("trial")) \
+        .withColumn("pred", F.col("score") >= F.col("trial") / F.lit(20.0)).groupBy("trial") \
+        .agg(F.count_if((F.col("churn") == 1) & F.col("pred")).alias("tp"),
+             F.count_if((F.col("churn") == 0) & F.col("pred")).alias("fp"),
+             F.count_if((F.col("churn") == 1) & ~F.col("pred")).alias("fn"))
+    return per.select("trial", metrics.f1_expr().alias("f1"))
+
+
+@query("best_threshold_so_far")
+def q_best_threshold_so_far(spark, sf):
+    """The running best of a given trial table."""
+    from .tune import best_so_far
+    return r6(best_so_far(threshold_trials(spark, sf), "f1"), ["f1", "best_so_far"])
+
+
 # --- segments / scoring with the rule propensity as the score ---------------
 
 @query("score_customers")
@@ -552,6 +616,90 @@ def q_feature_importance(spark, sf):
     return feature_importance(base_model(spark, sf, "random_forest"), td.prep.feature_names)
 
 
+def best_boosted(spark, sf):
+    """The boosted base model with the highest AUC on the test side."""
+    from .boosting import BoostedScoreModel
+    from .explain import best_of
+    models = _bases(spark, sf)
+    return models[best_of(models, q_base_model_scores(spark, sf), lambda m: isinstance(m, BoostedScoreModel))]
+
+
+@query("tree_attribution")
+def q_tree_attribution(spark, sf):
+    """Exact Shapley values of the best boosted model on about 2,000 hash-sampled test rows (top 20 features)."""
+    from ..params import Params
+    from .explain import sample_rows, tree_attribution
+    td = training(spark, sf)
+    return tree_attribution(best_boosted(spark, sf), sample_rows(td.test, Params().attribution_rows),
+                            td.prep.feature_names)
+
+
+# --- invariants of fitted models that SQL can confirm --------------------------
+
+@query("model_score_check")
+def q_model_score_check(spark, sf):
+    """Per model: scored test rows, distinct customers, scores outside [0, 1]."""
+    from .ensemble import soft_vote
+    bases = _bases(spark, sf)
+    models = dict(bases, gbt_fallback=base_model(spark, sf, "gbt_fallback"), soft_voting=soft_vote(bases),
+                  stacking_ensemble=stacking(spark, sf)[0])
+    parts = [_test_scores(spark, sf, m).select(F.lit(n).alias("model"), "customer_id", "score")
+             for n, m in models.items()]
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    inside = F.coalesce(F.col("score").between(0.0, 1.0), F.lit(False))
+    return long.groupBy("model").agg(F.count("*").alias("n_rows"), F.countDistinct("customer_id").alias("n_customers"),
+                                     F.count_if(~inside).alias("n_outside"))
+
+
+@query("out_of_fold_check")
+def q_out_of_fold_check(spark, sf):
+    """Out-of-fold scores per (model, fold, class): rows, customers, scores outside [0, 1]."""
+    inside = F.coalesce(F.col("score").between(0.0, 1.0), F.lit(False))
+    return out_of_fold(spark, sf).groupBy("model", "fold", "churn").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("customer_id").alias("n_customers"),
+        F.count_if(~inside).alias("n_outside"))
+
+
+@query("attribution_check")
+def q_attribution_check(spark, sf):
+    """Over all test rows: attributions that don't add up to the margin less the base value."""
+    model = best_boosted(spark, sf)
+    base = model.model.expected()
+    rows = model.score(model.attributions(training(spark, sf).test, "phi"), "score")
+    total = F.aggregate("phi", F.lit(0.0), lambda a, v: a + v) + F.lit(base)
+    margin = F.log(F.col("score") / (1 - F.col("score")))
+    return rows.agg(F.count("*").alias("n_rows"), F.count_if(~(F.abs(total - margin) < 1e-6)).alias("n_violations"))
+
+
+@query("registry_check")
+def q_registry_check(spark, sf):
+    """Scores of all customers by models that were saved and loaded again, against the models in memory."""
+    from ..sources.registry import load_model, save_models
+    td = training(spark, sf)
+    models = {n: _bases(spark, sf)[n] for n in ("logistic_regression", "gbt_b")} | {
+        "stacking_ensemble": stacking(spark, sf)[0]}
+    path = shared_dir(spark, f"registry-check-{hashlib.sha256(sf.encode()).hexdigest()[:16]}")
+    save_models(spark, models, td.prep, path)
+    rows = td.prep.transform(raw(spark, sf))
+    parts = [load_model(spark, path, n).score(m.score(rows, "before"), "after").select(
+        F.lit(n).alias("model"), "before", "after") for n, m in models.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("model").agg(
+        F.count("*").alias("n_rows"), F.count_if(~(F.abs(F.col("before") - F.col("after")) < 1e-12)).alias("n_changed"))
+
+
+@query("smote_row_check")
+def q_smote_row_check(spark, sf):
+    """Synthetic rows per class, distinct ids, and those whose base row isn't a training row of the class."""
+    td = training(spark, sf)
+    made = td.train_fit.where("is_synthetic").withColumn("base", F.split("customer_id", "#s")[0])
+    bases = td.train.select(F.col("customer_id").alias("base"), F.col("churn").alias("base_churn"))
+    return made.join(bases, "base", "left").groupBy("churn").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("customer_id").alias("n_ids"),
+        F.count_if(~F.col("churn").eqNullSafe(F.col("base_churn"))).alias("n_strays"))
+
+
 @query("attribution_mc")
 def q_attribution_mc(spark, sf):
     """Monte-Carlo Shapley of the logistic model on ~2,000 hash-sampled test rows."""
@@ -571,7 +719,7 @@ def q_score_batch_model(spark, sf):
     from ..sources.registry import load_production, save_models
     from .score import score_customers
     td = training(spark, sf)
-    path = shared_dir(spark, f"registry_{abs(hash(sf))}")
+    path = shared_dir(spark, f"registry-{hashlib.sha256(sf.encode()).hexdigest()[:16]}")
     save_models(spark, {"logistic_regression": base_model(spark, sf, "logistic_regression")}, td.prep, path)
     model, prep = load_production(spark, path, "logistic_regression")
     return score_customers(raw(spark, sf).drop("churn"), model, prep)

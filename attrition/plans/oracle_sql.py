@@ -242,6 +242,38 @@ def build() -> dict[str, str]:
         f"select '{a}' as col_a, '{b}' as col_b, round(corr(cast({a} as double), cast({b} as double)), 6) as corr from cust"
         for a, b in pairs))
 
+    every = sorted(SCALAR_FEATURES + indicator_cols() + ["churn"])
+    both = [(every[i], every[j]) for i in range(len(every)) for j in range(i)]
+    q["correlation_matrix"] = with_cust(
+        "select unnest([" + ", ".join(f"'{a}'" for a, _ in both) + "]) as col_a, unnest(["
+        + ", ".join(f"'{b}'" for _, b in both) + "]) as col_b, unnest(["
+        + ", ".join(f"case when isfinite(corr({_q(a)}::double, {_q(b)}::double)) "
+                    f"then round(corr({_q(a)}::double, {_q(b)}::double), 6) end" for a, b in both)
+        + "]) as corr from enc", enc)
+    tp, fp, fn = (f"count(*) filter (where churn = {y} and score {o} trial / {d(20)})" for y, o in (
+        (1, ">="), (0, ">="), (1, "<")))
+    q["best_threshold_so_far"] = with_cust(
+        "select trial, round(f1, 6) as f1, round(max(f1) over (order by trial), 6) as best_so_far from t",
+        SCORED + f""", t as (select trial, coalesce(2.0::double * {tp} / nullif(2 * {tp} + {fp} + {fn}, 0), 0) as f1
+ from scored cross join (select unnest(range(1, 20))::integer as trial) group by trial)""")
+
+    # cleaning: the dirt is the fixture's, the repair is written independently
+    dirt = """d0 as (select * exclude (p), cast(substr(customer_id, 5, 7) as integer) as k from cust),
+d1 as (select * replace (
+  case when k % 5 = 0 or k % 11 = 0 then null else total_charges end as total_charges,
+  case when k % 13 = 0 then null else tenure end as tenure,
+  case when k % 17 = 0 then null else monthly_charges end as monthly_charges,
+  case when k % 19 = 0 then null else payment_method end as payment_method,
+  case when k % 4 = 0 then null else gender end as gender) from d0),
+cleaned as (select * exclude (k) replace (
+  coalesce(total_charges, round(monthly_charges * tenure, 2)) as total_charges) from d1)"""
+    q["clean_dirty_customers"] = with_cust("select * from cleaned", dirt)
+    q["null_profile_dirty"] = with_cust(" union all ".join(
+        f"select '{c}' as \"column\", count(*) as null_count from cleaned where {c} is null having count(*) > 0"
+        for c in RAW_COLS.split(",")), dirt)
+    q["encode_dirty"] = with_cust("select * from enc", dirt + ", " + feat_cte("cleaned").replace(
+        "from cust)", "from cleaned)") + ", " + enc_cte())
+
     q["risk_segment"] = with_cust(f"select customer_id, {_seg('p')} as risk_segment from cust")
     q["hard_decision"] = with_cust(
         f"select customer_id, cast(p >= {d(0.5)} as integer) as churn_prediction from cust")
@@ -338,6 +370,24 @@ select vec_id, neighbor_id, rank from (
   cast(row_number() over (partition by a.vec_id order by
    list_distance(cast(a.embedding as double[]), cast(b.embedding as double[])), b.vec_id) as integer) as rank
  from embeddings a join embeddings b on a.label = b.label and a.vec_id <> b.vec_id) where rank <= 5"""
+    names = ["random_forest", "logistic_regression", "gbt_a", "gbt_b", "gbt_fallback", "soft_voting",
+             "stacking_ensemble"]
+    q["model_score_check"] = with_cust(
+        f"select unnest({names}) as model, n as n_rows, m as n_customers, 0::bigint as n_outside from "
+        "(select count(*) as n, count(distinct customer_id) as m from sp where is_test)", split)
+    q["out_of_fold_check"] = with_cust(
+        f"select unnest({names[:4]}) as model, fold, churn, n as n_rows, n as n_customers, 0::bigint as n_outside from "
+        f"(select cast(least(floor({u_id('fold')} * 5), 4) as integer) as fold, churn, count(*) as n from sp "
+        "where not is_test group by 1, 2)", split)
+    q["attribution_check"] = with_cust(
+        "select count(*) as n_rows, 0::bigint as n_violations from sp where is_test", split)
+    q["registry_check"] = with_cust(
+        "select unnest(['logistic_regression', 'gbt_b', 'stacking_ensemble']) as model, n as n_rows, "
+        "0::bigint as n_changed from (select count(*) as n from cust)")
+    q["smote_row_check"] = with_cust("""
+select churn, (select max(n) from c) - n as n_rows, (select max(n) from c) - n as n_ids, 0::bigint as n_strays
+from c where n < (select max(n) from c)""",
+        f"c as (select churn, count(*) as n from cust where not ({u_id('split')} < {d(0.2)}) group by churn)")
     q["smote_counts"] = with_cust("""
 select churn, false as is_synthetic, n as count from c
 union all

@@ -142,3 +142,22 @@ def test_segment_counts_keep_empty_segments(spark):
     assert got == [("High Risk", 2), ("Low Risk", 1), ("Medium Risk", 0)]
     with_null = [tuple(r) for r in segments.segment_counts(scored, dropna=False).collect()]
     assert with_null == [("High Risk", 2), ("Low Risk", 1), (None, 1), ("Medium Risk", 0)]
+
+
+def test_correlation_matrix_with_nulls_and_constants(spark):
+    import numpy as np
+    import pandas as pd
+
+    from attrition.operators.eda import correlation_matrix
+    r = np.random.default_rng(2)
+    pdf = pd.DataFrame(r.normal(size=(300, 5)), columns=list("abcde"))
+    pdf["b"] = pdf["a"] * 2 + 1e6
+    pdf["c"] = 3.0
+    pdf.loc[::3, "d"] = np.nan
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(),
+                               ", ".join(f"{c} double" for c in "abcde")).repartition(4)
+    want = pdf.corr()
+    got = {(x["col_a"], x["col_b"]): x["corr"] for x in correlation_matrix(df, list("abcde")).collect()}
+    assert len(got) == 10 and {p for p, v in got.items() if v is None} == {p for p in got if "c" in p}
+    assert all(abs(v - want.loc[p]) < 1e-9 for p, v in got.items() if v is not None)
+    assert correlation_matrix(df.limit(0), list("ab")).collect() in ([], [("b", "a", None)])
