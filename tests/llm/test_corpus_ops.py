@@ -2,6 +2,7 @@
 and long texts, ties, repeated rows, empty tables, clashing column names."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -321,12 +322,51 @@ def test_toxicity(spark, empty):
     assert toxicity.score_documents(docs, flat).filter("predicted = 1").count() == 0
 
 
+def plain_features(string):
+    """Weighted subsequences of three characters, by looping over all of them."""
+    code = [0 if c == "\x01" else 1 if c == "\x02" else int(toxicity._FOLD[ord(c)]) for c in string]
+    out = {}
+    for i, j, k in itertools.combinations(range(len(code)), 3):
+        if k - i <= toxicity.SPAN:
+            key = (code[i], code[j], code[k])
+            out[key] = out.get(key, 0.0) + toxicity.DECAY ** (k - i - 2)
+    norm = sum(v * v for v in out.values()) ** 0.5
+    return {k: v / norm for k, v in out.items()}
+
+
 def test_kernel_is_the_subsequence_kernel():
-    # without the span bound, of short words, normalised by the number of triples
-    words = ["abc", "abxc", "zzz"]
-    k = toxicity.kernel(words, words)
-    assert k[0, 0] > k[0, 1] > 0 and abs(k[0, 2]) < k[0, 1] and np.allclose(k, k.T, atol=1e-5)
+    words = ["abc", "abxc", "zzz", "aaaaaaa", "a", "grumbkin", "g-r-u-m", "éü東京😀x", "x" * 300,
+             "https://example.com/" + "path/" * 30, "".join(map(chr, range(97, 123))) * 4]
+    strings = [p for w in words for p in toxicity.windows(w)]
+    k = toxicity.kernel(strings, strings)
+    plain = [plain_features(p) for p in strings]
+    for i, a in enumerate(plain):
+        for j, b in enumerate(plain):
+            assert k[i, j] == pytest.approx(sum(v * b.get(u, 0.0) for u, v in a.items()), abs=1e-5)
+    assert np.allclose(np.diag(k), 1.0, atol=1e-5)  # whatever the length
     assert np.linalg.eigvalsh(k.astype(float)).min() > -1e-5
+    assert k[0, 1] > 0.2 and k[0, 2] < k[0, 1]  # an inserted character lowers it
+
+
+def test_folded_machine_equals_the_kernel_expansion():
+    """The table of subsequence weights gives sum a_l K(w, l) + bias, the best over a token's strings."""
+    r = np.random.default_rng(3)
+    landmarks = [p for w in ("grumbkin", "wuzzle", "the", "of") for p in toxicity.windows(w)]
+    root, b = r.normal(size=(4, 3)), r.normal(size=4)
+    model = toxicity._model(b, landmarks, root)
+    words = ["grumbkin", "gr.umbkin", "a", "thethe", "wuz" * 30]
+    want = [max(toxicity.kernel(toxicity.windows(w), landmarks) @ root @ b[:-1] + b[-1]) for w in words]
+    assert np.allclose(model.of_words(words), want, atol=1e-4) and len(model.of_words([])) == 0
+
+
+def test_toxicity_of_edge_texts(spark, docs):
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(30)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.train_on_labels(docs, labels)
+    got = toxicity.score_documents(docs, model).collect()
+    assert len(got) == docs.count() and all(0 <= x["score"] <= 1 for x in got)
+    same = {}
+    for x in got:
+        assert same.setdefault(x["text"], x["score"]) == x["score"]
 
 
 def test_secrets(spark, docs, empty):
