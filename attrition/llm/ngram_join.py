@@ -9,14 +9,14 @@
    A short list gives all its pairs. A long one gives pairs with a few leaders
    only and is kept as open. Pairs are counted over the lists, and those whose
    count bounds the overlap below the similarity go.
-4. Group pairs are expanded to their members, and members are verified on the
-   whole sets. Links make components.
+4. Group pairs are expanded to their members. Each set has a bitmap of parities,
+   one or two bits an item, and at least as many items differ between two sets as
+   parities do; pairs that differ too much for the similarity go. The others are verified on the whole sets. Links make components.
 5. An open list whose members have all met in one component holds no further
-   news. In the others, every node is compared with one of the largest component. Jaccard distance is a metric, so
-   pairs whose distances to it differ by more than 1 - t can't link. Two sets
-   whose prefixes hold all their other items share few but frequent items, and
-   no more than either has. All other pairs across components that pass the
-   filters are verified. No link between
+   news. In the others, every node is compared with one of the largest component,
+   and what is still apart after that pairwise across components: by size and
+   position, by the frequent items (two sets whose prefixes hold all their
+   other items share no more than either has), by the bitmaps, then on the whole sets. No link between
    components is lost; links inside a component change nothing. No list, bucket
    or partner count is capped.
 
@@ -50,6 +50,8 @@ LEADERS = 2
 #: Shingles of a scan block in which frequent ones are looked for.
 BLOCK = 2_000_000
 SALTS = 64
+#: Parities in a set's bitmap, at least.
+LEAST_BITS = 256
 
 
 class _WordHashes(dict):
@@ -108,6 +110,28 @@ def _set_id(s) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
+def _parities(s) -> bytes:
+    """Whether an odd number of the set's items falls on each of a power of two
+    places, as many as items at least. Folding the halves together gives the bitmap
+    of half the size."""
+    import numpy as np
+
+    size = max(LEAST_BITS, 1 << (len(s) - 1).bit_length())
+    place = (s & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=size) & 1).astype(bool)).tobytes()
+
+
+def _folded(maps: list[bytes], size: int):
+    """Bitmaps of one length as rows of 64-bit words, folded to ``size`` bytes."""
+    import numpy as np
+
+    out = np.frombuffer(b"".join(maps), np.uint8).reshape(len(maps), -1)
+    while out.shape[1] > size:
+        half = out.shape[1] // 2
+        out = out[:, :half] ^ out[:, half:]
+    return np.ascontiguousarray(out).view(np.uint64)
+
+
 def _texts(batches):
     for batch in batches:
         for row_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -177,8 +201,8 @@ def _prefix(s, hot, hot_count, similarity: float):
 
 
 def postings(docs: DataFrame, width: int, similarity: float, hot, hot_count) -> DataFrame:
-    """(grp, n, node, cold, items): the members of each group. A task gives a
-    node once, and the prefix items with the first member of a group only."""
+    """(grp, n, node, cold, bits, items): the members of each group with their bitmaps. A
+    task gives a node once, and the prefix items with the first member of a group only."""
 
     def run(batches):
         import numpy as np
@@ -188,13 +212,13 @@ def postings(docs: DataFrame, width: int, similarity: float, hot, hot_count) ->
         shingles, seen, out = _hasher(width), set(), []
 
         def table():
-            g, n, node, cold, items = zip(*out, strict=True)
+            g, n, node, cold, bits, items = zip(*out, strict=True)
             ends = np.cumsum([0, *map(len, items)]).astype(np.int32)
             return pa.RecordBatch.from_arrays(
                 [pa.array(g, pa.int64()), pa.array(n, pa.int32()), pa.array(node, pa.int64()),
-                 pa.array(cold, pa.int32()),
+                 pa.array(cold, pa.int32()), pa.array(bits, pa.binary()),
                  pa.ListArray.from_arrays(ends, np.concatenate(items).view(np.int64))],
-                ["grp", "n", "node", "cold", "items"])
+                ["grp", "n", "node", "cold", "bits", "items"])
 
         for _, text in _texts(batches):
             s = shingles(text)
@@ -208,14 +232,14 @@ def postings(docs: DataFrame, width: int, similarity: float, hot, hot_count) ->
             if g in seen:
                 items = items[:0]
             seen.add(g)
-            out.append((g - (1 << 64) if g >> 63 else g, len(s), node, cold, items))
+            out.append((g - (1 << 64) if g >> 63 else g, len(s), node, cold, _parities(s), items))
             if len(out) >= 2048:
                 yield table()
                 out = []
         if out:
             yield table()
 
-    return docs.mapInArrow(run, "grp long, n int, node long, cold int, items array<long>")
+    return docs.mapInArrow(run, "grp long, n int, node long, cold int, bits binary, items array<long>")
 
 
 def _may_link(n1, p1, n2, p2, similarity: float):
@@ -377,6 +401,35 @@ def _expanded(pairs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFram
     return all_pairs.union(inside.filter("node <> lead").select("lead", "node")), open_lists
 
 
+def sifted(pairs: DataFrame, bitmaps: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets may reach the similarity as their bitmaps tell."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            x, y = (batch.column(c).to_pylist() for c in ("sa", "sb"))
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            both = na + nb
+            near = np.minimum(na, nb) >= similarity * np.maximum(na, nb) - 1e-9
+            most = both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)
+            kinds = {}
+            for i in np.flatnonzero(near):
+                kinds.setdefault((len(x[i]), len(y[i])), []).append(i)
+            ok = np.zeros(len(x), bool)
+            for k, rows in kinds.items():
+                for r in (rows[i:i + 4096] for i in range(0, len(rows), 4096)):
+                    u, v = (_folded([z[i] for i in r], min(k)) for z in (x, y))
+                    ok[r] = np.bitwise_count(u ^ v).sum(axis=1, dtype=np.int64) <= most[r]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
+
+    for end in ("a", "b"):
+        pairs = pairs.join(bitmaps.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"),
+                                          F.col("bits").alias(f"s{end}")), end)
+    return pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
              similarity: float) -> DataFrame:
     """The pairs (a, b, shared, union) of nodes whose whole sets reach the similarity."""
@@ -469,6 +522,7 @@ def _placed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
 
     posted = common.stored(postings(docs, width, similarity, hot, hot_count), "postings")
     members = common.stored(posted.select("grp", "node", "n", "cold").distinct(), "members")
+    bitmaps = common.stored(posted.groupBy("node").agg(F.max("n").alias("n"), F.max("bits").alias("bits")), "bitmaps")
     lists = (posted.filter(F.size("items") > 0)
              .select("grp", "n", "cold", F.posexplode("items").alias("pos", "item"))
              .withColumn("size_pos", F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")))
@@ -481,9 +535,15 @@ def _placed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     sizes = common.stored(group_sizes(raw, members, similarity), "sizes")
     pairs = likely_pairs(raw, sizes, similarity)
     expanded, wide = _expanded(common.stored(pairs, "pairs"), members)
-    first = common.stored(expanded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                          .filter("a <> b").distinct(), "candidates")
-    links = verified(first, docs, rows, width, similarity)
+
+    def compared(pairs):
+        """The links among the pairs, and their table of candidates forgotten."""
+        may = common.stored(sifted(pairs.filter("a <> b").distinct(), bitmaps, similarity), "candidates")
+        links = verified(may, docs, rows, width, similarity)
+        common.forget(may)
+        return links
+
+    links = compared(expanded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     roots = common.stored(components(links.select("a", "b")), "roots")
 
     # open lists: pairs across components only
@@ -502,28 +562,16 @@ def _placed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
                                         F.count("*").alias("k")).filter("k > 1").select("list", "lead")
         return placed.join(lead, "list")
 
-    def compared(pairs, least):
-        new = common.stored(pairs.filter("a <> b").distinct(), "cross")
-        return verified(new, docs, rows, width, least) if new.take(1) else None
-
-    def joined(more):
-        return extended(roots, more.filter(F.col("shared") >= similarity * F.col("all") - 1e-9))
-
-    # every node against the largest component's: its distance prunes by the triangle inequality
-    live = common.stored(unsettled(roots), "unsettled")
-    ray = compared(live.select(F.col("lead").alias("a"), F.col("node").alias("b")), 0.0)
-    if ray is not None:
-        roots = joined(ray)
-        away = ray.select(F.col("a").alias("lead"), F.col("b").alias("node"),
-                          (1 - F.col("shared") / F.col("all")).alias("d"))
-        live = (live.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-                .join(away, ["lead", "node"], "left").withColumn("d", F.coalesce("d", F.lit(0.0))))
-        cross = compared(live.alias("x").join(live.alias("y"), F.expr(
-            f"x.list = y.list AND x.node < y.node AND x.root <> y.root AND abs(x.d - y.d) <= {1 - similarity} + 1e-9"
-            f" AND {_may_link_sql(similarity)}"))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), similarity)
-        if cross is not None:
-            roots = joined(cross)
+    live = unsettled(roots)
+    rays = compared(live.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")))
+    roots = extended(roots, rays.select("a", "b"))
+    live = common.stored(unsettled(roots).drop("lead"), "unsettled")
+    crossing = compared(live.alias("x").join(live.alias("y"), F.expr(
+        f"x.list = y.list AND x.node < y.node AND x.root <> y.root AND {_may_link_sql(similarity)}"))
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    roots = extended(roots, crossing.select("a", "b"))
+    for table in (raw, sizes, links, rays, crossing, opened, live, bitmaps, members):
+        common.forget(table)
 
     # class -> component -> smallest id; classes are grouped before any join
     classes = rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")) \

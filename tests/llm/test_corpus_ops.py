@@ -458,3 +458,16 @@ def test_warc_query_has_a_row_per_page_row(spark, tmp_path):
     table = spark.read.parquet(str(tmp_path / "pages.parquet"))
     ids = [r["capture"] for r in warc.round_trip(table, each_row=True).collect()]
     assert len(set(ids)) == len(pages)
+
+
+def test_bitmaps_bound_the_difference():
+    """At least as many items differ as folded parities do, whatever the sizes."""
+    r = np.random.default_rng(2)
+    for n, m, shared in ((1, 1, 0), (300, 290, 250), (255, 257, 255), (900, 700, 10), (5000, 4000, 3900), (5000, 40, 40)):
+        items = r.choice(2 ** 62, n + m - shared, replace=False).astype(np.uint64)
+        a, b = np.sort(items[:n]), np.sort(items[n - shared:])
+        x, y = (ngram_join._parities(s) for s in (a, b))
+        size = min(len(x), len(y))
+        apart = int(np.bitwise_count(ngram_join._folded([x], size) ^ ngram_join._folded([y], size)).sum())
+        assert apart <= n + m - 2 * shared
+        assert (apart == 0) == (n + m == 2 * shared) or n != m
