@@ -224,7 +224,7 @@ def postings(docs: DataFrame, width: int, similarity: float, hot, hot_count) ->
             s = shingles(text)
             if not len(s) or (node := _set_id(s)) in seen:
                 continue
-            if len(seen) > 1_000_000:
+            if len(seen) > 400_000:
                 seen.clear()
             seen.add(node)
             items, cold = _prefix(s, hot, hot_count, similarity)
@@ -522,7 +522,7 @@ def _placed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
 
     posted = common.stored(postings(docs, width, similarity, hot, hot_count), "postings")
     members = common.stored(posted.select("grp", "node", "n", "cold").distinct(), "members")
-    bitmaps = common.stored(posted.groupBy("node").agg(F.max("n").alias("n"), F.max("bits").alias("bits")), "bitmaps")
+    bitmaps = common.stored(posted.select("node", "n", "bits").distinct(), "bitmaps")
     lists = (posted.filter(F.size("items") > 0)
              .select("grp", "n", "cold", F.posexplode("items").alias("pos", "item"))
              .withColumn("size_pos", F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")))
