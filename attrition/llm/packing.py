@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm import common
-from attrition.llm.words import is_special, pretokens, tokenizer
+from attrition.llm.words import byte_chars, is_special, pretokens, tokenizer
 
 SENTENCE_END = frozenset(".!?…。！？")
 
@@ -51,7 +51,8 @@ class WordIds:
     KEEP = 700_000
 
     def __init__(self, path: str):
-        self.path, self.tok = path, tokenizer(path)
+        self.path, self.tok, self.chars = path, tokenizer(path), byte_chars()
+        self.merge = self.tok.model.tokenize
         self._reset()
 
     def _reset(self):
@@ -61,23 +62,31 @@ class WordIds:
         self.length, self.at = np.zeros(1 << 15, np.int32), np.zeros(1 << 15, np.int64)
         self.ends, self.used = np.zeros(1 << 15, bool), 0
 
+    def _ids(self, word: str) -> list[int]:
+        """Ids of one pre-token: the merges alone, without the library's steps before them."""
+        if is_special(word, self.path):
+            return self.tok.encode(word, add_special_tokens=False).ids
+        plain = word.isascii() and word.isprintable() and " " not in word
+        chars = word if plain else "".join(map(self.chars.__getitem__, word.encode("utf-8", "surrogatepass")))
+        return [t.id for t in self.merge(chars)]
+
     def _add(self):
         import numpy as np
 
         words, self.code.new = self.code.new, []
-        k = len(self.code) - len(words)
-        for w, e in zip(words, self.tok.encode_batch(words, add_special_tokens=False), strict=True):
-            ids = e.ids
-            if k == len(self.length):
-                self.length, self.at, self.ends = (
-                    np.concatenate([a, np.zeros_like(a)]) for a in (self.length, self.at, self.ends))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.length[k], self.at[k] = len(ids), self.used
-            self.ends[k] = w[-1] in SENTENCE_END and not is_special(w, self.path)
-            self.used += len(ids)
-            k += 1
+        made = [self._ids(w) for w in words]
+        k, sizes = len(self.code) - len(words), np.array([len(i) for i in made], np.int64)
+        used = self.used + int(sizes.sum())
+        while len(self.code) > len(self.length):
+            self.length, self.at, self.ends = (
+                np.concatenate([a, np.zeros_like(a)]) for a in (self.length, self.at, self.ends))
+        while used > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        here = slice(k, len(self.code))
+        self.flat[self.used:used] = [i for ids in made for i in ids]
+        self.length[here], self.at[here] = sizes, self.used + np.cumsum(sizes) - sizes
+        self.ends[here] = [w[-1] in SENTENCE_END and not is_special(w, self.path) for w in words]
+        self.used = used
 
     def encode(self, text: str, end_id: int):
         """The ids (uint32) with the end id, and the positions after sentence ends."""
@@ -239,10 +248,10 @@ def pack(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str =
         if rows:
             yield as_batch(rows)
 
-    # The input position spreads a tied id and text over several ranges.
+    # The input position spreads equal rows over several ranges.
     ordered = (df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                          common.text_of(f"`{text_col}`").alias("text"))
-               .withColumn("h", F.xxhash64("text"))
-               .repartitionByRange("doc_id", "h")
-               .sortWithinPartitions("doc_id", "h").select("doc_id", "text"))
+               .withColumns({"h": F.xxhash64("text"), "at": F.monotonically_increasing_id()})
+               .repartitionByRange("doc_id", "h", "at")
+               .sortWithinPartitions("doc_id", "h", "at").select("doc_id", "text"))
     return ordered.mapInArrow(run, SCHEMA + (", ids array<long>" if with_ids else ""))
