@@ -17,6 +17,7 @@ other than id and text are not used, so clashing names do no harm.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections import deque
 
@@ -107,6 +108,12 @@ class WordIds:
         return ids, upto[self.ends[codes]]
 
 
+@functools.lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The worker's encoder: what one task has merged the next needn't."""
+    return WordIds(path)
+
+
 def cut_points(n: int, doc_ends, sentence_ends, size: int, sentence_cost: float,
                forced_cost: float):
     """Candidate cuts of a stream of ``n`` tokens (0 and n included) and their
@@ -227,7 +234,7 @@ def pack(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = WordIds(vocabulary)
+        encoder = word_ids(vocabulary)
         packer = Packer(size, block, costs, TaskContext.get().partitionId() << 40, with_ids)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         names += ["ids"] * with_ids
