@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import functools
 import zlib
+from codecs import charmap_decode
 from collections import deque
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +54,9 @@ class WordIds:
     KEEP = 700_000
 
     def __init__(self, path: str):
-        self.path, self.tok, self.chars = path, tokenizer(path), byte_chars()
+        self.path, self.tok = path, tokenizer(path)
+        chars = byte_chars()
+        self.table = "".join(chars[b] for b in range(256))
         self.merge = self.tok.model.tokenize
         self._reset()
 
@@ -61,21 +65,22 @@ class WordIds:
 
         self.code, self.flat = _Codes(), np.zeros(1 << 16, np.uint32)
         self.length, self.at = np.zeros(1 << 15, np.int32), np.zeros(1 << 15, np.int64)
-        self.ends, self.used = np.zeros(1 << 15, bool), 0
-
-    def _ids(self, word: str) -> list[int]:
-        """Ids of one pre-token: the merges alone, without the library's steps before them."""
-        if is_special(word, self.path):
-            return self.tok.encode(word, add_special_tokens=False).ids
-        plain = word.isascii() and word.isprintable() and " " not in word
-        chars = word if plain else "".join(map(self.chars.__getitem__, word.encode("utf-8", "surrogatepass")))
-        return [t.id for t in self.merge(chars)]
+        self.ends, self.used = np.zeros(1 << 15, bool), 1
+        self.code[None], self.length[0] = 0, 1  # a document's end, one id
 
     def _add(self):
+        """Merge the new pre-tokens; the library's steps before the merges are done already."""
         import numpy as np
 
         words, self.code.new = self.code.new, []
-        made = [self._ids(w) for w in words]
+        made, merge, table = [], self.merge, self.table
+        for w in words:
+            if w.isalnum() and w.isascii():
+                made.append([t.id for t in merge(w)])
+            elif is_special(w, self.path):
+                made.append(self.tok.encode(w, add_special_tokens=False).ids)
+            else:
+                made.append([t.id for t in merge(charmap_decode(w.encode("utf-8", "surrogatepass"), "strict", table)[0])])
         k, sizes = len(self.code) - len(words), np.array([len(i) for i in made], np.int64)
         used = self.used + int(sizes.sum())
         while len(self.code) > len(self.length):
@@ -84,28 +89,37 @@ class WordIds:
         while used > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         here = slice(k, len(self.code))
-        self.flat[self.used:used] = [i for ids in made for i in ids]
+        self.flat[self.used:used] = list(chain.from_iterable(made))
         self.length[here], self.at[here] = sizes, self.used + np.cumsum(sizes) - sizes
         self.ends[here] = [w[-1] in SENTENCE_END and not is_special(w, self.path) for w in words]
         self.used = used
 
-    def encode(self, text: str, end_id: int):
-        """The ids (uint32) with the end id, and the positions after sentence ends."""
+    def encode_all(self, texts: list[str], end_id: int) -> list[tuple]:
+        """Per text: the ids (uint32) with the end id, and the positions after sentence ends."""
         import numpy as np
 
-        words = pretokens(text, self.path)
         if len(self.code) > self.KEEP:
             self._reset()
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        words = [pretokens(t, self.path) for t in texts]
+        for w in words:
+            w.append(None)
+        last = np.cumsum([len(w) for w in words]) - 1  # each text's end among all pre-tokens
+        codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(words)), np.int64, int(last[-1]) + 1)
         if self.code.new:
             self._add()
         n = self.length[codes]
         upto = np.cumsum(n, dtype=np.int64)
-        total = int(upto[-1]) if len(words) else 0
-        ids = np.empty(total + 1, np.uint32)
-        ids[:total] = self.flat[np.repeat(self.at[codes] - (upto - n), n) + np.arange(total)]
-        ids[total] = end_id
-        return ids, upto[self.ends[codes]]
+        ids = self.flat[np.repeat(self.at[codes] - (upto - n), n) + np.arange(int(upto[-1]))]
+        ids[upto[last] - 1] = end_id
+        ends = upto[self.ends[codes]]
+        stop = upto[last]
+        start = np.concatenate([[0], stop[:-1]])
+        cut = np.searchsorted(ends, stop, side="right")
+        return [(ids[a:b], ends[i:j] - a) for a, b, i, j in zip(
+            start.tolist(), stop.tolist(), [0, *cut[:-1].tolist()], cut.tolist(), strict=True)]
+
+    def encode(self, text: str, end_id: int):
+        return self.encode_all([text], end_id)[0]
 
 
 @functools.lru_cache(maxsize=1)
@@ -222,6 +236,20 @@ class Packer:
         self.docs, self.held = left, int(doc_end[-1]) - done
 
 
+def _parts(batch, most: int = 1 << 19):
+    """Slices of a batch of about ``most`` bytes of text; a longer text is one of its own."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        base = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def pack(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
          size: int = 2048, end_id: int = 1, sentence_cost: float = 2.0, forced_cost: float = 8.0,
          window_cost: float = 64.0, block: int = 1 << 18, with_ids: bool = False) -> DataFrame:
@@ -246,11 +274,13 @@ def pack(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str =
 
         rows = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                rows += packer.add(doc_id.as_py(), *encoder.encode(text.as_py(), end_id))
-                if len(rows) >= 4096:
-                    yield as_batch(rows)
-                    rows = []
+            for part in _parts(batch):
+                texts = part.column(1).to_pylist()
+                for doc_id, made in zip(part.column(0).to_pylist(), encoder.encode_all(texts, end_id), strict=True):
+                    rows += packer.add(doc_id, *made)
+                    if len(rows) >= 4096:
+                        yield as_batch(rows)
+                        rows = []
         rows += packer.flush(True)
         if rows:
             yield as_batch(rows)
