@@ -8,7 +8,10 @@ endpoint whose gap is at most ``reach`` code points. The meeting is an interval
 join on (row, cell): a secret is found in the cells it covers, its possible
 partners in the cells around theirs, so that no task pairs all parts of a text.
 A secret's run is taken whole, however long; '=' or ':' may stand before it, and
-an account's name may have a prefix that ends in '_' or '.'.
+an account's name may have a prefix that ends in '_' or '.'. A run that a strong
+finding holds is reported once, as that. A run inside an endpoint is part of its
+path and no secret, but for credentials before '@' and values of its query;
+and no span is the complement of one that it lies in.
 
 Spans are code points, end exclusive. Null text is empty, texts are scanned
 whole, equal rows have equal results (rows meet by a hash of id and text), and
@@ -39,14 +42,33 @@ def _mixed(s: str) -> bool:
     return any(c.isdigit() for c in s) and any(c.isalpha() for c in s) and len(set(s)) >= 10
 
 
+#: Inside an endpoint: what stands before '@', and the values of its query.
+_HELD = re.compile(r"(?<=://)[^/?#@]*(?=@)|(?<=[?&;])[^=&;#]*=([^&;#]*)")
+
+
+def _within(span, spans) -> bool:
+    return any(a <= span[0] and span[1] <= b for a, b in spans)
+
+
+def _secrets(text: str, strong: list[tuple[int, int]], endpoints: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    held = [(a + m.start(m.lastindex or 0), a + m.end(m.lastindex or 0))
+            for a, b in endpoints for m in _HELD.finditer(text[a:b])]
+    out = [(a + x, a + y) for (a, b) in held for x, y in (m.span() for m in SECRET.finditer(text[a:b]))]
+    out += [m.span() for m in SECRET.finditer(text)
+            if not any(m.start() < b and a < m.end() for a, b in endpoints)]
+    return sorted({x for x in out if _mixed(text[x[0]:x[1]]) and not _within(x, strong)})
+
+
 def find(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of strong findings and weak candidates."""
     out = [(0, *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
     out += [(1, *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 18]
     out += [(2, *m.span()) for m in HEX.finditer(text)]
     out += [(3, *m.span()) for m in ACCOUNT.finditer(text)]
-    out += [(4, *m.span()) for m in SECRET.finditer(text) if _mixed(m[0])]
-    return out + [(5, *m.span()) for m in ENDPOINT.finditer(text)]
+    strong = [x[1:] for x in out if x[0] < 3]
+    ends = [m.span() for m in ENDPOINT.finditer(text)]
+    out += [(4, *x) for x in _secrets(text, strong, ends)]
+    return out + [(5, *x) for x in ends]
 
 
 def _is_kind(kind: int):
@@ -75,7 +97,9 @@ def linked_parts(found: DataFrame, reach: int) -> DataFrame:
              .select("k1", "k2", "cell", F.struct("kind", "start", "end").alias("o")))
     # both may cover several cells: a pair can meet more than once and is listed once
     met = secret.join(other, ["k1", "k2", "cell"]).filter(
-        (F.greatest("s.start", "o.start") - F.least("s.end", "o.end") <= reach))
+        (F.greatest("s.start", "o.start") - F.least("s.end", "o.end") <= reach)
+        & ~((F.col("o.start") <= F.col("s.start")) & (F.col("s.end") <= F.col("o.end")))
+        & ~((F.col("s.start") <= F.col("o.start")) & (F.col("o.end") <= F.col("s.end"))))
     # access identifiers are strong and already reported
     return (met.select("k1", "k2", F.explode(F.array("s", "o")).alias("p")).filter("p.kind >= 3")
             .groupBy("k1", "k2").agg(F.collect_set("p").alias("linked")))
