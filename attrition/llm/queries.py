@@ -81,8 +81,8 @@ WARC_ORACLE = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
 SELECT page_id, n::BIGINT AS payload_bytes, p.d AS payload_digest,
-       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN first < page_id THEN first END AS refers_to
+       CASE WHEN first < page_id OR page_id IS NULL AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id OR page_id IS NULL THEN first END AS refers_to
 FROM p LEFT JOIN f ON p.d = f.d
 """
 

@@ -10,7 +10,8 @@ by file in parallel; the records meet through their concurrent-to identifiers
 and become one nested row per capture.
 
 Null html is an empty payload; a null url has no WARC-Target-URI; a null page
-id is written empty and read back as null, and is no page that others revisit.
+id is written empty and read back as null, is no page that others revisit, and
+revisits a page of the same payload that has an id.
 Rows equal in id, url and html are one capture, or with ``each_row`` one each: all
 of them but one carry a number in their record identifiers. Of equal payloads the smallest
 page_id is the response (ties: every row of that id is). Empty tables give an
@@ -44,10 +45,10 @@ def write_archive(pages: DataFrame, path: str, least: int = 100, file_bytes: int
     digests = common.stored(rows.select("key", "url", "digest", "n", "num"), "payload-digests")
     total, count = digests.agg(F.sum("n"), F.count("*")).first()
     mean = (total or 0) / max(count, 1) + 1000
-    shared = (digests.filter(f"n >= {least} AND key IS NOT NULL").groupBy("digest")
+    shared = (digests.filter(f"n >= {least}").groupBy("digest")
               .agg(F.min("key").alias("first"), F.count("*").alias("c"),
-                   F.min(F.struct("key", "url")).getField("url").alias("first_url"))
-              .filter("c > 1").drop("c"))
+                   F.min(F.when(F.col("key").isNotNull(), F.struct("key", "url"))).getField("url").alias("first_url"))
+              .filter("c > 1 AND first IS NOT NULL").drop("c"))
     rows = rows.join(common.sized(shared), "digest", "left").withColumn("again_of", F.lit(""))
     if each_row:  # the first of equal rows has the plain identifier
         equal = (digests.groupBy(F.col("key").alias("k"), F.col("url").alias("u"), F.col("digest").alias("d"))
@@ -69,7 +70,7 @@ def write_archive(pages: DataFrame, path: str, least: int = 100, file_bytes: int
         return F.concat(F.concat_ws(END, *lines), F.lit(END + END), block)  # nulls leave no line
 
     own = record_id(F.col("page_id"), F.col("url"), F.col("again_of"))
-    again = F.coalesce(F.col("first") < F.col("key"), F.lit(False))
+    again = F.col("first").isNotNull() & F.coalesce(F.col("first") < F.col("key"), F.lit(True))
     to = F.concat(F.lit("WARC-Concurrent-To: "), own)
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "),
                     F.col("n").cast("string"), F.lit(END + END), F.when(again, "").otherwise(F.col("html")))

@@ -192,6 +192,7 @@ def test_warc_round_trip(spark):
     assert by[3]["response"]["type"] == "revisit" and by[3]["refers_to"] == 1
     assert by[3]["response"]["payload_bytes"] == len(big.encode())
     assert by[3]["response"]["digest"] == hashlib.sha256(big.encode()).hexdigest()
+    assert by[None]["response"]["type"] == "revisit" and by[None]["refers_to"] == 1  # a null id revisits, too
     assert by[2]["response"]["payload"] == b"" and by[2]["response"]["uri"] is None
     assert by[5]["response"]["type"] == "response" and by[5]["metadata"]["page_id"] == "5"
     assert by[4]["request"]["id"].startswith("<urn:page:4:")
