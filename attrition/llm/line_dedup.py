@@ -68,12 +68,14 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 #: DuckDB SQL of the query's digest columns.
 ORACLE = r"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+WITH d AS (  -- r: the row; doc: rows equal in id and text are one document
+  SELECT row_number() OVER () AS r, dense_rank() OVER (ORDER BY doc_id, coalesce(text, '')) AS doc, doc_id,
+         string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
 k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
-f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
-SELECT k.doc_id, count(*)::BIGINT AS n_lines, count(f.key)::BIGINT AS n_dropped,
+f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc) >= 10)
+SELECT any_value(k.doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(f.key)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (f.key IS NULL), '')) AS kept_sha256
-FROM k LEFT JOIN f ON k.key = f.key GROUP BY k.doc_id
+FROM k LEFT JOIN f ON k.key = f.key GROUP BY k.r
 """
