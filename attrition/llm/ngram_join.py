@@ -14,8 +14,8 @@
    parities do; pairs that differ too much for the similarity go. The others are verified on the whole sets. Links make components.
 5. An open list whose members have all met in one component holds no further
    news. In the others, every node is compared with one of the largest component,
-   and what is still apart after that pairwise across components: by size and
-   position, by the frequent items (two sets whose prefixes hold all their
+   and what is still apart after that pairwise across components, in blocks inside
+   the tasks, which only the pairs that may link leave: by size and position, by the frequent items (two sets whose prefixes hold all their
    other items share no more than either has), by the bitmaps, then on the whole sets. No link between
    components is lost; links inside a component change nothing. No list, bucket
    or partner count is capped.
@@ -50,6 +50,8 @@ LEADERS = 2
 #: Shingles of a scan block in which frequent ones are looked for.
 BLOCK = 2_000_000
 SALTS = 64
+#: Rows of an open list that are compared in one task, about.
+CHUNK = 2048
 #: Parities in a set's bitmap, at least.
 LEAST_BITS = 256
 
@@ -252,14 +254,6 @@ def _may_link(n1, p1, n2, p2, similarity: float):
             & (np.minimum(n1 - p1, n2 - p2) >= need))
 
 
-def _may_link_sql(similarity: float) -> str:
-    return (f"least(x.n, y.n) >= {similarity} * greatest(x.n, y.n) - 1e-9 AND least(x.n - x.pos, y.n - y.pos)"
-            f" >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9)"
-            # pairs of open lists that share a short list, too, are among the counted ones
-            f" AND (x.hot IS NULL OR y.hot IS NULL OR least(x.lc, y.lc) + least(x.hot, y.hot)"
-            f" >= ceil({similarity / (1 + similarity)!r} * (x.n + y.n) - 1e-9))")
-
-
 def group_pairs(posted: DataFrame, similarity: float) -> DataFrame:
     """From rows (list, item, grp, size_pos) of one kind of posting list: pairs
     (a, b, n) of groups that share an item and pass the filters, n = 1 for each
@@ -430,6 +424,98 @@ def sifted(pairs: DataFrame, bitmaps: DataFrame, similarity: float) -> DataFrame
     return pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def crossing_pairs(live: DataFrame, bitmaps: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b), a < b, of two members of one open list and of different
+    components that size, position, frequent items and bitmaps leave.
+
+    Rows of ``live`` are (list, node, n, pos, hot, lc, root). A list is cut into
+    chunks of about ``CHUNK`` rows and each pair of chunks meets in a task, which
+    compares blocks of rows sorted by size; only the pairs that pass leave it."""
+    many = live.groupBy("list").agg(F.ceil(F.count("*") / F.lit(float(CHUNK))).cast("int").alias("chunks")) \
+        .filter("chunks > 1")
+    placed = live.join(common.sized(many), "list", "left").join(bitmaps.select("node", "bits"), "node") \
+        .withColumn("chunks", F.coalesce("chunks", F.lit(1))) \
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    keys = ["list", "low", "high"]
+    dealt = placed.select("list", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                          "own", "node", "n", "pos", "hot", "lc", "root", "bits") \
+        .repartition(*keys).sortWithinPartitions(*keys, "n")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        share = similarity / (1 + similarity)
+        none = np.iinfo(np.int64).max
+
+        def met(rows):
+            """Pairs of one task's rows of one pair of chunks, by size."""
+            low, high, own, node, n, pos, hot, lc, root = rows[:9]
+            if (root == root[0]).all():
+                return
+            apart = low[0] < high[0]  # two chunks: pairs between them only
+            widths = np.array([len(b) for b in rows[9]])
+            maps = {}
+            for w in np.unique(widths):
+                at = np.flatnonzero(widths == w)
+                maps[int(w)] = (at, [rows[9][i] for i in at])
+            folded = {(w, v): _folded(maps[w][1], v) for w in maps for v in maps if v <= w}
+            for w in maps:
+                for v in maps:
+                    if v > w:
+                        continue
+                    xs, ys = maps[w][0], maps[v][0]
+                    x_bits, y_bits = folded[w, v], folded[v, v]
+                    for s in range(0, len(xs), 256):
+                        i, u = xs[s:s + 256], x_bits[s:s + 256]
+                        # rows are sorted by size, so those of a fitting size are a range
+                        first = np.searchsorted(n[ys], similarity * n[i[0]] - 1e-9)
+                        last = np.searchsorted(n[ys], n[i[-1]] / similarity + 1e-9, "right")
+                        for t in range(max(first, s) if w == v else first, last, 2048):
+                            j, z = ys[t:min(t + 2048, last)], y_bits[t:min(t + 2048, last)]
+                            both = n[i][:, None] + n[j][None]
+                            need = np.ceil(share * both - 1e-9)
+                            less, more = np.minimum(n[i][:, None], n[j][None]), np.maximum(n[i][:, None], n[j][None])
+                            ok = (root[i][:, None] != root[j][None]) & (node[i][:, None] != node[j][None])
+                            ok &= (less >= similarity * more - 1e-9)
+                            ok &= np.minimum((n - pos)[i][:, None], (n - pos)[j][None]) >= need
+                            # two sets whose prefixes hold all their cold items share no more than either has
+                            h, c = hot[i][:, None], hot[j][None]
+                            ok &= (h == none) | (c == none) | (
+                                np.minimum(lc[i][:, None], lc[j][None]) + np.minimum(h, c) >= need)
+                            if w == v:
+                                ok &= i[:, None] < j[None]
+                            if apart:
+                                ok &= own[i][:, None] != own[j][None]
+                            a, b = np.nonzero(ok)
+                            for k in range(0, len(a), 65536):
+                                p, q = a[k:k + 65536], b[k:k + 65536]
+                                differ = np.bitwise_count(u[p] ^ z[q]).sum(axis=1, dtype=np.int64)
+                                near = differ <= (both - 2 * need)[p, q]
+                                p, q = node[i[p[near]]], node[j[q[near]]]
+                                if len(p):
+                                    yield pa.RecordBatch.from_arrays(
+                                        [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+
+        held = None
+        for batch in batches:
+            cols = [batch.column(c).cast(pa.int64()).fill_null(none).to_numpy(zero_copy_only=False)
+                    for c in range(batch.num_columns - 1)]
+            cols.append(np.array(batch.column(batch.num_columns - 1).to_pylist(), object))
+            if held is not None:
+                cols = [np.concatenate(c) for c in zip(held, cols, strict=True)]
+            key = np.column_stack(cols[:3])
+            ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            for s, e in zip(np.r_[0, ends[:-1]], ends) if len(ends) else ():
+                yield from met([c[s:e] for c in cols[1:]])
+            held = [c[ends[-1]:] for c in cols] if len(ends) else cols
+        if held is not None and len(held[0]):
+            yield from met(held[1:])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
              similarity: float) -> DataFrame:
     """The pairs (a, b, shared, union) of nodes whose whole sets reach the similarity."""
@@ -566,9 +652,9 @@ def _placed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     rays = compared(live.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")))
     roots = extended(roots, rays.select("a", "b"))
     live = common.stored(unsettled(roots).drop("lead"), "unsettled")
-    crossing = compared(live.alias("x").join(live.alias("y"), F.expr(
-        f"x.list = y.list AND x.node < y.node AND x.root <> y.root AND {_may_link_sql(similarity)}"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    may = common.stored(crossing_pairs(live, bitmaps, similarity).distinct(), "crossing")
+    crossing = verified(may, docs, rows, width, similarity)
+    common.forget(may)
     roots = extended(roots, crossing.select("a", "b"))
     for table in (raw, sizes, links, rays, crossing, opened, live, bitmaps, members):
         common.forget(table)

@@ -269,6 +269,42 @@ def test_near_duplicates(spark, docs, empty, monkeypatch):
     assert ngram_join.near_duplicates(empty).count() == 0
 
 
+def test_members_of_an_open_list_meet_inside_tasks(spark, monkeypatch):
+    """Pairs of one unsettled list: those that may link, and no others, leave the tasks."""
+    import numpy as np
+
+    gen, similarity = np.random.default_rng(5), 0.75
+    sets = [np.unique(gen.integers(0, 1 << 63, gen.integers(20, 300), dtype=np.uint64)) for _ in range(120)]
+    for k in range(0, 120, 3):  # near copies of other components
+        sets.append(np.sort(np.r_[sets[k][:-1], gen.integers(0, 1 << 63, 1, dtype=np.uint64)]))
+    hot = [None if k % 4 else k % 7 for k in range(len(sets))]
+    live = [(9, k, len(s), k % 3, hot[k], None if hot[k] is None else 200, k // 2) for k, s in enumerate(sets)]
+    live += [(4, k, len(sets[k]), 0, None, None, 1) for k in range(5)]  # a settled list
+    frame = spark.createDataFrame(live, "list long, node long, n int, pos int, hot long, lc long, root long")
+    bitmaps = spark.createDataFrame([(k, bytearray(ngram_join._parities(s))) for k, s in enumerate(sets)],
+                                    "node long, bits binary")
+
+    def may(x, y):
+        (_, a, n, p, h, c, r), (_, b, m, q, i, d, o) = x, y
+        need = int(np.ceil(similarity / (1 + similarity) * (n + m) - 1e-9))
+        if r == o or min(n, m) < similarity * max(n, m) or min(n - p, m - q) < need:
+            return False
+        if h is not None and i is not None and min(c, d) + min(h, i) < need:
+            return False
+        u, v = (ngram_join._parities(sets[k]) for k in (a, b))
+        size = min(len(u), len(v))
+        return np.bitwise_count(ngram_join._folded([u], size) ^ ngram_join._folded([v], size)).sum() <= n + m - 2 * need
+
+    want = {(x[1], y[1]) for x in live[:160] for y in live[:160] if x[1] < y[1] and may(x, y)}
+    assert 20 < len(want) < 400
+    for chunk in (10_000, 25):
+        monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+        pairs = ngram_join.crossing_pairs(frame, bitmaps, similarity)
+        got = [(x["a"], x["b"]) for x in pairs.collect()]
+        assert set(got) == want and len(got) == len(want)
+        assert "SortMergeJoin [list" not in pairs._jdf.queryExecution().toString()
+
+
 def test_near_duplicates_of_repeated_ids(spark):
     # id 7 has two texts; its row of the first comes before the row that the class is named by
     x = " ".join(WORDS)
