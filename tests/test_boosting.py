@@ -186,3 +186,24 @@ def test_attribution_equals_subset_enumeration(spark):
     assert np.allclose([by_id[f"c{i}"] for i in range(len(y))], model.attributions(x))
     back = T.TreeEnsemble.from_bytes(model.to_bytes())
     assert (back.margins(x) == model.margins(x)).all() and model.importances().sum() == pytest.approx(1)
+
+
+def test_indicator_columns_are_summed_like_the_others():
+    """Sums by matrix products, and rows moved on level by level, against plain counts and walks."""
+    gen = np.random.default_rng(8)
+    layout = T.Layout.of([[0.5], [], [0.1, 0.4, 0.7], [0.0], [0.2, 0.9]])
+    x = np.column_stack([gen.integers(0, 2, 70_000), np.zeros(70_000), gen.random(70_000),
+                         gen.integers(0, 2, 70_000), gen.random(70_000)]).astype(float)
+    code = layout.binned(x)
+    slot = gen.integers(-1, 6, 70_000)
+    slot[slot == 3] = -1
+    g, h = np.rint(gen.normal(0, 1 << 20, 70_000)), np.rint(gen.random(70_000) * (1 << 18))
+    plain = T.histograms(code, slot, g, h, 6, layout.width)
+    assert (T.histograms(code, slot, g, h, 6, layout.width, layout) == plain).all()
+    assert (T.histograms(code, np.full(70_000, -1), g, h, 6, layout.width, layout) == 0).all()
+    feature = layout.feature_of()
+    bins, left = np.array([0, layout.starts[2] + 1, -1, -1, -1], np.int32), np.array([1, 3, -1, -1, -1], np.int32)
+    node = np.zeros(len(code), np.int64)
+    for _ in range(3):
+        node = T.stepped(code, node, bins, left, feature)
+    assert (node == T.walk(code, bins, left, feature)).all()
