@@ -52,6 +52,8 @@ BLOCK = 2_000_000
 SALTS = 64
 #: Rows of an open list that are compared in one task, about.
 CHUNK = 2048
+#: Items of whole sets in a chunk of rows, about.
+ITEMS = 1_000_000
 #: Parities in a set's bitmap, at least.
 LEAST_BITS = 256
 
@@ -83,7 +85,7 @@ def _hasher(width: int):
             return np.zeros(0, np.uint64)
         if len(words) < width:
             return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=7)], np.uint64)
-        if len(seen) > 500_000:
+        if len(seen) > 200_000:
             seen.clear()
         h = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
         n = len(words) - width + 1
@@ -426,21 +428,51 @@ def sifted(pairs: DataFrame, bitmaps: DataFrame, similarity: float) -> DataFrame
 
 def crossing_pairs(live: DataFrame, bitmaps: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b), a < b, of two members of one open list and of different
-    components that size, position, frequent items and bitmaps leave.
-
-    Rows of ``live`` are (list, node, n, pos, hot, lc, root). A list is cut into
-    chunks of about ``CHUNK`` rows and each pair of chunks meets in a task, which
-    compares blocks of rows sorted by size; only the pairs that pass leave it."""
-    many = live.groupBy("list").agg(F.ceil(F.count("*") / F.lit(float(CHUNK))).cast("int").alias("chunks")) \
-        .filter("chunks > 1")
-    placed = live.join(common.sized(many), "list", "left").join(bitmaps.select("node", "bits"), "node") \
-        .withColumn("chunks", F.coalesce("chunks", F.lit(1))) \
+    components that size, position, frequent items and bitmaps leave; rows of
+    ``live`` are (list, node, n, pos, hot, lc, root). One list may give as many as
+    the square of its rows; :func:`crossing_links` keeps them in the tasks."""
+    return _compared_in_blocks(live, bitmaps, similarity, "pairs")
+
+
+def crossing_links(live: DataFrame, bitmaps: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
+                   similarity: float) -> DataFrame:
+    """Links (a, b) among the crossing pairs, enough to join all that link.
+
+    The rows of ``live`` that have a partner left by the bitmaps are found first; these
+    alone get their whole sets and are compared again. Both times the pairs stay in the
+    tasks: rows come out, then links, and a task gives none inside what it joined already."""
+    marked = common.stored(_compared_in_blocks(live, bitmaps, similarity, "rows").distinct(), "marked")
+    own = whole_sets(marked.select("node").distinct(), docs, rows, width)
+    near = live.join(marked, ["list", "node"], "left_semi")
+    links = common.stored(_compared_in_blocks(near, bitmaps, similarity, "links", own), "crossing")
+    common.forget(marked)
+    common.forget(own)
+    return links
+
+
+def _compared_in_blocks(live: DataFrame, bitmaps: DataFrame, similarity: float, give: str,
+                        sets: DataFrame | None = None) -> DataFrame:
+    """The crossing pairs of ``live``: themselves (a, b), the rows (list, node) that are in
+    one, or the links (a, b) among them, told by the whole ``sets`` (node, items).
+
+    A list is cut into chunks of about ``CHUNK`` rows, ``ITEMS`` items if sets are
+    compared, and each pair of chunks meets in a task, which compares blocks of rows
+    sorted by size."""
+    size = F.count("*") / F.lit(float(CHUNK))
+    if sets is not None:
+        size = F.greatest(size, F.sum("n") / F.lit(float(ITEMS)))
+    many = live.groupBy("list").agg(F.ceil(size).cast("int").alias("chunks")).filter("chunks > 1")
+    placed = live.join(common.sized(many), "list", "left").join(bitmaps.select("node", "bits"), "node")
+    if sets is not None:
+        placed = placed.join(sets, "node")
+    placed = placed.withColumn("chunks", F.coalesce("chunks", F.lit(1))) \
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     keys = ["list", "low", "high"]
     dealt = placed.select("list", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                          "own", "node", "n", "pos", "hot", "lc", "root", "bits") \
+                          "own", "node", "n", "pos", "hot", "lc", "root", "bits", *["items"] * (sets is not None)) \
         .repartition(*keys).sortWithinPartitions(*keys, "n")
+    names = ["list", "node"] if give == "rows" else ["a", "b"]
 
     def run(batches):
         import numpy as np
@@ -449,11 +481,9 @@ def crossing_pairs(live: DataFrame, bitmaps: DataFrame, similarity: float) -> Da
         share = similarity / (1 + similarity)
         none = np.iinfo(np.int64).max
 
-        def met(rows):
-            """Pairs of one task's rows of one pair of chunks, by size."""
+        def pairs(rows):
+            """Blocks of pairs (places p, q) of one task's rows of one pair of chunks, by size."""
             low, high, own, node, n, pos, hot, lc, root = rows[:9]
-            if (root == root[0]).all():
-                return
             apart = low[0] < high[0]  # two chunks: pairs between them only
             widths = np.array([len(b) for b in rows[9]])
             maps = {}
@@ -493,33 +523,69 @@ def crossing_pairs(live: DataFrame, bitmaps: DataFrame, similarity: float) -> Da
                                 p, q = a[k:k + 65536], b[k:k + 65536]
                                 differ = np.bitwise_count(u[p] ^ z[q]).sum(axis=1, dtype=np.int64)
                                 near = differ <= (both - 2 * need)[p, q]
-                                p, q = node[i[p[near]]], node[j[q[near]]]
-                                if len(p):
-                                    yield pa.RecordBatch.from_arrays(
-                                        [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+                                if near.any():
+                                    yield i[p[near]], j[q[near]]
+
+        def linked(rows):
+            """The pairs of places whose whole sets link what no link before them joined."""
+            node, n, items = rows[3], rows[4], rows[10]
+            group = np.unique(rows[8], return_inverse=True)[1]
+            ends = np.cumsum(n)
+            ids = mark = last = None
+            for p, q in pairs(rows):
+                for x, y in zip(p.tolist(), q.tolist(), strict=True):
+                    if group[x] == group[y]:
+                        continue
+                    if ids is None:  # items numbered within the task
+                        used, ids = np.unique(np.frombuffer(b"".join(items), np.uint64), return_inverse=True)
+                        mark = np.zeros(len(used), bool)
+                    if last != x:
+                        if last is not None:
+                            mark[ids[ends[last] - n[last]:ends[last]]] = False
+                        mark[ids[ends[x] - n[x]:ends[x]]] = True
+                        last = x
+                    shared = int(np.count_nonzero(mark[ids[ends[y] - n[y]:ends[y]]]))
+                    if shared >= similarity * (n[x] + n[y] - shared) - 1e-9:
+                        group[group == group[y]] = group[x]
+                        yield node[x], node[y]
+
+        def met(key, rows):
+            node, root = rows[3], rows[8]
+            if (root == root[0]).all():
+                return
+            if give == "rows":
+                found = np.zeros(len(node), bool)
+                for p, q in pairs(rows):
+                    found[p] = found[q] = True
+                out = [np.full(int(found.sum()), key), node[found]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names)
+                return
+            blocks = ((node[p], node[q]) for p, q in pairs(rows))
+            if give == "links":
+                blocks = [np.array(list(linked(rows)), np.int64).reshape(-1, 2).T]
+            for a, b in blocks:
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names)
 
         held = None
         for batch in batches:
             cols = [batch.column(c).cast(pa.int64()).fill_null(none).to_numpy(zero_copy_only=False)
-                    for c in range(batch.num_columns - 1)]
-            cols.append(np.array(batch.column(batch.num_columns - 1).to_pylist(), object))
+                    for c in range(10)]
+            cols += [np.array(batch.column(c).to_pylist(), object) for c in range(10, batch.num_columns)]
             if held is not None:
                 cols = [np.concatenate(c) for c in zip(held, cols, strict=True)]
             key = np.column_stack(cols[:3])
             ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             for s, e in zip(np.r_[0, ends[:-1]], ends) if len(ends) else ():
-                yield from met([c[s:e] for c in cols[1:]])
+                yield from met(cols[0][s], [c[s:e] for c in cols[1:]])
             held = [c[ends[-1]:] for c in cols] if len(ends) else cols
         if held is not None and len(held[0]):
-            yield from met(held[1:])
+            yield from met(held[0][0], held[1:])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
-             similarity: float) -> DataFrame:
-    """The pairs (a, b, shared, union) of nodes whose whole sets reach the similarity."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def whole_sets(nodes: DataFrame, docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """(node, items): the sorted set of each of the distinct ``nodes``, read from its texts."""
     wanted = common.stored(rows.join(nodes, "node").groupBy("node").agg(F.min("id").alias("rid")), "wanted")
     few = common.sized(wanted)
     src = docs.join(few, docs["id"].eqNullSafe(few["rid"]), "left_semi")
@@ -551,6 +617,13 @@ def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
     if n_rows > n_sets:  # read by several tasks
         own, repeated = common.stored(own.dropDuplicates(["node"]), "sets"), own
         common.forget(repeated)
+    return own
+
+
+def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, width: int,
+             similarity: float) -> DataFrame:
+    """The pairs (a, b, shared, union) of nodes whose whole sets reach the similarity."""
+    own = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, rows, width)
 
     def check(batches):
         import numpy as np
@@ -652,9 +725,7 @@ def _placed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     rays = compared(live.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")))
     roots = extended(roots, rays.select("a", "b"))
     live = common.stored(unsettled(roots).drop("lead"), "unsettled")
-    may = common.stored(crossing_pairs(live, bitmaps, similarity).distinct(), "crossing")
-    crossing = verified(may, docs, rows, width, similarity)
-    common.forget(may)
+    crossing = crossing_links(live, bitmaps, docs, rows, width, similarity)
     roots = extended(roots, crossing.select("a", "b"))
     for table in (raw, sizes, links, rays, crossing, opened, live, bitmaps, members):
         common.forget(table)
