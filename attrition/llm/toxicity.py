@@ -44,6 +44,8 @@ from attrition.llm import common
 DECAY = 0.5
 SPAN = 7  # places between a subsequence's first and last character
 WINDOW, STEP = 20, 10  # characters of a token read at once
+AT_ONCE = 128  # texts that a task holds tokens of while it scores
+REMEMBERED = 100_000  # tokens whose values a task keeps
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
 _INNER = re.compile(r"[^\w]+")
 _OUTER = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "¿¡«»„“”‘’…–—"
@@ -132,7 +134,7 @@ def kernel(strings: list[str], landmarks: list[str]) -> np.ndarray:
     column = np.full(1 << 18, len(used), np.int32)
     column[used] = np.arange(len(used))
     out = np.zeros((len(strings), len(landmarks)), np.float32)
-    for rows, ids, w, norms in _subsequences(strings, 128):
+    for rows, ids, w, norms in _subsequences(strings, 32):
         c = column[ids]
         r, t = np.nonzero(c < len(used))
         if len(r):
@@ -369,27 +371,31 @@ def train(df: DataFrame, labels: DataFrame, label: Column, id_col: str = "doc_id
     return model
 
 
+def worst_values(texts: pa.Array, model: Model) -> np.ndarray:
+    """The decision value of each text's worst string. Only ``AT_ONCE`` texts and their
+    tokens are Python's at once; up to ``REMEMBERED`` tokens' values are kept."""
+    low, seen, out = model.bias, {}, np.full(len(texts), model.bias)
+    for s in range(0, len(texts), AT_ONCE):
+        sets = [tokens(t) for t in texts.slice(s, AT_ONCE).to_pylist()]
+        new = [w for w in set().union(*sets) if w not in seen]
+        if new:
+            seen.update(zip(new, model.of_words(new).tolist(), strict=True))
+        worst = [max(map(seen.__getitem__, t), default=low) for t in sets]
+        out[s:s + AT_ONCE] = np.maximum(worst, low)
+        if len(seen) > REMEMBERED:
+            seen.clear()
+    return out
+
+
 def score_documents(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` with score (0 to 1) and predicted (1 if the score is at least 0.5)."""
     common.python_ready(df)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        m, seen = sent.value, {}
-        worst = []
-        for s in range(0, len(texts), 256):
-            sets = [tokens(t) for t in texts.iloc[s:s + 256]]
-            new = [w for w in set().union(*sets) if w not in seen]
-            if new:
-                seen.update(zip(new, m.of_words(new).tolist(), strict=True))
-            low = m.bias
-            worst += [max(map(seen.__getitem__, t), default=low) if t else low for t in sets]
-            if len(seen) > 300_000:
-                seen.clear()
-        return pd.Series(m.score(np.maximum(worst, m.bias)) if worst else [], dtype="float64")
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        m = sent.value
+        return pa.array(m.score(worst_values(texts, m)), pa.float64())
 
     out = common.with_replaced(df, {"score": score(common.text_of(f"`{text_col}`"))})
     return common.with_replaced(out, {"predicted": (F.col("score") >= 0.5).cast("int")})
