@@ -20,6 +20,7 @@ from pyspark.ml.classification import (GBTClassificationModel, LogisticRegressio
                                        RandomForestClassificationModel)
 from pyspark.sql import SparkSession
 
+from ..functions.forests import Forest
 from ..functions.trees import TreeEnsemble
 from ..operators.encode import EncoderModel
 from ..operators.features import FeatureModel
@@ -38,7 +39,7 @@ def model_key(name: str) -> str:
 
 
 def _save_ml(spark: SparkSession, model, path: str) -> str:
-    if isinstance(model, TreeEnsemble):
+    if isinstance(model, (TreeEnsemble, Forest)):
         spark.createDataFrame([(bytearray(model.to_bytes()),)], "model binary").coalesce(1) \
             .write.mode("overwrite").parquet(path)
     else:
@@ -47,8 +48,8 @@ def _save_ml(spark: SparkSession, model, path: str) -> str:
 
 
 def _load_ml(spark: SparkSession, kind: str, path: str):
-    if kind == "TreeEnsemble":
-        return TreeEnsemble.from_bytes(bytes(spark.read.parquet(path).first()["model"]))
+    if kind in ("TreeEnsemble", "Forest"):
+        return {"TreeEnsemble": TreeEnsemble, "Forest": Forest}[kind].from_bytes(bytes(spark.read.parquet(path).first()["model"]))
     return _LOADERS[kind].load(path)
 
 
