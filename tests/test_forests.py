@@ -38,6 +38,10 @@ def plain(code, y, times, heap, tree, spec, layout, weight, out):
         right = code[:, best[2]] > best[1]
         plain(code[~right], y[~right], times[~right], 2 * heap, tree, spec, layout, weight, out)
         plain(code[right], y[right], times[right], 2 * heap + 1, tree, spec, layout, weight, out)
+        (lb, lv), (rb, rv) = out[2 * heap], out[2 * heap + 1]
+        if lb < 0 and rb < 0 and (lv > 0.5) == (rv > 0.5):  # sibling leaves of the same class
+            out[heap] = (-1, out[heap][1])
+            del out[2 * heap], out[2 * heap + 1]
 
 
 @pytest.mark.parametrize("balanced", [False, True])
