@@ -207,3 +207,52 @@ def test_indicator_columns_are_summed_like_the_others():
     for _ in range(3):
         node = T.stepped(code, node, bins, left, feature)
     assert (node == T.walk(code, bins, left, feature)).all()
+
+
+def test_packed_columns_give_the_same_sums():
+    gen = np.random.default_rng(4)
+    n = 5_000
+    layout = T.Layout.of([[0.5]] * 11 + [[], [0.1, 0.4, 0.7], list(np.linspace(0.02, 0.98, 63))])
+    x = np.column_stack([gen.integers(0, 2, (n, 11)), np.zeros(n), gen.random((n, 2))]).astype(float)
+    x[::7, 3] = x[::9, 13] = np.nan
+    code = layout.binned(x)
+    slot = gen.integers(-1, 6, n)
+    slot[slot == 3] = -1
+    g, h = np.rint(gen.normal(0, 1 << 20, n)), np.rint(gen.random(n) * (1 << 18))
+    packed = T.PackedCode(code, layout)
+    assert len(packed.columns) + len(packed.bytes) == 4  # of 14 features
+    assert (packed.histograms(slot, g, h, 6) == T.histograms(code, slot, g, h, 6, layout.width)).all()
+    assert (packed.histograms(np.full(n, -1), g, h, 2) == 0).all()
+
+
+def block_of(x, y, layout, seed=0):
+    n = len(y)
+    return B.Block(layout.binned(x), y.astype(np.uint8), np.ones(n, np.int64), np.full(n, -1, np.int32),
+                   np.random.default_rng(seed).integers(0, 2 ** 63, n).astype(np.uint64), [f"c{i}" for i in range(n)])
+
+
+@pytest.mark.parametrize("spec", [SPEC, replace(SPEC, max_leaves=5, max_depth=6, subsample=0.7)])
+def test_rows_keep_their_place_in_a_task(spec, monkeypatch):
+    """No tree is walked again from its root, and rows under a split that lost its place end in the leaf there."""
+    x, y = data(800, 6)
+    layout = T.Layout.of([list(np.quantile(x[:, 0], np.linspace(0.1, 0.9, 9))), [0.0], [0, 1, 2, 3, 4], [-1.0, 0.0, 1.0], []])
+    with monkeypatch.context() as m:
+        m.setattr(T, "walk", None)
+        model, margin = B.fit_alone(block_of(x, y, layout), B.BoostJob(spec), [(int((y == 0).sum()), int(y.sum()))], layout)
+    assert len(model.value) > spec.rounds
+    assert np.allclose(margin, model.margins(x), atol=1e-12)
+
+
+def test_attribution_work_is_bounded_per_leaf(monkeypatch):
+    """However many rows there are, a leaf of d features is worked out for 2^d patterns at most."""
+    x, y = data(3000, 2)
+    x[::17, 0] = np.nan
+    layout = T.Layout.of([list(np.quantile(x[1::17, j], np.linspace(0.1, 0.9, 9))) if j != 1 else [0.0] for j in range(5)])
+    model, _ = B.fit_alone(block_of(x, y, layout), B.BoostJob(SPEC), [(int((y == 0).sum()), int(y.sum()))], layout)
+    seen, plain = [], T._leaf_values
+    monkeypatch.setattr(T, "_leaf_values", lambda ones, *a: seen.append(ones.shape) or plain(ones, *a))
+    many = model.attributions(x)
+    assert seen and all(m <= 1 << d for d, m in seen)
+    few = np.vstack([model.attributions(x[i:i + 1]) for i in range(60)])  # row by row
+    assert np.array_equal(many[:60], few)
+    assert np.allclose(many.sum(axis=1), model.margins(x) - model.expected())
