@@ -256,3 +256,58 @@ def test_attribution_work_is_bounded_per_leaf(monkeypatch):
     few = np.vstack([model.attributions(x[i:i + 1]) for i in range(60)])  # row by row
     assert np.array_equal(many[:60], few)
     assert np.allclose(many.sum(axis=1), model.margins(x) - model.expected())
+
+
+def test_row_and_hessian_are_summed_as_one_number():
+    """Whatever the weights: with room for both, without it, and over several chunks."""
+    gen = np.random.default_rng(2)
+    n = 150_000
+    layout = T.Layout.of([[0.5]] * 3 + [[], [0.1, 0.4, 0.7], [0.3, 0.6], list(np.linspace(0.02, 0.98, 63))])
+    x = np.column_stack([gen.integers(0, 2, (n, 3)), np.zeros(n), gen.random((n, 3))]).astype(float)
+    code = layout.binned(x)
+    slot = gen.integers(-1, 4, n)
+    packed = T.PackedCode(code, layout)
+    for weight in (0.0, 1.0, 300.0, 2.0 ** 14):
+        g, h = T.gradients(gen.normal(size=n), x[:, 0], np.full(n, weight))
+        want = T.histograms(code, slot, g, h, 4, layout.width)
+        assert (packed.histograms(slot, g, h, 4) == want).all()
+
+
+def test_packed_rows_move_as_unpacked_ones():
+    gen = np.random.default_rng(3)
+    layout = T.Layout.of([[0.5], [0.1, 0.4, 0.7], list(np.linspace(0.003, 0.997, 300))])
+    code = layout.binned(gen.random((70_000, 3)))
+    packed = T.PackedCode(code, layout)
+    assert packed.local.dtype == np.uint16  # a feature of more than 256 bins
+    bins = np.array([layout.starts[2] + 280, layout.starts[1], 0, -1, -1, -1, -1], np.int32)
+    left = np.array([1, 3, 5, -1, -1, -1, -1], np.int32)
+    at, node = np.zeros(len(code), np.intp), np.zeros(len(code), np.int64)
+    for _ in range(3):
+        packed.step(at, bins, left)
+        node = T.stepped(code, node, bins, left, layout.feature_of())
+        assert (at == node).all()
+    assert len(set(at)) == 4
+
+
+def test_a_task_holds_few_bytes_a_row():
+    """So that the training set of 900,000 customers fits a task: no ids but the held-out rows', no copy per feature."""
+    import tracemalloc
+    gen = np.random.default_rng(6)
+    n, features = 60_000, 50
+    layout = T.Layout.of([list(np.linspace(0.02, 0.98, 63))] * 5 + [[0.5]] * 45)
+    block = B.Block(layout.binned(gen.random((n, features))), gen.integers(0, 2, n).astype(np.uint8), np.ones(n, np.int64),
+                    np.where(np.arange(n) % 10 == 0, 0, -1).astype(np.int32),
+                    gen.integers(0, 2 ** 63, n).astype(np.uint64), [f"c{i:07d}" for i in range(n)])
+    job = B.BoostJob(replace(SPEC, rounds=2), 0, 0)
+    dealt = list(B._dealt([block.written(0).drop_columns(["job"])], {0: job}, layout, [0]))
+    assert sum(len(r["ids"][0]) for r in dealt) == n // 10
+    assert sum(r.nbytes for r in dealt) < n * (features + 15)
+    tracemalloc.start()
+    counts = [(int((block.y == 0).sum()), int(block.y.sum()))]
+    (done,) = list(B._alone(iter(dealt), [job], counts, layout))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 260 * n and B.SLICE_ROWS * 260 < 300 << 20
+    model, margin = B.fit_alone(block, job, counts, layout)
+    assert done["model"][0].as_py() == model.to_bytes()
+    assert done["margins"][0].as_py() == margin[::10].tolist() and done["ids"][0].as_py() == block.ids[::10]
