@@ -121,3 +121,41 @@ def test_a_boosted_set_within_a_slice_is_fitted_in_tasks_whatever_the_table(spar
     jobs = [BoostJob(BoostSpec(rounds=2, max_depth=3), f, (f + 1) % 4) for f in range(4)]
     models, scores = boosting.fit_boosted(table, jobs, slice_rows=200)
     assert len(models) == 4 and scores.count() == 400
+
+
+def _grown_alone(code, y, times, rows, spec, layout, copies):
+    """What the plain growth needs: a copy of the drawn rows, and its peak memory."""
+    import tracemalloc
+    both = R.classed(code, y, layout)
+    tracemalloc.start()
+    out = R.grow_rows(both, rows, times, 1, 0, spec, layout, np.ones(2)) if not copies else \
+        R.grow(code[rows], y[rows], times, 1, 0, spec, layout, np.ones(2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return out, peak
+
+
+@pytest.mark.parametrize("bins", [64, 200])
+def test_a_tree_keeps_places_instead_of_rows(bins, monkeypatch):
+    """Drawn rows are copied once, however deep the tree is, and their order gives the counts."""
+    from attrition.functions.trees import Layout
+    gen = np.random.default_rng(5)
+    n, many = 60_000, 40
+    monkeypatch.setattr(R, "_CELLS", 4_096)
+    layout = Layout.of([list(np.linspace(0.01, 0.99, bins - 1))] * 3 + [[0.5]] * (many - 3))
+    x = gen.random((n, many))
+    code = R.local_codes(layout.binned(x), layout)
+    y = (x[:, 0] + x[:, 4] + gen.random(n) > 1.5).astype(np.uint8)
+    spec = R.ForestSpec(trees=1, max_depth=9, min_rows=4)
+    times = R.row_draws(np.arange(n, dtype=np.uint64), spec, 0)
+    rows = np.flatnonzero(times)
+    got, peak = _grown_alone(code, y, times[rows], rows, spec, layout, False)
+    same, _ = _grown_alone(code, y, times[rows], rows, spec, layout, True)
+    assert len(got["heap"]) > 100 and all((got[k] == same[k]).all() for k in got)
+    assert peak < (many * R.classed(code[:1], y[:1], layout).itemsize + 60) * len(rows)
+    slot = np.sort(gen.integers(0, 50, len(rows)))
+    feats = R.feature_draws(np.arange(1, 51), spec, 0, many)
+    both = R.classed(code, y, layout)
+    hist = R._counted(both.reshape(-1), rows * many, times[rows].astype(float), np.bincount(slot, minlength=50), feats,
+                      np.diff(layout.starts))
+    assert (hist == R.counts(code[rows], y[rows].astype(np.int64), times[rows], slot, feats, np.diff(layout.starts))).all()
